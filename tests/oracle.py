@@ -1,0 +1,62 @@
+"""Comparison of a Spark result with DuckDB running the oracle SQL on the same files."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import duckdb
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+          "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        path = f"{folder}/{name}.parquet"
+        if os.path.exists(path):
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return con
+
+
+def _sort_key(row):
+    return tuple((value is not None, str(value)) for value in row)
+
+
+def differences(df, con, sql: str) -> list[str]:
+    """Human-readable differences in columns, types, row count and values (exact)."""
+    names = sorted(df.columns)
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+    expected = con.execute(sql)
+    described = {d[0]: str(d[1]) for d in expected.description}
+    if sorted(described) != names:
+        return [f"columns {names} != {sorted(described)}"]
+    order = [list(described).index(n) for n in names]
+    want = sorted((tuple(row[i] for i in order) for row in expected.fetchall()), key=_sort_key)
+    got = sorted((tuple(row) for row in df.select(*[f"`{n}`" for n in names]).collect()), key=_sort_key)
+    problems = []
+    kinds = dict(zip(con.execute(f"DESCRIBE {sql}").fetchdf()["column_name"],
+                     con.execute(f"DESCRIBE {sql}").fetchdf()["column_type"]))
+    for name in names:
+        if _KINDS.get(types[name], types[name]) != kinds[name]:
+            problems.append(f"type of {name}: {types[name]} != {kinds[name]}")
+    if len(got) != len(want):
+        problems.append(f"rows {len(got)} != {len(want)}")
+    wrong = [(g, w) for g, w in zip(got, want) if not _same(g, w)]
+    if wrong:
+        problems.append(f"{len(wrong)} rows differ, e.g. {names}\n  {wrong[0][0]}\n  {wrong[0][1]}")
+    return problems
+
+
+def _same(got, want) -> bool:
+    for g, w in zip(got, want):
+        if isinstance(g, float) and isinstance(w, float):
+            if g != w and not (math.isnan(g) and math.isnan(w)):
+                return False
+        elif g != w:
+            return False
+    return True
