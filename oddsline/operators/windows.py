@@ -57,11 +57,16 @@ def ohlc_windows(klines: DataFrame, every: str = Settings.batch_window,
 def probability_windows(probabilities: DataFrame, every: str = Settings.batch_window,
                         time: str = "poly_time",
                         ties: tuple[str, ...] = ("price",)) -> DataFrame:
-    """Mean, extreme and last probability and number of bets per window and asset."""
+    """Mean, extreme and last probability and number of bets per window and asset.
+
+    The last bits of a mean of doubles depend on the order of addition, which would make
+    the strict thresholds of a verdict flip between runs for means right on them; the
+    mean is therefore rounded to 12 places.
+    """
     order = order_key(time, *ties, span_seconds=interval_seconds(every))
     grouped = probabilities.groupBy(F.window(time, every), "crypto")
     return _flat_window(grouped.agg(
-        F.avg("price").alias("avg_probability"), F.max("price").alias("max_probability"),
+        F.round(F.avg("price"), 12).alias("avg_probability"), F.max("price").alias("max_probability"),
         F.min("price").alias("min_probability"), F.max_by("price", order).alias("last_probability"),
         F.count(F.lit(1)).alias("bet_activity_count")))
 

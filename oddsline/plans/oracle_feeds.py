@@ -73,7 +73,7 @@ def odds(source: str = "probabilities", name: str = "odds") -> str:
     return f"""{name} AS (
   SELECT time_bucket(INTERVAL '15 minutes', poly_time) AS window_start,
     time_bucket(INTERVAL '15 minutes', poly_time) + INTERVAL '15 minutes' AS window_end, crypto,
-    avg(price) AS avg_probability, max(price) AS max_probability, min(price) AS min_probability,
+    round(avg(price), 12) AS avg_probability, max(price) AS max_probability, min(price) AS min_probability,
     arg_max(price, poly_time) AS last_probability, count(*) AS bet_activity_count
   FROM {source} GROUP BY ALL)"""
 

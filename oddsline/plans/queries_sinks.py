@@ -104,12 +104,13 @@ def cleanse_events(spark, folder):
         F.try_element_at("bids", F.lit(1))["price"].try_cast("double").alias("first_bid"))
 
 
-@query("write_metadata", f"""WITH {o.ORDERS}
-SELECT start_s, CAST(make_timestamp(start_s * 1000000) AS DATE) AS date, crypto, position,
-  CAST(event_id AS VARCHAR) || suffix AS token_id
-FROM info, (VALUES (CAST(0 AS INTEGER), '-up'), (CAST(1 AS INTEGER), '-down')) AS t(position, suffix)""")
+@query("write_metadata", f"""WITH {o.SOURCE}
+SELECT CAST(floor(epoch(ts) / 900) AS BIGINT) * 900 AS start_s, CAST(ts AS DATE) AS date,
+  CASE user_id % 4 WHEN 0 THEN 'btc' WHEN 1 THEN 'eth' WHEN 2 THEN 'sol' ELSE 'xrp' END AS crypto,
+  position, CAST(event_id AS VARCHAR) || suffix AS token_id
+FROM src, (VALUES (CAST(0 AS INTEGER), '-up'), (CAST(1 AS INTEGER), '-down')) AS t(position, suffix)""")
 def write_metadata(spark, folder):
     path = work_folder(spark, "metadata")
-    sinks.write_metadata(feeds.metadata_messages(feeds.table(spark, folder, "orders")), path)
+    sinks.write_metadata(feeds.metadata_messages(feeds.markets_of_events(feeds.events(spark, folder))), path)
     stored = spark.read.schema("start_s bigint, value string, date date").json(path)
     return metadata.token_ids(stored, carry=("start_s", "date"))

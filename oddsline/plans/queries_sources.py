@@ -112,11 +112,15 @@ def decode_historical_klines(spark, folder):
 
 # --- metadata ---------------------------------------------------------------
 
+def _markets(spark, folder):
+    return feeds.markets_of_orders(feeds.table(spark, folder, "orders"))
+
+
 @query("token_ids", f"""WITH {o.ORDERS}
 SELECT event_id, crypto, position, CAST(event_id AS VARCHAR) || suffix AS token_id
 FROM info, (VALUES (CAST(0 AS INTEGER), '-up'), (CAST(1 AS INTEGER), '-down')) AS t(position, suffix)""")
 def token_ids(spark, folder):
-    return metadata.token_ids(feeds.metadata_messages(feeds.table(spark, folder, "orders")),
+    return metadata.token_ids(feeds.metadata_messages(_markets(spark, folder)),
                               carry=("event_id",))
 
 
@@ -127,7 +131,7 @@ SELECT event_id, CAST(event_id AS VARCHAR) AS market_id, slug, position, outcome
 FROM info, (VALUES (CAST(0 AS INTEGER), 'Up', '-up'), (CAST(1 AS INTEGER), 'Down', '-down'))
   AS t(position, outcome, suffix)""")
 def market_outcomes(spark, folder):
-    return metadata.market_outcomes(feeds.market_objects(feeds.table(spark, folder, "orders")),
+    return metadata.market_outcomes(feeds.market_objects(_markets(spark, folder)),
                                     carry=("event_id",))
 
 
@@ -146,14 +150,14 @@ def event_slug(spark, folder):
 @query("closed_events", f"""WITH {o.ORDERS}
 SELECT event_id, crypto, slug, title, closed, start_s FROM info WHERE closed""")
 def closed_events(spark, folder):
-    return metadata.events_page(feeds.stored_events(feeds.table(spark, folder, "orders")), closed=True)
+    return metadata.events_page(feeds.stored_events(_markets(spark, folder)), closed=True)
 
 
 @query("events_page", f"""WITH {o.ORDERS}
 SELECT event_id, crypto, slug, title, closed, start_s FROM info WHERE NOT closed
 ORDER BY event_id LIMIT 50 OFFSET 100""")
 def events_page(spark, folder):
-    return metadata.events_page(feeds.stored_events(feeds.table(spark, folder, "orders")),
+    return metadata.events_page(feeds.stored_events(_markets(spark, folder)),
                                 closed=False, limit=50, offset=100, order="event_id")
 
 

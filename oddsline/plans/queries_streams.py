@@ -20,7 +20,7 @@ ALL_FILES = 2 ** 31 - 1
 
 
 def _events(spark, folder):
-    return streams.table_stream(spark, f"{folder}/events.parquet", feeds.EVENTS_SCHEMA, ALL_FILES)
+    return streams.table_stream(spark, f"{folder}/events.parque[t]", feeds.EVENTS_SCHEMA, ALL_FILES)
 
 
 def _options(spark, name):

@@ -218,19 +218,14 @@ THIN_SECONDS = 600
 # The kept rows of a symbol form a chain: each row points to the next kept one.
 @query("sample_snapshots", f"""WITH RECURSIVE {o.KLINES}, ordered AS (
   SELECT symbol, event_id, snapshot_time, is_closed,
-    row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time, event_id) AS pos,
-    min(CASE WHEN is_closed THEN snapshot_time END) OVER (PARTITION BY symbol
-      ORDER BY snapshot_time, event_id ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_close
-  FROM klines), due AS (
-  SELECT a.symbol, a.pos, min(b.pos) AS due_pos
-  FROM ordered a ASOF LEFT JOIN ordered b
-    ON a.symbol = b.symbol AND b.snapshot_time >= a.snapshot_time + {THIN_SECONDS * 1000}
-  GROUP BY ALL), closing AS (
-  SELECT symbol, pos, min(CASE WHEN is_closed THEN pos END) OVER (PARTITION BY symbol
-      ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS close_pos FROM ordered
+    row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time, event_id) AS pos FROM klines
 ), links AS (
-  SELECT symbol, pos, least(due_pos, close_pos) AS next_pos FROM due JOIN closing USING (symbol, pos)
-), kept(symbol, pos) AS (
+  SELECT symbol, pos, least(
+    min(pos) OVER (PARTITION BY symbol ORDER BY snapshot_time
+      RANGE BETWEEN {THIN_SECONDS * 1000} FOLLOWING AND UNBOUNDED FOLLOWING),
+    min(CASE WHEN is_closed THEN pos END) OVER (PARTITION BY symbol
+      ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS next_pos
+  FROM ordered), kept(symbol, pos) AS (
   SELECT DISTINCT symbol, CAST(1 AS BIGINT) FROM ordered
   UNION ALL
   SELECT l.symbol, l.next_pos FROM kept JOIN links l ON l.symbol = kept.symbol AND l.pos = kept.pos

@@ -143,39 +143,52 @@ def historical_messages(source: DataFrame) -> DataFrame:
     return klines(source).select("event_id", "symbol", row.alias("value"))
 
 
-def _market_fields(orders: DataFrame) -> DataFrame:
-    """Market objects: one per order."""
+def markets_of_orders(orders: DataFrame) -> DataFrame:
+    """One market per order: (event_id, owner, at, closed)."""
+    return orders.select(F.col("o_orderkey").alias("event_id"), F.col("o_custkey").alias("owner"),
+                         F.col("o_orderdate").cast("timestamp").alias("at"),
+                         (F.col("o_orderstatus") == "F").alias("closed"))
+
+
+def markets_of_events(source: DataFrame) -> DataFrame:
+    """One market per event: (event_id, owner, at, closed)."""
+    return source.select("event_id", F.col("user_id").alias("owner"),
+                         F.col("ts").cast("timestamp").alias("at"),
+                         (F.col("event_type") != "click").alias("closed"))
+
+
+def _market_fields(markets: DataFrame) -> DataFrame:
     crypto = F.element_at(F.array(*[F.lit(c) for c in ("btc", "eth", "sol", "xrp")]),
-                          (F.col("o_custkey") % 4 + 1).cast("int"))
-    start = quarter_floor(F.col("o_orderdate").cast("timestamp"))
-    up = F.col("o_custkey") % 100
-    return orders.select(
-        F.col("o_orderkey").alias("event_id"), F.col("o_orderkey").cast("string").alias("id"),
+                          (F.col("owner") % 4 + 1).cast("int"))
+    start = quarter_floor("at")
+    up = F.col("owner") % 100
+    name = F.col("event_id").cast("string")
+    return markets.select(
+        "event_id", name.alias("id"),
         crypto.alias("crypto"), start.alias("start_s"),
         F.concat(crypto, F.lit(SLUG_INFIX), start.cast("string")).alias("slug"),
         F.concat(F.upper(crypto), F.lit(" Up or Down")).alias("title"),
         F.lit('["Up", "Down"]').alias("outcomes"),
         F.concat(F.lit('["'), _cents(up), F.lit('", "'), _cents(99 - up), F.lit('"]'))
          .alias("outcomePrices"),
-        F.concat(F.lit('["'), F.col("o_orderkey").cast("string"), F.lit('-up", "'),
-                 F.col("o_orderkey").cast("string"), F.lit('-down"]')).alias("clobTokenIds"),
-        (F.col("o_orderstatus") == "F").alias("closed"))
+        F.concat(F.lit('["'), name, F.lit('-up", "'), name, F.lit('-down"]')).alias("clobTokenIds"),
+        "closed")
 
 
-def stored_events(orders: DataFrame) -> DataFrame:
+def stored_events(markets: DataFrame) -> DataFrame:
     """Typed event list: (event_id, crypto, slug, title, closed, start_s)."""
-    return _market_fields(orders).select("event_id", "crypto", "slug", "title", "closed", "start_s")
+    return _market_fields(markets).select("event_id", "crypto", "slug", "title", "closed", "start_s")
 
 
-def market_objects(orders: DataFrame) -> DataFrame:
+def market_objects(markets: DataFrame) -> DataFrame:
     """(event_id, value): each market object as JSON."""
-    return _market_fields(orders).select("event_id", F.to_json(F.struct(
+    return _market_fields(markets).select("event_id", F.to_json(F.struct(
         "id", "slug", "title", "outcomes", "outcomePrices", "clobTokenIds", "closed")).alias("value"))
 
 
-def metadata_messages(orders: DataFrame) -> DataFrame:
+def metadata_messages(markets: DataFrame) -> DataFrame:
     """(event_id, start_s, value): event metadata ``{crypto: {"markets": [{...}]}}`` as JSON."""
     market = F.struct("id", "slug", "clobTokenIds", "closed")
     event = F.struct(F.col("id"), F.col("title"), F.col("slug"), F.array(market).alias("markets"))
-    return _market_fields(orders).select(
+    return _market_fields(markets).select(
         "event_id", "start_s", F.to_json(F.create_map("crypto", event)).alias("value"))

@@ -32,7 +32,10 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
 
 def table_stream(spark: SparkSession, path: str, schema: T.StructType,
                  max_files: int | None = None) -> DataFrame:
-    """Rows of the Parquet files of a folder, oldest file first."""
+    """Rows of the Parquet files of a folder or glob, oldest file first.
+
+    A single file has to be given as a glob: a plain path must be a folder.
+    """
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
