@@ -25,8 +25,12 @@ def normalize_symbol(symbol: Column | str) -> Column:
 
 
 def needed_keywords(keywords=CRYPTO_KEYWORDS) -> list[str]:
-    """Keywords that contain no other keyword: a title matches these iff it matches all."""
-    return [k for k in keywords if not any(other != k and other in k for other in keywords)]
+    """Keywords that contain no other keyword: a title has one of these iff it has any.
+
+    Short ones come first; they hit most often and end the search.
+    """
+    return sorted((k for k in keywords if not any(other != k and other in k for other in keywords)),
+                  key=len)
 
 
 def is_crypto_title(title: Column | str, keywords=CRYPTO_KEYWORDS) -> Column:

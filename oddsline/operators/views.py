@@ -69,7 +69,7 @@ def to_cells(flat: DataFrame, cells: dict[str, dict[str, str]], carry: tuple[str
         F.struct(F.lit(family).alias("family"), F.lit(q).alias("qualifier"),
                  F.col(column).cast("string").alias("value"))
         for family, qualifiers in cells.items() for q, column in qualifiers.items()])
-    return (flat.select("rowkey", *carry, F.explode(entries).alias("cell"))
+    return (flat.select("rowkey", *carry, F.explode_outer(entries).alias("cell"))
             .select("rowkey", *carry, "cell.*").filter(F.col("value").isNotNull()))
 
 

@@ -26,9 +26,16 @@ ANALYSIS_COLUMNS = (
 
 
 def _flat_window(aggregated: DataFrame) -> DataFrame:
+    """Window start and end as columns.
+
+    Rows without event time have no window, so neither is ever null.  Spark does not
+    know, and a join on the start would push "window is not null" below the aggregate
+    and parse every event time once more for it; ``coalesce`` states it.
+    """
     rest = [c for c in aggregated.columns if c != "window"]
-    return aggregated.select(F.col("window.start").alias("window_start"),
-                             F.col("window.end").alias("window_end"), *rest)
+    never = F.timestamp_seconds(F.lit(0))
+    return aggregated.select(F.coalesce("window.start", never).alias("window_start"),
+                             F.coalesce("window.end", never).alias("window_end"), *rest)
 
 
 def _watermarked(df: DataFrame, time: str, delay: str | None) -> DataFrame:

@@ -114,6 +114,6 @@ def stream_to_parquet(spark, folder):
 @query("stream_sample_snapshots", ORACLES["sample_snapshots"])
 def stream_sample_snapshots(spark, folder):
     captured = feeds.klines(_events(spark, folder))
-    thinned = ThinnedSnapshots(spark, work_folder(spark, "thinned"), THIN_SECONDS, chunk="6 hours")
+    thinned = ThinnedSnapshots(spark, work_folder(spark, "thinned"), THIN_SECONDS, chunk="1 day")
     monitor.drain(thinned.start(captured, work_folder(spark, "checkpoint-thinned")))
     return thinned.read(captured.schema).select("event_id", "symbol", "snapshot_time", "is_closed")

@@ -9,27 +9,36 @@ from oddsline.functions import rowkeys
 from oddsline.functions.book import mid_probability, with_top_of_book
 from oddsline.operators import serving, views, windows
 from oddsline.plans import batch, oracle_feeds as o
-from oddsline.plans.queries_windows import (market_events, ticks, token_verdicts, tokens,
+from oddsline.plans.queries_windows import (market_events, stored, ticks, token_verdicts, tokens,
                                             verdicts)
 from oddsline.plans.registry import query, rounded
 from oddsline.sources import feeds, messages, tables
 
 
 def served_batch_view(spark, folder):
-    """The batch view as of the last batch run."""
+    """The stored batch view as of the last batch run."""
     events = feeds.events(spark, folder)
     klines = feeds.klines(events).filter(
         F.timestamp_micros(F.call_function("div", F.col("timestamp"), F.lit(1000)))
         < F.lit(o.CUTOFF).cast("timestamp"))
     analysis = batch.verdicts(klines, feeds.stored_market_events(events),
                               tokens=tokens(spark, folder))
-    return views.batch_view(analysis)
+    return stored(spark, views.batch_view(analysis), "served-view")
+
+
+def stored_batch_view(spark, folder):
+    """The stored batch view over all windows."""
+    return stored(spark, views.batch_view(token_verdicts(spark, folder)), "batch-view")
 
 
 def price_view(spark, folder):
     return views.live_view(windows.live_price(ticks(spark, folder)), PRICE_ROWS)
 
 
+def stored_price_view(spark, folder):
+    return stored(spark, price_view(spark, folder), "price-view")
+
+
 # --- row keys ---------------------------------------------------------------
 
 @query("batch_rowkey", f"""{o.VIEW_VERDICTS} SELECT rowkey, symbol, window_start FROM view_rows""")
@@ -138,7 +147,7 @@ _CELL_SQL = " UNION ALL ".join(
 
 @query("view_cells", f"{o.VIEW_VERDICTS} {_CELL_SQL}")
 def view_cells(spark, folder):
-    cells = views.to_cells(views.batch_view(token_verdicts(spark, folder)), views.batch_cells())
+    cells = views.to_cells(stored_batch_view(spark, folder), views.batch_cells())
     parsed = cells.withColumn("parsed", rowkeys.parse_cell("value"))
     number = F.coalesce(F.col("parsed.number"), F.col("parsed.whole").cast("double"))
     return parsed.select("rowkey", "family", "qualifier", F.round(number, 6).alias("number"),
@@ -156,7 +165,7 @@ SELECT rowkey, price_open AS open, price_close AS close, price_high AS high, pri
   CAST(bet_activity_count AS BIGINT) AS activity, price_movement, prediction_result AS result, symbol
 FROM view_rows""")
 def cells_to_rows(spark, folder):
-    cells = views.to_cells(views.batch_view(token_verdicts(spark, folder)), views.batch_cells())
+    cells = views.to_cells(stored_batch_view(spark, folder), views.batch_cells())
     return rounded(views.from_cells(cells, _TYPES), "volume", "avg_prob")
 
 
@@ -164,7 +173,7 @@ def cells_to_rows(spark, folder):
 SELECT rowkey, price_close AS close, max_probability AS max_prob, prediction_result AS result
 FROM view_rows""")
 def view_families(spark, folder):
-    grouped = views.families(views.batch_view(token_verdicts(spark, folder)))
+    grouped = views.families(stored_batch_view(spark, folder))
     return grouped.select("rowkey", "price_data.close", "bet_data.max_prob", "analysis.result")
 
 
@@ -218,13 +227,13 @@ def legacy_frames(spark, folder):
 
 @query("point_lookup", f"{o.VIEW_VERDICTS} {VIEW_SELECT} WHERE rowkey = 'ETHUSDT_8294740699999'")
 def point_lookup(spark, folder):
-    view = views.batch_view(token_verdicts(spark, folder))
+    view = stored_batch_view(spark, folder)
     return round_view(serving.point_lookup(view, "ETHUSDT_8294740699999"))
 
 
 @query("prefix_scan", f"{o.VIEW_VERDICTS} {VIEW_SELECT} WHERE starts_with(rowkey, 'BTCUSDT_')")
 def prefix_scan(spark, folder):
-    view = views.batch_view(token_verdicts(spark, folder))
+    view = stored_batch_view(spark, folder)
     return round_view(serving.prefix_scan(view, serving.batch_prefix("BTCUSDT")))
 
 
@@ -232,14 +241,14 @@ def prefix_scan(spark, folder):
 SELECT rowkey, symbol, window_ts, prediction_result FROM view_rows
 WHERE window_ts BETWEEN 1704672000 AND 1705276800""")
 def range_scan(spark, folder):
-    view = views.batch_view(token_verdicts(spark, folder))
+    view = stored_batch_view(spark, folder)
     return serving.range_scan(view, 1704672000, 1705276800).select(
         "rowkey", "symbol", "window_ts", "prediction_result")
 
 
 @query("sample_view", f"{o.VIEW_VERDICTS} {VIEW_SELECT} ORDER BY rowkey LIMIT 10")
 def sample_view(spark, folder):
-    return round_view(serving.sample_view(views.batch_view(token_verdicts(spark, folder)), 10))
+    return round_view(serving.sample_view(stored_batch_view(spark, folder), 10))
 
 
 _LATEST_LIVE = f"""WITH {o.KLINES}, {o.live_price()}, {o.LIVE_PRICE_VIEW}, ranked AS (
@@ -249,13 +258,13 @@ SELECT rowkey, identifier, window_end, current_price, ticks FROM ranked"""
 
 @query("latest_live", f"{_LATEST_LIVE} WHERE rn <= 100")
 def latest_live(spark, folder):
-    return serving.latest_live(price_view(spark, folder)).select(
+    return serving.latest_live(stored_price_view(spark, folder)).select(
         "rowkey", "identifier", "window_end", "current_price", "ticks")
 
 
 @query("latest_live_pair", f"{_LATEST_LIVE} WHERE rn <= 20 AND identifier = 'SOLUSDT'")
 def latest_live_pair(spark, folder):
-    return serving.latest_live(price_view(spark, folder), 20, "SOLUSDT").select(
+    return serving.latest_live(stored_price_view(spark, folder), 20, "SOLUSDT").select(
         "rowkey", "identifier", "window_end", "current_price", "ticks")
 
 
@@ -263,7 +272,7 @@ def latest_live_pair(spark, folder):
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_ts DESC) AS rn FROM view_rows)
 SELECT rowkey, symbol, window_ts, prediction_result FROM ranked WHERE rn <= 96""")
 def latest_n_windows(spark, folder):
-    view = views.batch_view(token_verdicts(spark, folder))
+    view = stored_batch_view(spark, folder)
     return serving.latest_windows(view).select("rowkey", "symbol", "window_ts", "prediction_result")
 
 
@@ -284,7 +293,7 @@ FROM points p LEFT JOIN last l ON p.symbol = l.symbol WHERE ts_s > coalesce(last
 
 
 def _timeline(spark, folder, boundary):
-    merged = serving.merged_timeline(served_batch_view(spark, folder), price_view(spark, folder),
+    merged = serving.merged_timeline(served_batch_view(spark, folder), stored_price_view(spark, folder),
                                      boundary=boundary)
     return merged.select(
         "symbol", "timestamp", "source", "type", F.col("price_data.close").alias("close"),
@@ -316,7 +325,7 @@ SELECT coalesce(l.symbol, b.symbol) AS symbol,
   current_price, CASE WHEN l.symbol IS NULL THEN close END AS close
 FROM newest_live l FULL JOIN newest_batch b ON l.symbol = b.symbol""")
 def current_state(spark, folder):
-    state = serving.current_state(served_batch_view(spark, folder), price_view(spark, folder), NOW)
+    state = serving.current_state(served_batch_view(spark, folder), stored_price_view(spark, folder), NOW)
     return state.select("symbol", "source", "timestamp",
                         F.col("data.current_price").alias("current_price"),
                         F.col("price_data.close").alias("close"))
@@ -331,7 +340,7 @@ SELECT symbol, count(*) AS windows_analyzed,
   min(window_start) AS first_window, max(window_start) AS last_window
 FROM ranked WHERE rn <= 96 GROUP BY symbol""")
 def accuracy_recent(spark, folder):
-    return serving.recent_accuracy(views.batch_view(token_verdicts(spark, folder)))
+    return serving.recent_accuracy(stored_batch_view(spark, folder))
 
 
 @query("accuracy_summary", f"""{o.VIEW_VERDICTS}, totals AS (
@@ -345,12 +354,12 @@ SELECT prediction_result, n AS count,
   CASE WHEN decided > 0 THEN CAST(good AS DOUBLE) * 100 / decided END AS overall_accuracy
 FROM counted, totals""")
 def accuracy_summary(spark, folder):
-    return serving.accuracy_summary(views.batch_view(token_verdicts(spark, folder)))
+    return serving.accuracy_summary(stored_batch_view(spark, folder))
 
 
 @query("expire_view", f"""WITH {o.KLINES}, {o.live_price()}, {o.LIVE_PRICE_VIEW}
 SELECT rowkey, window_end, ticks FROM live_rows WHERE window_end // 1000 > {NOW} - 86400""")
 def expire_view(spark, folder):
-    view = price_view(spark, folder)
+    view = stored_price_view(spark, folder)
     return serving.expire(view, NOW, 86400, F.call_function("div", F.col("window_end"), F.lit(1000))) \
         .select("rowkey", "window_end", "ticks")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from oddsline.operators import serving, snapshots, windows
 from oddsline.plans import batch, oracle_feeds as o
 from oddsline.plans.registry import query, rounded
+from oddsline.session import work_folder
 from oddsline.sources import feeds, messages, tables
 
 
@@ -39,6 +40,13 @@ def token_verdicts(spark, folder):
                           tokens=tokens(spark, folder))
 
 
+def stored(spark, df, name):
+    """``df`` as a written table in the shared folder, as the serving queries find it."""
+    path = work_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def ticks(spark, folder):
     return messages.price_ticks(messages.decode_klines(
         feeds.kline_messages(feeds.events(spark, folder))))
@@ -233,5 +241,5 @@ THIN_SECONDS = 600
 SELECT event_id, o.symbol, snapshot_time, is_closed FROM ordered o JOIN kept USING (symbol, pos)""")
 def sample_snapshots(spark, folder):
     captured = feeds.klines(feeds.events(spark, folder))
-    return snapshots.thin_snapshots(captured, THIN_SECONDS, chunk="6 hours", tie="event_id").select(
+    return snapshots.thin_snapshots(captured, THIN_SECONDS, chunk="1 day", tie="event_id").select(
         "event_id", "symbol", "snapshot_time", "is_closed")

@@ -64,12 +64,21 @@ def klines(source: DataFrame) -> DataFrame:
         F.to_date("ts").alias("date"))
 
 
+def _message(value: Column) -> Column:
+    """A text that is built once.
+
+    Without the generator Catalyst would copy the building expression into every later
+    filter and projection over the text.
+    """
+    return F.explode_outer(F.array(value))
+
+
 def kline_messages(source: DataFrame) -> DataFrame:
     """(event_id, value): each candle as a JSON array with one record, ``timestamp`` in ms."""
     record = klines(source).withColumn("timestamp", F.col("snapshot_time"))
     fields = ("timestamp", "snapshot_time", "symbol", "close", "volume", "quote_asset_volume",
               "trades", "taker_buy_base", "taker_buy_quote")
-    return record.select("event_id", F.to_json(F.array(F.struct(*fields))).alias("value"))
+    return record.select("event_id", _message(F.to_json(F.array(F.struct(*fields)))).alias("value"))
 
 
 def _cents(number: Column) -> Column:
@@ -79,9 +88,9 @@ def _cents(number: Column) -> Column:
 def market_messages(source: DataFrame) -> DataFrame:
     """(event_id, value): book and trade events as JSON, as records of ``MARKET_MESSAGE``."""
     return market_events(source).select(
-        "event_id", F.to_json(F.struct("event_type", "market",
-                                       F.unix_millis("ts").cast("string").alias("timestamp"),
-                                       "bids", "asks", "price", "size")).alias("value"))
+        "event_id", _message(F.to_json(F.struct(
+            "event_type", "market", F.unix_millis("ts").cast("string").alias("timestamp"),
+            "bids", "asks", "price", "size"))).alias("value"))
 
 
 def market_events(source: DataFrame) -> DataFrame:
@@ -114,7 +123,7 @@ def market_events(source: DataFrame) -> DataFrame:
 def stored_market_events(source: DataFrame) -> DataFrame:
     """The all-text stored table."""
     return market_events(source).select(
-        "market", "asset_id", "timestamp", "last_trade_price",
+        "market", "asset_id", _message(F.col("timestamp")).alias("timestamp"), "last_trade_price",
         F.to_json("bids").alias("bids"), F.to_json("asks").alias("asks"), "event_type", "date")
 
 
@@ -126,7 +135,7 @@ def log_lines(source: DataFrame) -> DataFrame:
                      F.col("user_id").cast("string"), F.lit(',"k":'), k.cast("string"), F.lit("}"))
     for i, text in enumerate(junk):
         value = F.when(k == i, text).otherwise(value)
-    return _with_number(source).select("event_id", value.alias("value"))
+    return _with_number(source).select("event_id", _message(value).alias("value"))
 
 
 def historical_messages(source: DataFrame) -> DataFrame:
@@ -140,7 +149,7 @@ def historical_messages(source: DataFrame) -> DataFrame:
         text("close"), text("volume"), F.col("close_time").cast("string"),
         text("quote_asset_volume"), F.col("trades").cast("string"), text("taker_buy_base"),
         text("taker_buy_quote"), F.lit('"0"')), F.lit("]]"))
-    return klines(source).select("event_id", "symbol", row.alias("value"))
+    return klines(source).select("event_id", "symbol", _message(row).alias("value"))
 
 
 def markets_of_orders(orders: DataFrame) -> DataFrame:
@@ -182,8 +191,8 @@ def stored_events(markets: DataFrame) -> DataFrame:
 
 def market_objects(markets: DataFrame) -> DataFrame:
     """(event_id, value): each market object as JSON."""
-    return _market_fields(markets).select("event_id", F.to_json(F.struct(
-        "id", "slug", "title", "outcomes", "outcomePrices", "clobTokenIds", "closed")).alias("value"))
+    return _market_fields(markets).select("event_id", _message(F.to_json(F.struct(
+        "id", "slug", "title", "outcomes", "outcomePrices", "clobTokenIds", "closed"))).alias("value"))
 
 
 def metadata_messages(markets: DataFrame) -> DataFrame:
@@ -191,4 +200,4 @@ def metadata_messages(markets: DataFrame) -> DataFrame:
     market = F.struct("id", "slug", "clobTokenIds", "closed")
     event = F.struct(F.col("id"), F.col("title"), F.col("slug"), F.array(market).alias("markets"))
     return _market_fields(markets).select(
-        "event_id", "start_s", F.to_json(F.create_map("crypto", event)).alias("value"))
+        "event_id", "start_s", _message(F.to_json(F.create_map("crypto", event))).alias("value"))

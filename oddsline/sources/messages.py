@@ -15,10 +15,16 @@ _EMPTY_JSON = r"^\s*(\[\s*\]|\{\s*\}|null)?\s*$"
 
 def _records(messages: DataFrame, value: Column | str, schema: T.StructType,
              carry: tuple[str, ...]) -> DataFrame:
-    """One row per record; a message may be an array of records or a single one."""
+    """One row per record; a message may be an array of records or a single one.
+
+    ``explode`` would add "array is not empty" and "array is not null" filters below
+    itself and parse every message again for them; ``explode_outer`` with a filter above
+    parses once.
+    """
     text = as_column(value).cast("string")
     parsed = messages.select(*carry, F.from_json(text, T.ArrayType(schema)).alias("records"))
-    return parsed.select(*carry, F.explode("records").alias("r")).select(*carry, "r.*")
+    return (parsed.select(*carry, F.explode_outer("records").alias("r"))
+            .filter(F.col("r").isNotNull()).select(*carry, "r.*"))
 
 
 def decode_klines(messages: DataFrame, value: Column | str = "value",
@@ -78,8 +84,9 @@ def decode_historical_klines(messages: DataFrame, value: Column | str = "value",
     Numbers may be quoted or not.  Historical candles are closed and their snapshot
     time is the close time.
     """
-    rows = messages.select(*carry, as_column(symbol).alias("symbol"), F.explode(F.from_json(
+    rows = messages.select(*carry, as_column(symbol).alias("symbol"), F.explode_outer(F.from_json(
         as_column(value).cast("string"), "array<array<string>>")).alias("row"))
+    rows = rows.filter(F.col("row").isNotNull())
     position = {name: i + 1 for i, name in enumerate(schemas.HISTORICAL_KLINE_FIELDS)}
 
     def field(name: str, kind: str) -> Column:

@@ -18,7 +18,8 @@ def parse_event_map(metadata: DataFrame, value: Column | str = "value",
     """One row (crypto, event) per entry of ``{"btc": {...}, "eth": {...}, ...}``."""
     schema = T.MapType(T.StringType(), schemas.EVENT_INFO)
     parsed = F.from_json(as_column(value).cast("string"), schema)
-    return metadata.select(*carry, F.explode(parsed).alias("crypto", "event"))
+    return (metadata.select(*carry, F.explode_outer(parsed).alias("crypto", "event"))
+            .filter(F.col("crypto").isNotNull()))
 
 
 def token_ids(metadata: DataFrame, value: Column | str = "value",
@@ -29,8 +30,8 @@ def token_ids(metadata: DataFrame, value: Column | str = "value",
     """
     first_market = F.try_element_at("event.markets", F.lit(1))
     return (parse_event_map(metadata, value, carry)
-            .select(*carry, "crypto", F.posexplode(_texts(first_market["clobTokenIds"]))
-                    .alias("position", "token_id"))
+            .select(*carry, "crypto", F.posexplode_outer(
+                _texts(first_market["clobTokenIds"])).alias("position", "token_id"))
             .filter(F.col("token_id").isNotNull()))
 
 
@@ -43,7 +44,8 @@ def market_outcomes(markets: DataFrame, value: Column | str = "value",
                           _texts(F.col("m.outcomePrices")).alias("price"),
                           _texts(F.col("m.clobTokenIds")).alias("token_id"))
     return (market.select(*carry, F.col("m.id").alias("market_id"), F.col("m.slug").alias("slug"),
-                          F.posexplode(zipped).alias("position", "o"))
+                          F.posexplode_outer(zipped).alias("position", "o"))
+            .filter(F.col("o").isNotNull())
             .select(*carry, "market_id", "slug", "position",
                     F.col("o.outcome").alias("outcome"),
                     F.col("o.price").try_cast("double").alias("price"),
