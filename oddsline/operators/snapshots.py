@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -111,7 +113,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
         "_t": F.col("snapshot_time"), "_tie": tie_value,
         "_closed": F.coalesce("is_closed", F.lit(False)), "_chunk": chunk_start})
 
-    def summarize(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def summarize(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _ordered(pdf)
         times, closed = pdf["_t"].to_numpy("int64"), pdf["_closed"].to_numpy("bool")
         rows, exits = _chunk_steps(times, closed, interval)
@@ -121,7 +123,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
             "symbol": [key[0]], "_chunk": [key[1]], "step_times": [times[rows].tolist()],
             "exits": [exits], "has_close": [bool(len(closes))]})
 
-    def chain(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
         before = pdf["last_kept"].iloc[0]
         last, starts = _FAR_PAST if pd.isna(before) else int(before), []
@@ -134,7 +136,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
                 last = int(exits[-1])
         return pd.DataFrame({"symbol": key[0], "_chunk": pdf["_chunk"], "_start": starts})
 
-    def pick(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pick(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = _ordered(pdf)
         times, closed = pdf["_t"].to_numpy("int64"), pdf["_closed"].to_numpy("bool")
         follow = _next_kept(times, closed, interval)
