@@ -83,6 +83,11 @@ def latest_live(view: DataFrame, n: int = Settings.live_scan_limit, pair: str |
     return newest_per_key(live_records(rows), "identifier", n, F.col("rowkey"))
 
 
+def latest_events(view: DataFrame, symbol: str, n: int = 10) -> DataFrame:
+    """Newest ``n`` rows of a symbol in the older one-row-per-event format."""
+    return prefix_scan(view, f"{symbol.upper()}{KEY_SEPARATOR}").orderBy("rowkey").limit(n)
+
+
 def latest_windows(view: DataFrame, n: int = Settings.accuracy_windows) -> DataFrame:
     """Newest ``n`` batch windows of every symbol."""
     return newest_per_key(batch_records(view), "symbol", n, F.desc("window_ts"), F.col("rowkey"))

@@ -78,6 +78,29 @@ def probability_windows(probabilities: DataFrame, every: str = Settings.batch_wi
         F.count(F.lit(1)).alias("bet_activity_count")))
 
 
+def token_probability_windows(probabilities: DataFrame, tokens: DataFrame,
+                              every: str = Settings.batch_window, time: str = "poly_time",
+                              ties: tuple[str, ...] = ("price",)) -> DataFrame:
+    """``probability_windows`` of events tagged by token, see ``tag_markets``.
+
+    Events are reduced to one row per window and token before the join, so the join
+    never moves the raw events of a busy token; sums, counts, extremes and ordered last
+    values combine exactly into the windows per asset.
+    """
+    order = order_key(time, *ties, span_seconds=interval_seconds(every))
+    per_token = probabilities.groupBy(F.window(time, every), "asset_id").agg(
+        F.sum("price").alias("total"), F.count(F.lit(1)).alias("n"), F.max("price").alias("highest"),
+        F.min("price").alias("lowest"), F.max(order).alias("newest"),
+        F.max_by("price", order).alias("last"))
+    known = tokens.select(F.col("token_id").alias("asset_id"), "crypto")
+    grouped = per_token.join(known, "asset_id").groupBy("window", "crypto")
+    return _flat_window(grouped.agg(
+        F.round(F.sum("total") / F.sum("n"), 12).alias("avg_probability"),
+        F.max("highest").alias("max_probability"), F.min("lowest").alias("min_probability"),
+        F.max_by("last", "newest").alias("last_probability"),
+        F.sum("n").alias("bet_activity_count")))
+
+
 def tag_markets(probabilities: DataFrame, tokens: DataFrame) -> DataFrame:
     """Replace the default asset by the one of each event's token.
 

@@ -26,11 +26,12 @@ def verdicts(klines: DataFrame, events: DataFrame, date: str | None = None,
     """
     prices = sources.load_klines(klines, date, settings, keep=(sequence,) if sequence else ())
     odds = sources.load_probabilities(events, date, settings)
-    if tokens is not None:
-        odds = windows.tag_markets(odds, tokens)
+    if tokens is None:
+        probabilities = windows.probability_windows(odds, settings.batch_window)
+    else:
+        probabilities = windows.token_probability_windows(odds, tokens, settings.batch_window)
     return windows.analyze(
-        windows.ohlc_windows(prices, settings.batch_window, sequence=sequence),
-        windows.probability_windows(odds, settings.batch_window), settings)
+        windows.ohlc_windows(prices, settings.batch_window, sequence=sequence), probabilities, settings)
 
 
 def run(spark: SparkSession, klines: DataFrame, events: DataFrame, out: str,

@@ -268,6 +268,16 @@ def latest_live_pair(spark, folder):
         "rowkey", "identifier", "window_end", "current_price", "ticks")
 
 
+@query("latest_events", f"""{LEGACY_LIVE_SQL}
+SELECT 'ETHUSDT#' || CAST(9999999999999 - "timestamp" AS VARCHAR) AS rowkey, binance_price,
+  poly_last_trade, poly_best_bid, poly_best_ask, implied_prob FROM legacy WHERE symbol = 'ETHUSDT'
+ORDER BY "timestamp" DESC LIMIT 10""")
+def latest_events(spark, folder):
+    frame = views.legacy_live_frame(legacy_live_events(feeds.events(spark, folder)))
+    view = stored(spark, views.event_view(frame), "event-view")
+    return serving.latest_events(view, "ethusdt", 10).drop("identifier", "window_end")
+
+
 @query("latest_n_windows", f"""{o.VIEW_VERDICTS}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_ts DESC) AS rn FROM view_rows)
 SELECT rowkey, symbol, window_ts, prediction_result FROM ranked WHERE rn <= 96""")

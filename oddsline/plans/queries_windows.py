@@ -106,6 +106,13 @@ def prediction_result_by_token(spark, folder):
     return rounded(token_verdicts(spark, folder), "avg_volume", "avg_probability")
 
 
+@query("prob_15m_by_token", f"""WITH {o.SOURCE}, {o.PROBABILITIES}, {o.odds("tagged")}
+SELECT * REPLACE (round(avg_probability, 6) AS avg_probability) FROM odds""")
+def prob_15m_by_token(spark, folder):
+    return rounded(windows.token_probability_windows(
+        probabilities(spark, folder), tokens(spark, folder)), "avg_probability")
+
+
 @query("outcome_counts",
        f"{o.VERDICTS} SELECT prediction_result, count(*) AS count FROM analysis GROUP BY ALL")
 def outcome_counts(spark, folder):
@@ -223,7 +230,8 @@ def ohlc_15m_closed(spark, folder):
 THIN_SECONDS = 600
 
 
-# The kept rows of a symbol form a chain: each row points to the next kept one.
+# A kept row points to the next kept one.  Closed rows are always kept, so the recursion
+# starts at all of them at once and only follows the open rows in between.
 @query("sample_snapshots", f"""WITH RECURSIVE {o.KLINES}, ordered AS (
   SELECT symbol, event_id, snapshot_time, is_closed,
     row_number() OVER (PARTITION BY symbol ORDER BY snapshot_time, event_id) AS pos FROM klines
@@ -234,10 +242,10 @@ THIN_SECONDS = 600
     min(CASE WHEN is_closed THEN pos END) OVER (PARTITION BY symbol
       ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)) AS next_pos
   FROM ordered), kept(symbol, pos) AS (
-  SELECT DISTINCT symbol, CAST(1 AS BIGINT) FROM ordered
+  SELECT symbol, pos FROM ordered WHERE is_closed OR pos = 1
   UNION ALL
   SELECT l.symbol, l.next_pos FROM kept JOIN links l ON l.symbol = kept.symbol AND l.pos = kept.pos
-  WHERE l.next_pos IS NOT NULL)
+  JOIN ordered t ON t.symbol = l.symbol AND t.pos = l.next_pos WHERE NOT t.is_closed)
 SELECT event_id, o.symbol, snapshot_time, is_closed FROM ordered o JOIN kept USING (symbol, pos)""")
 def sample_snapshots(spark, folder):
     captured = feeds.klines(feeds.events(spark, folder))

@@ -63,7 +63,8 @@ class LiveView:
 
     # --- read ----------------------------------------------------------------
 
-    def _rows(self, upto: int | None = None) -> DataFrame:
+    def _rows(self, upto: int | None = None) -> tuple[DataFrame, bool]:
+        """All rows with their version, and whether each key occurs once already."""
         bases = [v for v in self._versions("base", "upto") if upto is None or v <= upto]
         base = bases[-1] if bases else -1
         deltas = [v for v in self._versions("deltas", "batch_id")
@@ -80,20 +81,22 @@ class LiveView:
                          .withColumnRenamed("batch_id", "_version"))
         if not parts:
             empty = T.StructType(list(self.schema.fields) + [T.StructField("_version", T.LongType())])
-            return self.spark.createDataFrame([], empty)
+            return self.spark.createDataFrame([], empty), True
         rows = parts[0]
         for other in parts[1:]:
             rows = rows.unionByName(other)
-        return rows
+        return rows, not deltas
 
     def read(self, upto: int | None = None, min_window_end: int | None = None) -> DataFrame:
         """Current rows; per cell the newest non-null value counts.
 
         ``min_window_end`` (epoch ms) drops expired rows inside the scan.
         """
-        rows = self._rows(upto)
+        rows, resolved = self._rows(upto)
         if min_window_end is not None:
             rows = rows.filter(F.col("window_end") > min_window_end)
+        if resolved:
+            return rows.select(*self.schema.names)
         cells = [f.name for f in self.schema if f.name != self.key]
         return rows.groupBy(self.key).agg(*[
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_version"))).alias(c) for c in cells
