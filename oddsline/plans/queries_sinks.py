@@ -28,10 +28,18 @@ def _klines_table(spark, folder):
     return name
 
 
-@query("klines_table_scan", f"""WITH {o.KLINES}
-SELECT ts AS binance_time, crypto, symbol, open, high, low, close, volume, date FROM klines
-WHERE date = DATE '2024-01-15'""")
+_SCAN = f"""WITH {o.KLINES}
+SELECT ts AS binance_time, crypto, symbol, open, high, low, close, volume, date FROM klines"""
+
+
+@query("klines_table_scan", _SCAN)
 def klines_table_scan(spark, folder):
+    return tables.load_klines(spark.table(_klines_table(spark, folder)))
+
+
+# The date argument of a daily run: only that partition is read.
+@query("klines_of_date", f"{_SCAN} WHERE date = DATE '2024-01-15'")
+def klines_of_date(spark, folder):
     return tables.load_klines(spark.table(_klines_table(spark, folder)), date="2024-01-15")
 
 

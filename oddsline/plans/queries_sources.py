@@ -270,9 +270,8 @@ def quarter_floor(spark, folder):
 # --- order books ------------------------------------------------------------
 
 def _books(spark, folder, string_compare=False):
-    events = messages.decode_market_events(feeds.market_messages(feeds.events(spark, folder)),
-                                           carry=("event_id",))
-    return messages.book_updates(events, string_compare, carry=("event_id",))
+    return messages.books_of(feeds.market_messages(feeds.events(spark, folder)),
+                             string_compare=string_compare, carry=("event_id",))
 
 
 @query("best_bid_ask", f"""WITH {o.SOURCE}, {o.BOOKS}

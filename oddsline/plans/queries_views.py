@@ -9,10 +9,10 @@ from oddsline.functions import rowkeys
 from oddsline.functions.book import mid_probability, with_top_of_book
 from oddsline.operators import serving, views, windows
 from oddsline.plans import batch, oracle_feeds as o
-from oddsline.plans.queries_windows import (market_events, stored, ticks, token_verdicts, tokens,
-                                            verdicts)
+from oddsline.plans.queries_windows import (books, stored, ticks, token_verdicts, tokens,
+                                            trades, verdicts)
 from oddsline.plans.registry import query, rounded
-from oddsline.sources import feeds, messages, tables
+from oddsline.sources import feeds, tables
 
 
 def served_batch_view(spark, folder):
@@ -68,11 +68,10 @@ SELECT row_type, identifier,
   row_type || '#' || left(identifier, 4) || '#' || CAST(9999999999999 - end_ms AS VARCHAR) AS short_key
 FROM ends""")
 def live_rowkey(spark, folder):
-    events = market_events(spark, folder)
     ends = (
         (PRICE_ROWS, "symbol", windows.live_price(ticks(spark, folder))),
-        (BOOK_ROWS, "market_id", windows.live_book(messages.book_updates(events))),
-        (TRADE_ROWS, "market_id", windows.live_trades(messages.trades(events))))
+        (BOOK_ROWS, "market_id", windows.live_book(books(spark, folder))),
+        (TRADE_ROWS, "market_id", windows.live_trades(trades(spark, folder))))
     parts = [live.select(
         F.lit(row_type).alias("row_type"), F.col(name).alias("identifier"),
         rowkeys.live_rowkey(row_type, name, F.unix_millis("window_end")).alias("rowkey"),

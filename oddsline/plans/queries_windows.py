@@ -48,12 +48,15 @@ def stored(spark, df, name):
 
 
 def ticks(spark, folder):
-    return messages.price_ticks(messages.decode_klines(
-        feeds.kline_messages(feeds.events(spark, folder))))
+    return messages.ticks_of(feeds.kline_messages(feeds.events(spark, folder)))
 
 
-def market_events(spark, folder):
-    return messages.decode_market_events(feeds.market_messages(feeds.events(spark, folder)))
+def books(spark, folder):
+    return messages.books_of(feeds.market_messages(feeds.events(spark, folder)))
+
+
+def trades(spark, folder):
+    return messages.trades_of(feeds.market_messages(feeds.events(spark, folder)))
 
 
 @query("ohlc_15m", f"""WITH {o.KLINES}, {o.ohlc()}
@@ -156,13 +159,13 @@ def round_book(df):
 
 @query("live_book_1m", f"WITH {o.SOURCE}, {o.BOOKS}, {o.LIVE_BOOK} {_BOOK_SELECT} FROM live_book")
 def live_book_1m(spark, folder):
-    return round_book(windows.live_book(messages.book_updates(market_events(spark, folder))))
+    return round_book(windows.live_book(books(spark, folder)))
 
 
 @query("live_trades_1m", f"""WITH {o.SOURCE}, {o.MARKETS}, {o.LIVE_TRADES}
 SELECT * REPLACE (round(total_shares_traded, 4) AS total_shares_traded) FROM live_trades""")
 def live_trades_1m(spark, folder):
-    live = windows.live_trades(messages.trades(market_events(spark, folder)))
+    live = windows.live_trades(trades(spark, folder))
     return rounded(live, "total_shares_traded", digits=4)
 
 
@@ -170,7 +173,7 @@ def live_trades_1m(spark, folder):
 SELECT window_start, market_id, round(total_shares_traded / num_trades, 6) AS avg_trade_size
 FROM live_trades""")
 def avg_trade_size(spark, folder):
-    live = windows.live_trades(messages.trades(market_events(spark, folder)))
+    live = windows.live_trades(trades(spark, folder))
     return rounded(windows.with_trade_size(live).select(
         "window_start", "market_id", "avg_trade_size"), "avg_trade_size")
 
@@ -188,7 +191,7 @@ SELECT window_start, market_id, max_prob - min_prob AS prob_range,
   round(current_prob - avg_prob, 6) AS prob_shift FROM live_book""")
 def live_probability_ranges(spark, folder):
     ranges = windows.with_probability_range(
-        windows.live_book(messages.book_updates(market_events(spark, folder))))
+        windows.live_book(books(spark, folder)))
     return rounded(ranges.select("window_start", "market_id", "prob_range", "prob_shift"), "prob_shift")
 
 

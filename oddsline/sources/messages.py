@@ -13,33 +13,48 @@ from oddsline.functions.times import as_column, epoch_to_timestamp
 _EMPTY_JSON = r"^\s*(\[\s*\]|\{\s*\}|null)?\s*$"
 
 
+_TICK_FIELDS = ("snapshot_time", "symbol", "close", "quote_asset_volume", "taker_buy_quote")
+_EVENT_FIELDS = ("event_type", "market", "timestamp")
+
+
 def _records(messages: DataFrame, value: Column | str, schema: T.StructType,
-             carry: tuple[str, ...]) -> DataFrame:
+             carry: tuple[str, ...], fields: tuple[str, ...] | None) -> DataFrame:
     """One row per record; a message may be an array of records or a single one.
 
-    ``explode`` would add "array is not empty" and "array is not null" filters below
+    Only ``fields`` are converted, the parser skips the others.  ``explode`` would add "array is not empty" and "array is not null" filters below
     itself and parse every message again for them; ``explode_outer`` with a filter above
     parses once.
     """
     text = as_column(value).cast("string")
+    if fields is not None:
+        schema = T.StructType([schema[name] for name in fields])
     parsed = messages.select(*carry, F.from_json(text, T.ArrayType(schema)).alias("records"))
     return (parsed.select(*carry, F.explode_outer("records").alias("r"))
             .filter(F.col("r").isNotNull()).select(*carry, "r.*"))
 
 
-def decode_klines(messages: DataFrame, value: Column | str = "value",
-                  carry: tuple[str, ...] = ()) -> DataFrame:
-    return _records(messages, value, schemas.KLINE_MESSAGE, carry)
+def decode_klines(messages: DataFrame, value: Column | str = "value", carry: tuple[str, ...] = (),
+                  fields: tuple[str, ...] | None = None) -> DataFrame:
+    """Candle records, optionally only some of their fields."""
+    return _records(messages, value, schemas.KLINE_MESSAGE, carry, fields)
 
 
 def decode_market_events(messages: DataFrame, value: Column | str = "value",
-                         carry: tuple[str, ...] = ()) -> DataFrame:
+                         carry: tuple[str, ...] = (),
+                         payload: tuple[str, ...] = ("bids", "asks", "price", "size")) -> DataFrame:
     """Book and trade events with event time; times that are no number give null."""
-    records = _records(messages, value, schemas.MARKET_MESSAGE, carry)
+    records = _records(messages, value, schemas.MARKET_MESSAGE, carry, _EVENT_FIELDS + payload)
     return records.select(
         *carry, F.col("market").alias("market_id"), "event_type",
-        epoch_to_timestamp(F.col("timestamp").try_cast("bigint"), "ms").alias("event_time"),
-        "bids", "asks", "price", "size")
+        epoch_to_timestamp(F.col("timestamp").try_cast("bigint"), "ms").alias("event_time"), *payload)
+
+
+def _may_hold(text: Column, event_type: str) -> Column:
+    """False only if the text cannot hold an event of the type, without parsing it.
+
+    A JSON text spells the type out unless it writes characters as ``\\u`` escapes.
+    """
+    return text.contains(event_type) | text.contains("\\u")
 
 
 def price_ticks(klines: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -69,6 +84,25 @@ def trades(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         F.col("size").try_cast("double").alias("trade_size"))
 
 
+def ticks_of(messages: DataFrame, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Candle messages -> price ticks."""
+    return price_ticks(decode_klines(messages, value, carry, _TICK_FIELDS), carry)
+
+
+def books_of(messages: DataFrame, value: str = "value", string_compare: bool = False,
+             carry: tuple[str, ...] = ()) -> DataFrame:
+    """Market messages -> book updates; messages without books are not parsed."""
+    found = messages.filter(_may_hold(F.col(value).cast("string"), BOOK_EVENT))
+    return book_updates(decode_market_events(found, value, carry, ("bids", "asks")),
+                        string_compare, carry)
+
+
+def trades_of(messages: DataFrame, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Market messages -> trades; messages without trades are not parsed."""
+    found = messages.filter(_may_hold(F.col(value).cast("string"), TRADE_EVENT))
+    return trades(decode_market_events(found, value, carry, ("price", "size")), carry)
+
+
 def clean_message_log(lines: DataFrame, value: str = "value") -> DataFrame:
     """Drop heartbeats, blanks, empty arrays/objects, ``null`` and texts that are not JSON."""
     text = F.col(value)

@@ -24,19 +24,16 @@ class StreamOptions:
 
 
 def price_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:
-    ticks = messages.price_ticks(messages.decode_klines(raw, value))
-    return windows.live_price(ticks, settings.live_window, settings.watermark)
+    return windows.live_price(messages.ticks_of(raw, value), settings.live_window, settings.watermark)
 
 
 def book_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value",
                  string_compare: bool = False) -> DataFrame:
-    books = messages.book_updates(messages.decode_market_events(raw, value), string_compare)
-    return windows.live_book(books, settings.live_window, settings.watermark)
+    return windows.live_book(messages.books_of(raw, value, string_compare), settings.live_window, settings.watermark)
 
 
 def trade_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:
-    found = messages.trades(messages.decode_market_events(raw, value))
-    return windows.live_trades(found, settings.live_window, settings.watermark)
+    return windows.live_trades(messages.trades_of(raw, value), settings.live_window, settings.watermark)
 
 
 WINDOWS_OF = {PRICE_ROWS: price_windows, BOOK_ROWS: book_windows, TRADE_ROWS: trade_windows}

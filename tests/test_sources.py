@@ -156,3 +156,16 @@ def test_inspection(spark, klines_table):
     newest = tables.latest_snapshots(files, 5).collect()
     assert len(newest) == 5
     assert [r.snapshot_time for r in newest] == sorted((r.snapshot_time for r in newest), reverse=True)
+
+
+def test_escaped_types_are_found_without_full_parsing(spark):
+    events = [{"event_type": "book", "market": "a", "bids": [{"price": "0.4", "size": "1"}]},
+              {"event_type": "last_trade_price", "market": "b", "price": "0.5", "size": "2"}]
+    plain = texts(spark, *[json.dumps(e) for e in events], json.dumps(events))
+    escaped = texts(spark, json.dumps(events).replace("book", "b\\u006fok").replace(
+        "last_trade", "last\\u005ftrade"))
+    df = plain.unionByName(escaped)
+    assert [r.market_id for r in messages.books_of(df).collect()] == ["a"] * 3
+    assert [r.trade_size for r in messages.trades_of(df).collect()] == [2.0] * 3
+    text = plan(messages.trades_of(df))
+    assert "bids" not in text and "asks" not in text
