@@ -6,6 +6,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from oddsline.config import Settings
@@ -89,8 +90,22 @@ def _chunk_steps(times: np.ndarray, closed: np.ndarray, interval: int) -> tuple[
     return change.tolist(), exits[change].tolist()
 
 
-def _ordered(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["_t", "_tie"], kind="stable")
+def _kept_rows(follow: np.ndarray, first: int) -> np.ndarray:
+    """``first``, the row kept after it, and so on; doubles the known rows in each step."""
+    n = len(follow)
+    jump, kept = np.append(follow, n), np.array([first])
+    while kept[-1] < n:
+        kept = np.append(kept, jump[kept])
+        jump = jump[jump]
+    return kept[kept < n]
+
+
+def _sorted_chunk(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row order by time and tie, and the times and closed flags in that order."""
+    times = chunk.column("_t").to_numpy()
+    order = np.lexsort((chunk.column("_tie").to_numpy(), times))
+    closed = chunk.column("_closed").to_numpy(zero_copy_only=False).astype(bool)
+    return order, times[order], closed[order]
 
 
 def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds,
@@ -113,15 +128,16 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
         "_t": F.col("snapshot_time"), "_tie": tie_value,
         "_closed": F.coalesce("is_closed", F.lit(False)), "_chunk": chunk_start})
 
-    def summarize(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf)
-        times, closed = pdf["_t"].to_numpy("int64"), pdf["_closed"].to_numpy("bool")
-        rows, exits = _chunk_steps(times, closed, interval)
-        closes = np.flatnonzero(closed)
-        # The start value enters through time only: keep the times of the step rows.
-        return pd.DataFrame({
-            "symbol": [key[0]], "_chunk": [key[1]], "step_times": [times[rows].tolist()],
-            "exits": [exits], "has_close": [bool(len(closes))]})
+    def summarize(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        _, times, closed = _sorted_chunk(rows)
+        ends, exits = _chunk_steps(times, closed, interval)
+        # The start value enters through time only: the times of the step rows are enough.
+        return pa.table({
+            "symbol": pa.array([key[0].as_py()], pa.string()),
+            "_chunk": pa.array([key[1].as_py()], pa.int64()),
+            "step_times": pa.array([times[ends].tolist()], pa.list_(pa.int64())),
+            "exits": pa.array([exits], pa.list_(pa.int64())),
+            "has_close": pa.array([bool(closed.any())])})
 
     def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
@@ -136,20 +152,16 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
                 last = int(exits[-1])
         return pd.DataFrame({"symbol": key[0], "_chunk": pdf["_chunk"], "_start": starts})
 
-    def pick(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = _ordered(pdf)
-        times, closed = pdf["_t"].to_numpy("int64"), pdf["_closed"].to_numpy("bool")
-        follow = _next_kept(times, closed, interval)
-        row, kept = _first_kept(times, closed, int(pdf["_start"].iloc[0]), interval), []
-        while row < len(times):
-            kept.append(row)
-            row = follow[row]
-        return pdf.iloc[kept][columns]
+    def pick(rows: pa.Table) -> pa.Table:
+        order, times, closed = _sorted_chunk(rows)
+        first = _first_kept(times, closed, rows.column("_start")[0].as_py(), interval)
+        kept = _kept_rows(_next_kept(times, closed, interval), first)
+        return rows.select(columns).take(order[kept])
 
     summaries = (keyed.select("symbol", "_chunk", "_t", "_tie", "_closed")
                  .groupBy("symbol", "_chunk")
-                 .applyInPandas(summarize, "symbol string, _chunk bigint, step_times array<bigint>, "
-                                           "exits array<bigint>, has_close boolean"))
+                 .applyInArrow(summarize, "symbol string, _chunk bigint, step_times array<bigint>, "
+                                          "exits array<bigint>, has_close boolean"))
     if previous is None:
         summaries = summaries.withColumn("last_kept", F.lit(None).cast("bigint"))
     else:
@@ -157,4 +169,4 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
     starts = summaries.groupBy("symbol").applyInPandas(
         chain, "symbol string, _chunk bigint, _start bigint")
     return (keyed.join(starts, ["symbol", "_chunk"]).groupBy("symbol", "_chunk")
-            .applyInPandas(pick, klines.schema))
+            .applyInArrow(pick, klines.schema))
