@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from oddsline.config import Settings
 from oddsline.functions import verdict
-from oddsline.functions.times import interval_seconds, order_key
+from oddsline.functions.times import floor_time, interval_seconds, order_key
 
 JOINED_COLUMNS = (
     "window_start", "window_end", "crypto", "symbol", "window_open", "window_high", "window_low",
@@ -25,17 +25,26 @@ ANALYSIS_COLUMNS = (
 )
 
 
-def _flat_window(aggregated: DataFrame) -> DataFrame:
-    """Window start and end as columns.
+def _per_window(df: DataFrame, time: str, every: str, keys: tuple[str, ...],
+                *aggregates: Column) -> DataFrame:
+    """Aggregates per tumbling window and keys, as ``window_start, window_end, keys, ...``.
 
-    Rows without event time have no window, so neither is ever null.  Spark does not
-    know, and a join on the start would push "window is not null" below the aggregate
-    and parse every event time once more for it; ``coalesce`` states it.
+    Streams group by ``window``, whose state the watermark can drop.  Tables group by the
+    start alone: a plain key suits the generated hash map, a struct does not.  Rows without
+    time are left out after aggregation, as one group, and the start is stated non-null:
+    a filter or a join on it would be pushed below the aggregate and parse each time again.
     """
-    rest = [c for c in aggregated.columns if c != "window"]
-    never = F.timestamp_seconds(F.lit(0))
-    return aggregated.select(F.coalesce("window.start", never).alias("window_start"),
-                             F.coalesce("window.end", never).alias("window_end"), *rest)
+    if df.isStreaming:
+        grouped = df.groupBy(F.window(time, every), *keys).agg(*aggregates)
+        rest = [c for c in grouped.columns if c != "window"]
+        return grouped.select(F.col("window.start").alias("window_start"),
+                              F.col("window.end").alias("window_end"), *rest)
+    grouped = df.groupBy(floor_time(time, every).alias("window_start"), *keys).agg(
+        *aggregates, F.count(time).alias("_timed")).filter(F.col("_timed") > 0)
+    start = F.coalesce("window_start", F.timestamp_seconds(F.lit(0)))
+    rest = [c for c in grouped.columns if c not in ("window_start", "_timed")]
+    return grouped.select(start.alias("window_start"),
+                          (start + F.expr(f"INTERVAL {every}")).alias("window_end"), *rest)
 
 
 def _watermarked(df: DataFrame, time: str, delay: str | None) -> DataFrame:
@@ -54,11 +63,11 @@ def ohlc_windows(klines: DataFrame, every: str = Settings.batch_window,
         order = order_key(time, *ties, span_seconds=interval_seconds(every))
     else:
         order = order_key(F.timestamp_millis(F.col(sequence)), *ties)
-    grouped = klines.groupBy(F.window(time, every), "crypto", "symbol")
-    return _flat_window(grouped.agg(
+    return _per_window(
+        klines, time, every, ("crypto", "symbol"),
         F.min_by("open", order).alias("window_open"), F.max("high").alias("window_high"),
         F.min("low").alias("window_low"), F.max_by("close", order).alias("window_close"),
-        F.avg("volume").alias("avg_volume"), F.count(F.lit(1)).alias("candle_count")))
+        F.avg("volume").alias("avg_volume"), F.count(F.lit(1)).alias("candle_count"))
 
 
 def probability_windows(probabilities: DataFrame, every: str = Settings.batch_window,
@@ -71,11 +80,11 @@ def probability_windows(probabilities: DataFrame, every: str = Settings.batch_wi
     mean is therefore rounded to 12 places.
     """
     order = order_key(time, *ties, span_seconds=interval_seconds(every))
-    grouped = probabilities.groupBy(F.window(time, every), "crypto")
-    return _flat_window(grouped.agg(
+    return _per_window(
+        probabilities, time, every, ("crypto",),
         F.round(F.avg("price"), 12).alias("avg_probability"), F.max("price").alias("max_probability"),
         F.min("price").alias("min_probability"), F.max_by("price", order).alias("last_probability"),
-        F.count(F.lit(1)).alias("bet_activity_count")))
+        F.count(F.lit(1)).alias("bet_activity_count"))
 
 
 def token_probability_windows(probabilities: DataFrame, tokens: DataFrame,
@@ -88,17 +97,17 @@ def token_probability_windows(probabilities: DataFrame, tokens: DataFrame,
     values combine exactly into the windows per asset.
     """
     order = order_key(time, *ties, span_seconds=interval_seconds(every))
-    per_token = probabilities.groupBy(F.window(time, every), "asset_id").agg(
+    per_token = _per_window(
+        probabilities, time, every, ("asset_id",),
         F.sum("price").alias("total"), F.count(F.lit(1)).alias("n"), F.max("price").alias("highest"),
         F.min("price").alias("lowest"), F.max(order).alias("newest"),
         F.max_by("price", order).alias("last"))
     known = tokens.select(F.col("token_id").alias("asset_id"), "crypto")
-    grouped = per_token.join(known, "asset_id").groupBy("window", "crypto")
-    return _flat_window(grouped.agg(
+    return per_token.join(known, "asset_id").groupBy("window_start", "window_end", "crypto").agg(
         F.round(F.sum("total") / F.sum("n"), 12).alias("avg_probability"),
         F.max("highest").alias("max_probability"), F.min("lowest").alias("min_probability"),
         F.max_by("last", "newest").alias("last_probability"),
-        F.sum("n").alias("bet_activity_count")))
+        F.sum("n").alias("bet_activity_count"))
 
 
 def tag_markets(probabilities: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -136,8 +145,8 @@ def analyze(prices: DataFrame, probabilities: DataFrame,
 
 
 def _live(df: DataFrame, key: str, every: str, watermark: str | None, *aggregates: Column) -> DataFrame:
-    grouped = _watermarked(df, "event_time", watermark).groupBy(F.window("event_time", every), key)
-    return _flat_window(grouped.agg(*aggregates))
+    return _per_window(_watermarked(df, "event_time", watermark), "event_time", every, (key,),
+                       *aggregates)
 
 
 def live_price(ticks: DataFrame, every: str = Settings.live_window,
