@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,22 @@ class StreamOptions:
     name: str | None = None
 
 
+@dataclass(frozen=True)
+class Maintenance:
+    """Compact the live view after every so many micro-batches and leave expired rows behind."""
+
+    every: int = 720  # about hourly with the default trigger
+    ttl_seconds: int | None = Settings.live_ttl_days * 86400
+    keep: int = 2
+    clock: Callable[[], float] = time.time
+
+    def oldest_window_end(self) -> int | None:
+        """Epoch milliseconds; windows that ended by then are expired."""
+        if self.ttl_seconds is None:
+            return None
+        return int((self.clock() - self.ttl_seconds) * 1000)
+
+
 def price_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:
     return windows.live_price(messages.ticks_of(raw, value), settings.live_window, settings.watermark)
 
@@ -53,23 +71,32 @@ def view_of(spark: SparkSession, rows: DataFrame, root: str) -> LiveView:
     return LiveView(spark, root, rows.schema)
 
 
-def start_upsert(rows: DataFrame, root: str, options: StreamOptions) -> tuple[StreamingQuery, LiveView]:
+def start_upsert(rows: DataFrame, root: str, options: StreamOptions, maintenance: Maintenance | None = None,
+                 ) -> tuple[StreamingQuery, LiveView]:
     """Feed keyed rows into the live view at ``root``.
 
     Update mode: only windows changed by a micro-batch are written.  The batch is
-    written once and not counted or collected first.
+    written once and not counted or collected first.  Checkpoint and root belong
+    together: batch numbers of a new checkpoint start over.
     """
     view = view_of(rows.sparkSession, rows, root)
-    writer = rows.writeStream.outputMode("update").foreachBatch(view.upsert)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        view.upsert(batch, batch_id)
+        if maintenance and (batch_id + 1) % maintenance.every == 0:
+            view.compact(maintenance.oldest_window_end())
+            view.vacuum(maintenance.keep)
+
+    writer = rows.writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, options), view
 
 
 def start_live_windows(raw: DataFrame, row_type: str, root: str, options: StreamOptions,
-                       settings: Settings = Settings(),
-                       truncate: int | None = None) -> tuple[StreamingQuery, LiveView]:
+                       settings: Settings = Settings(), truncate: int | None = None,
+                       maintenance: Maintenance | None = None) -> tuple[StreamingQuery, LiveView]:
     """Raw messages -> live windows of one row type -> live view."""
     rows = views.live_view(WINDOWS_OF[row_type](raw, settings), row_type, truncate)
-    return start_upsert(rows, root, options)
+    return start_upsert(rows, root, options, maintenance)
 
 
 def start_event_rows(events: DataFrame, root: str,

@@ -102,6 +102,21 @@ def test_three_queries_of_the_live_job(spark, tmp_path):
         assert rows.filter(~F.col("rowkey").startswith(row_type + "#")).count() == 0
 
 
+def test_view_is_maintained_while_it_is_fed(spark, tmp_path):
+    for i in range(5):
+        write_file(tmp_path / "in", i, [tick(i * 30, price=float(i)), tick(i * 30 + 1, symbol="ETHUSDT")])
+    stream = streams.text_stream(spark, str(tmp_path / "in"), max_files=1)
+    # the clock stands at 00:03, rows live for one minute: only the last window stays
+    clock = jobs.Maintenance(every=2, ttl_seconds=60, keep=1, clock=lambda: BASE / 1000 + 180)
+    query, view = jobs.start_live_windows(stream, PRICE_ROWS, str(tmp_path / "view"), options(tmp_path),
+                                          maintenance=clock)
+    monitor.drain(query)
+    rows = {(r.identifier, r.window_end - BASE): r.ticks for r in view.read().collect()}
+    assert rows[("BTCUSDT", 180_000)] == 1
+    assert ("BTCUSDT", 60_000) not in rows and ("BTCUSDT", 120_000) not in rows
+    assert len(os.listdir(tmp_path / "view" / "base")) == 1
+
+
 def test_a_failing_query_raises(spark, tmp_path):
     write_file(tmp_path / "in", 0, [tick(1)])
     stream = streams.text_stream(spark, str(tmp_path / "in"))
