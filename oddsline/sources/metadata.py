@@ -8,16 +8,24 @@ from oddsline import schemas
 from oddsline.functions.times import as_column
 
 
+_TOKEN_EVENT = schemas.struct(markets=T.ArrayType(schemas.struct(clobTokenIds=schemas.STRING)))
+_OUTCOME_MARKET = T.StructType([schemas.MARKET_INFO[name] for name in (
+    "id", "slug", "outcomes", "outcomePrices", "clobTokenIds")])
+
+
 def _texts(json_list: Column) -> Column:
     """A JSON list of texts that is itself stored as a JSON text."""
     return F.from_json(json_list, "array<string>")
 
 
 def parse_event_map(metadata: DataFrame, value: Column | str = "value",
-                    carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row (crypto, event) per entry of ``{"btc": {...}, "eth": {...}, ...}``."""
-    schema = T.MapType(T.StringType(), schemas.EVENT_INFO)
-    parsed = F.from_json(as_column(value).cast("string"), schema)
+                    carry: tuple[str, ...] = (),
+                    event: T.StructType = schemas.EVENT_INFO) -> DataFrame:
+    """One row (crypto, event) per entry of ``{"btc": {...}, "eth": {...}, ...}``.
+
+    Fields missing from ``event`` are skipped by the parser.
+    """
+    parsed = F.from_json(as_column(value).cast("string"), T.MapType(T.StringType(), event))
     return (metadata.select(*carry, F.explode_outer(parsed).alias("crypto", "event"))
             .filter(F.col("crypto").isNotNull()))
 
@@ -29,7 +37,7 @@ def token_ids(metadata: DataFrame, value: Column | str = "value",
     Events without markets or with an unreadable token list give no rows.
     """
     first_market = F.try_element_at("event.markets", F.lit(1))
-    return (parse_event_map(metadata, value, carry)
+    return (parse_event_map(metadata, value, carry, _TOKEN_EVENT)
             .select(*carry, "crypto", F.posexplode_outer(
                 _texts(first_market["clobTokenIds"])).alias("position", "token_id"))
             .filter(F.col("token_id").isNotNull()))
@@ -39,7 +47,7 @@ def market_outcomes(markets: DataFrame, value: Column | str = "value",
                     carry: tuple[str, ...] = ()) -> DataFrame:
     """(market id, slug, outcome, price, token) for every outcome of a market object."""
     market = markets.select(*carry, F.from_json(as_column(value).cast("string"),
-                                                schemas.MARKET_INFO).alias("m"))
+                                                _OUTCOME_MARKET).alias("m"))
     zipped = F.arrays_zip(_texts(F.col("m.outcomes")).alias("outcome"),
                           _texts(F.col("m.outcomePrices")).alias("price"),
                           _texts(F.col("m.clobTokenIds")).alias("token_id"))
