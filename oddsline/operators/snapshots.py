@@ -116,7 +116,8 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
     ``previous`` (symbol, last_kept) continues from the last kept times of earlier data.
 
     Exact for any input.  ``chunk`` only balances task size against the number of
-    chunks; ``tie`` orders snapshots of the same millisecond (default: a row hash).
+    chunks: one chunk of the busiest symbol has to fit into a task, one short summary per
+    chunk of a symbol into another.  ``tie`` orders snapshots of the same millisecond (default: a row hash).
     Snapshots without a capture time cannot be placed and are left out.
     """
     interval = int(round(seconds * 1000))

@@ -223,7 +223,8 @@ def drop_repeated(spark, folder):
 # OHLC and mean volume over the last state of each candle only.
 @query("ohlc_15m_closed", f"""WITH {o.KLINES}, candles AS (
   SELECT *, row_number() OVER (PARTITION BY symbol, time_bucket(INTERVAL '1 minute', ts)
-      ORDER BY is_closed DESC, snapshot_time DESC, event_id DESC) AS rn FROM klines), {o.ohlc("candles", condition="rn = 1")}
+      ORDER BY is_closed DESC, snapshot_time DESC, event_id DESC) AS rn FROM klines),
+{o.ohlc("candles", condition="rn = 1")}
 SELECT * REPLACE (round(avg_volume, 6) AS avg_volume) FROM ohlc""")
 def ohlc_15m_closed(spark, folder):
     newest = snapshots.newest_per_candle(feeds.klines(feeds.events(spark, folder)))

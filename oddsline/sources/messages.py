@@ -21,9 +21,9 @@ def _records(messages: DataFrame, value: Column | str, schema: T.StructType,
              carry: tuple[str, ...], fields: tuple[str, ...] | None) -> DataFrame:
     """One row per record; a message may be an array of records or a single one.
 
-    Only ``fields`` are converted, the parser skips the others.  ``explode`` would add "array is not empty" and "array is not null" filters below
-    itself and parse every message again for them; ``explode_outer`` with a filter above
-    parses once.
+    Only ``fields`` are converted, the parser skips the others.  ``explode`` would add
+    "array is not empty" and "array is not null" filters below itself and parse every
+    message again for them; ``explode_outer`` with a filter above parses once.
     """
     text = as_column(value).cast("string")
     if fields is not None:
