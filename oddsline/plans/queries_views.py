@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oddsline.config import BATCH_CELLS, BOOK_ROWS, PRICE_ROWS, TRADE_ROWS
+from oddsline.config import BATCH_CELLS, BOOK_ROWS, LIVE_CELLS, PRICE_ROWS, TRADE_ROWS
 from oddsline.functions import rowkeys
 from oddsline.functions.book import mid_probability, with_top_of_book
 from oddsline.operators import serving, views, windows
@@ -153,6 +153,28 @@ def view_cells(spark, folder):
                          F.col("parsed.word").alias("word"))
 
 
+_BOOK_FAMILY, _BOOK_CELLS = LIVE_CELLS[BOOK_ROWS]
+_BOOK_CELL_SQL = " UNION ALL ".join(
+    f"SELECT rowkey, '{_BOOK_FAMILY}' AS family, '{qualifier}' AS qualifier, "
+    + ('CAST(NULL AS DOUBLE) AS number, market_id AS word' if qualifier == "market_id"
+       else f'round(CAST("{column}" AS DOUBLE), 6) AS number, CAST(NULL AS VARCHAR) AS word')
+    + f' FROM book_rows WHERE "{column}" IS NOT NULL'
+    for qualifier, column in _BOOK_CELLS.items())
+
+
+@query("live_view_cells", f"""WITH {o.SOURCE}, {o.BOOKS}, {o.LIVE_BOOK}, book_rows AS (
+  SELECT *, epoch_ms(window_end) AS window_end_ms,
+    'PB#' || market_id || '#' || CAST(9999999999999 - epoch_ms(window_end) AS VARCHAR) AS rowkey
+  FROM live_book) {_BOOK_CELL_SQL}""")
+def live_view_cells(spark, folder):
+    view = stored(spark, views.live_view(windows.live_book(books(spark, folder)), BOOK_ROWS), "book-view")
+    cells = views.to_cells(view, views.live_cells(BOOK_ROWS))
+    parsed = cells.withColumn("parsed", rowkeys.parse_cell("value"))
+    number = F.coalesce(F.col("parsed.number"), F.col("parsed.whole").cast("double"))
+    return parsed.select("rowkey", "family", "qualifier", F.round(number, 6).alias("number"),
+                         F.col("parsed.word").alias("word"))
+
+
 _TYPES = {"open": "double", "close": "double", "high": "double", "low": "double", "volume": "double",
           "avg_prob": "double", "max_prob": "double", "activity": "bigint", "price_movement": "double",
           "result": "string", "symbol": "string"}
