@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,15 +40,12 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the cluster's shared folder (``spark.checkpoint.dir``).
+    """A fresh folder that all executors share.
 
-    Only a local session without that setting falls back to a temporary folder; on
-    a cluster executors could not see one, so there it is an error.
+    It lies below ``spark.checkpoint.dir``. Only where that is unset it lies below the
+    warehouse, which every session has and a cluster shares; never in a folder of one
+    machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="oddsline-"))
-        root = spark.sparkContext.getCheckpointDir()
+    root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+            or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
