@@ -1,43 +1,28 @@
 """The shared work folder."""
 
-import pytest
-
 from oddsline.session import use_utc, work_folder
 
 
-class Context:
-    def __init__(self, master):
-        self.master, self.folder = master, None
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder + "/id"
-
-    def getCheckpointDir(self):
-        return self.folder
+def test_folder_of_the_cluster_is_used(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = work_folder(spark, "x"), work_folder(spark, "x")
+    assert first.startswith(f"{root}/x-") and first != second
 
 
-class Session:
+class Unset:
     """A session without ``spark.checkpoint.dir``."""
 
-    def __init__(self, master):
-        self.sparkContext, self.conf = Context(master), self
+    conf = {"spark.sql.warehouse.dir": "hdfs://store/warehouse"}
 
-    def get(self, key, default):
-        return default
-
-
-def test_folder_of_the_cluster_is_used(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    first, second = work_folder(spark, "x"), work_folder(spark, "x")
-    assert first.startswith(f"{root}/x-") and first != second
+    class sparkContext:
+        @staticmethod
+        def getCheckpointDir():
+            return None
 
 
-def test_without_setting_only_local_sessions_make_their_own():
-    local = Session("local[2]")
-    first, second = work_folder(local, "a"), work_folder(local, "b")
-    assert first.split("/id/")[0] == second.split("/id/")[0]
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        work_folder(Session("spark://host:7077"), "a")
+def test_without_setting_the_warehouse_is_used():
+    first, second = work_folder(Unset, "a"), work_folder(Unset, "b")
+    assert first.startswith("hdfs://store/warehouse/_work/a-") and first != second
 
 
 def test_time_zone(spark):
