@@ -25,6 +25,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Bounds the rows that go to Python at once, so that long texts don't add up."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def lower_ascii(text: Column) -> Column:
     """Only A-Z are lower-cased; other letters stay."""
     return F.translate(text, UPPER, LOWER)

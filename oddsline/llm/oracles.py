@@ -38,3 +38,42 @@ f AS (SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_word
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
 """
+
+NEAR_DEDUP_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(words) - 3, 2)),
+         lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle FROM w WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b USING (shingle)
+      WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * common >= 85 * (x.n + y.n - common)),
+r(id, other) AS (SELECT a, b FROM l UNION SELECT r.id, l.b FROM r JOIN l ON l.a = r.other),
+m AS (SELECT id, min(other) AS least_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(least_id, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(least_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN m ON m.id = d.doc_id
+"""
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+k AS (SELECT item_id, words, least(len(words), 10) AS width FROM i WHERE len(words) > 0),
+v AS (SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2),
+         lambda p: array_to_string(words[p:p + width - 1], ' '))) AS win FROM k),
+widths AS (SELECT DISTINCT width FROM k),
+g AS (SELECT doc_id, width, unnest(range(1, len(words) - width + 2)) AS pos,
+         unnest(list_transform(range(1, len(words) - width + 2),
+         lambda p: array_to_string(words[p:p + width - 1], ' '))) AS win FROM d, widths WHERE len(words) >= width),
+h AS (SELECT doc_id, pos, width, item_id FROM g JOIN v USING (width, win)),
+n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+        (SELECT doc_id, unnest(range(pos, pos + width)) AS p FROM h) GROUP BY 1),
+t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM h GROUP BY 1)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsline.llm import quality
+from oddsline.llm import decontamination, near_dedup, quality
 from oddsline.llm.common import table
-from oddsline.llm.oracles import QUALITY_SQL
+from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
+
+
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of all documents at 85 % of common 5-word shingles."""
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -16,5 +21,15 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept", "failed")
 
 
-QUERIES = {"op8_quality_rules": op8_quality_rules}
-ORACLES = {"op8_quality_rules": QUALITY_SQL}
+def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document inside 10-word windows of benchmark items."""
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_near_dedup, op8_quality_rules, op9_benchmark_decontamination)}
+ORACLES = {
+    "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
+    "op8_quality_rules": QUALITY_SQL,
+    "op9_benchmark_decontamination": DECONTAMINATION_SQL,
+}
