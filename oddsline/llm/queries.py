@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsline.llm import decontamination, near_dedup, quality
+from oddsline.llm import decontamination, mixing, near_dedup, quality, sharding
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
 
@@ -14,6 +14,17 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_curriculum_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with the words that a mix of sources takes of them, in training order."""
+    rows = mixing.in_order(mixing.mixed(table(spark, folder, "documents")))
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op7_kd_tree_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes."""
+    return sharding.sharded(table(spark, folder, "documents"), 16)
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, base verdict and verdict of the current policy for every document."""
     rows = quality.judged(quality.ledger(table(spark, folder, "documents")))
@@ -27,7 +38,7 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op8_quality_rules, op9_benchmark_decontamination)}
+    op1_minhash_near_dedup, op5_curriculum_mixing, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,
