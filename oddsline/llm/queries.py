@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsline.llm import decontamination, mixing, near_dedup, quality, sharding, token_counts
+from oddsline.llm import decontamination, language, mixing, near_dedup, quality, sharding, token_counts
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
 
@@ -14,6 +14,12 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    return language.identified(docs, language.fit(docs))
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every whole document by the 32k merge-based model."""
     import public_tokenizers
@@ -46,7 +52,7 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op4_token_counts, op5_curriculum_mixing, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
+    op1_minhash_near_dedup, op3_language_id, op4_token_counts, op5_curriculum_mixing, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,
