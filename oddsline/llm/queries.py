@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsline.llm import decontamination, language, mixing, near_dedup, quality, sharding, token_counts
+from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, quality, sharding,
+                          token_counts, url_rules)
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
 
@@ -14,6 +15,16 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
 
 
+#: The given rules, host and start of the path, with their verdicts.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
+             ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op2_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict on the URL of every page, by given rules, else by mined ones."""
+    return url_rules.filtered(table(spark, folder, "pages"), table(spark, folder, "labels"), URL_RULES)
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     docs = table(spark, folder, "documents")
@@ -34,6 +45,11 @@ def op5_curriculum_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
 def op7_kd_tree_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes."""
     return sharding.sharded(table(spark, folder, "documents"), 16)
@@ -52,7 +68,7 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op3_language_id, op4_token_counts, op5_curriculum_mixing, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
+    op1_minhash_near_dedup, op2_url_filters, op3_language_id, op4_token_counts, op5_curriculum_mixing, op6_html_extraction, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,
