@@ -238,7 +238,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), *[F.max(f"c{i}").alias(f"c{i}") for i in range(8)]),
         "classes")
     members = written(blocked(classes, clusters(classes)), "members")
-    texts = (raw.join(members, raw.doc_id == members.id)
+    # Members grow with the corpus, so the plan is the one that holds at any size.
+    texts = (raw.join(members.hint("merge"), raw.doc_id == members.id)
              .select("raw", "id", "cluster", "blocks", "block", "s1", "s2"))
     pairs = (texts.mapInArrow(block_rows, BLOCKED).repartition("cluster", "p", "q")
              .sortWithinPartitions("cluster", "p", "q"))
