@@ -33,20 +33,24 @@ def starts(column: str, width: int) -> Column:
     return F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 
 
+def run(column: str, start: Column, width: int) -> list[Column]:
+    """``width`` elements from a 0-based start; unlike a slice, it never copies the array."""
+    return [F.get(column, start + k) for k in range(width)]
+
+
 def fingerprinted(rows: DataFrame, length: int) -> DataFrame:
     """Adds ``_mins``: the fingerprint of every window of ``length`` words of ``_words``."""
     k = gram_size(length)
-    grams = rows.withColumn("_grams", F.transform(
-        starts("_words", k), lambda i: F.xxhash64(F.slice("_words", i + 1, k))))
-    if length == k:
-        return grams.withColumnRenamed("_grams", "_mins")
+    grams = rows.withColumn("_grams", F.transform(starts("_words", k), lambda i: F.xxhash64(*run("_words", i, k))))
     span = length - k + 1
+    if span == 1:
+        return grams.withColumnRenamed("_grams", "_mins")
     return grams.withColumn("_mins", F.transform(
-        starts("_grams", span), lambda i: F.array_min(F.slice("_grams", i + 1, span)))).drop("_grams")
+        starts("_grams", span), lambda i: F.least(*run("_grams", i, span)))).drop("_grams")
 
 
 def window_text(i: Column, length: int) -> Column:
-    return F.array_join(F.slice("_words", i + 1, length), " ")
+    return F.concat_ws(" ", *run("_words", i, length))
 
 
 def item_windows(items: DataFrame) -> DataFrame:
@@ -56,8 +60,8 @@ def item_windows(items: DataFrame) -> DataFrame:
     parts = []
     for length in range(1, WINDOW + 1):
         own = fingerprinted(rows.filter(F.col("_length") == length), length)
-        pairs = F.transform(starts("_words", length), lambda i: F.struct(
-            F.get("_mins", i).alias("fingerprint"), window_text(i, length).alias("window")))
+        pairs = F.transform("_mins", lambda x, i: F.struct(
+            x.alias("fingerprint"), window_text(i, length).alias("window")))
         parts.append(own.select(F.lit(length).alias("length"), "item_id", F.explode(pairs).alias("_w"))
                      .select("length", "_w.fingerprint", "_w.window", "item_id"))
     out = parts[0]
@@ -76,8 +80,9 @@ def hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
            .join(wanted, "fingerprint"))
     matched = written(met.groupBy(*KEY).agg(F.collect_set("fingerprint").alias("_matched")), "matched")
     near = join_nulls(texts, matched, KEY).select(*KEY, "_matched", words(F.col("_text")).alias("_words"))
-    extended = fingerprinted(near, length).withColumn("_at", F.filter(
-        starts("_words", length), lambda i: F.array_contains("_matched", F.get("_mins", i))))
+    # Walks over the fingerprints themselves: looked up by index they would be computed anew for each.
+    extended = fingerprinted(near, length).withColumn("_at", F.filter(F.transform(
+        "_mins", lambda x, i: F.when(F.array_contains("_matched", x), i)), lambda i: i.isNotNull()))
     spans = extended.select(*KEY, F.explode(F.transform("_at", lambda i: F.struct(
         i.alias("start"), window_text(i, length).alias("window")))).alias("_w"))
     return (spans.select(*KEY, "_w.start", F.lit(length).alias("length"), "_w.window")
