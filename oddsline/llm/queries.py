@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, quality, sharding,
+from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, quality, repeats, sharding,
                           token_counts, url_rules)
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
@@ -67,8 +67,14 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op10_bwt_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    return repeats.without_repeats(table(spark, folder, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_near_dedup, op2_url_filters, op3_language_id, op4_token_counts, op5_curriculum_mixing, op6_html_extraction, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination)}
+    op1_minhash_near_dedup, op2_url_filters, op3_language_id, op4_token_counts, op5_curriculum_mixing, op6_html_extraction, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination,
+    op10_bwt_dedup)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,

@@ -16,8 +16,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from oddsline.llm import bwt
 from oddsline.llm.common import row_batches, written
 
 LENGTH, ANCHOR = 100, 32
@@ -82,8 +84,29 @@ def runs(raw: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
         yield anchors[chosen[first]], around, first + at, last + at
 
 
-RUN = [("anchor", pa.int64()), ("around", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("last", pa.int64())]
-RUN_DDL = ", ".join(f"{name} long" for name, _ in RUN)
+#: A run: ``place`` is 128 * first window + windows after it. A settled range, whose windows
+#: all repeat, has no ``around``; there ``place`` is its first window and ``anchor`` its last.
+RUN_DDL = "anchor long, around long, doc_id long, place long"
+FOUND_DDL = "doc_id long, first long, last long, anchor long, others long"
+
+
+def record(names: str, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns],
+                                      names=[part.split()[0] for part in names.split(", ")])
+
+
+def packed(raw: DataFrame) -> DataFrame:
+    """Texts compressed before they are shuffled: (doc_id, packed)."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pressed = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = [pressed(x) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], names=["doc_id", "packed"])
+    return raw.mapInArrow(pack, "doc_id long, packed binary")
+
+
+def unpacked(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
 
 
 def in_chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[list[tuple[int, bytes]]]:
@@ -112,112 +135,170 @@ def earliest(keys: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarra
     return sorting, new
 
 
+def ranges(docs: np.ndarray, firsts: np.ndarray, lasts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Adjoining ranges of windows of a document as one."""
+    sorting = np.lexsort((firsts, docs))
+    docs, firsts, lasts = docs[sorting], firsts[sorting], lasts[sorting]
+    new = np.ones(len(docs), bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (firsts[1:] != lasts[:-1] + 1)
+    ends = np.append(new[1:], True)
+    return docs[new], firsts[new], lasts[ends]
+
+
 def document_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of all documents. Of equal runs in a portion only the earliest is compared
-    further; the others are settled and marked by an ``anchor`` of null."""
+    further, so copies in a portion cost no shuffle; the others are settled."""
     for rows in in_chunks(batches, 8 << 20):
         parts = [[], [], [], [], []]
         for doc, raw in rows:
-            if len(raw) < LENGTH:
-                continue
-            for anchor, around, first, last in runs(raw):
-                for part, values in zip(parts, (anchor, around, np.full(len(first), doc), first, last)):
+            for found in runs(raw):
+                for part, values in zip(parts, (found[0], found[1], np.full(len(found[2]), doc), *found[2:])):
                     part.append(values)
         if not parts[0]:
             continue
         anchor, around, doc, first, last = (np.concatenate(p) for p in parts)
         sorting, new = earliest([anchor, around], [doc, first])
-        columns = [c[sorting].view(np.int64) for c in (anchor, around, doc, first, last)]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], mask=~new), *map(pa.array, columns[1:])],
-                                         names=[name for name, _ in RUN])
+        kept, dropped = sorting[new], sorting[~new]
+        yield record(RUN_DDL, anchor[kept].view(np.int64), around[kept].view(np.int64), doc[kept],
+                     first[kept] * 128 + last[kept] - first[kept])
+        if len(dropped):
+            doc, first, last = ranges(doc[dropped], first[dropped], last[dropped])
+            yield record(RUN_DDL, last, pa.nulls(len(doc), pa.int64()), doc, first)
 
 
 def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over runs sorted by anchor, surroundings, document and start: later equal runs are
-    marked (``anchor`` null); the first ones stay candidates where the anchor has other
-    surroundings too; all others are dropped."""
-    held: list[pa.RecordBatch] = []
-
-    def flush(table: pa.Table):
-        anchor, around = (table.column(i).to_numpy() for i in (0, 1))
+    """Over runs sorted by anchor, surroundings, document and place: settled ranges, and as
+    candidates (with ``anchor`` and the number of ``others``) the first runs of all
+    surroundings where an anchor has several. Runs of an anchor's only surroundings end here."""
+    held: list[np.ndarray] = []  # rows of (anchor, around, doc_id, place)
+
+    def flush(rows: np.ndarray):
+        if not len(rows):
+            return
+        anchor, around, doc, place = rows.T
         new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
         new = new_anchor | np.concatenate(([True], around[1:] != around[:-1]))
         group = np.cumsum(new_anchor) - 1
-        several = np.bincount(group, new)[group] > 1
-        keep = ~new | several
-        batch = table.combine_chunks().to_batches()[0]
-        marked = pa.RecordBatch.from_arrays(
-            [pa.array(anchor, mask=~new), *[batch.column(i) for i in range(1, 5)]], names=batch.schema.names)
-        return marked.filter(pa.array(keep))
+        others = np.bincount(group, new).astype(np.int64)[group] - 1
+        first = place >> 7
+        last = first + (place & 127)
+        none = lambda n: pa.nulls(n, pa.int64())
+        again = np.flatnonzero(~new)
+        if len(again):
+            made = ranges(doc[again], first[again], last[again])
+            yield record(FOUND_DDL, *made, none(len(made[0])), none(len(made[0])))
+        open_ = np.flatnonzero(new & (others > 0))
+        if len(open_):
+            yield record(FOUND_DDL, doc[open_], first[open_], last[open_], anchor[open_], others[open_])
 
     for batch in batches:
+        done = batch.filter(batch.column(1).is_null())
+        if done.num_rows:
+            nulls = pa.nulls(done.num_rows, pa.int64())
+            yield record(FOUND_DDL, done.column(2), done.column(3), done.column(0), nulls, nulls)
+        batch = batch.filter(batch.column(1).is_valid())
         if not batch.num_rows:
             continue
-        anchor = batch.column(0)
-        if anchor.null_count:  # settled before; they come first
-            yield batch.filter(anchor.is_null())
-            batch = batch.filter(anchor.is_valid())
-            if not batch.num_rows:
-                continue
-        held.append(batch)
-        values = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(values, values[-1], "left"))
-        if cut or held[0].column(0)[0].as_py() != values[-1]:
-            yield flush(pa.Table.from_batches([*held[:-1], batch.slice(0, cut)]))
-            held = [batch.slice(cut)]
+        rows = np.stack([batch.column(i).to_numpy() for i in range(4)], 1)
+        cut = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))
+        if cut or (held and held[0][0, 0] != rows[0, 0]):
+            yield from flush(np.concatenate([*held, rows[:cut]]))
+            held = [rows[cut:]]
+        else:
+            held.append(rows)
     if held:
-        yield flush(pa.Table.from_batches(held))
-
-
-WINDOWS_DDL = "w1 long, w2 long, doc_id long, first long, settled boolean"
-
-
-def candidate_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of the candidate runs, by two hashes of their 100 bytes. Of equal ones in a
-    portion only the earliest is compared further."""
-    for rows in in_chunks(batches, 4 << 20):
-        w1, w2, docs, starts = [], [], [], []
-        for doc, raw, firsts, lasts in rows:
-            data = np.frombuffer(raw, np.uint8)
-            for first, last in zip(firsts, lasts):
-                part = data[first:last + LENGTH]
-                if len(part) < last - first + LENGTH:
-                    continue  # another row with the same doc_id
-                w1.append(mix(rolled(part, LENGTH)[LENGTH]))
-                w2.append(mix(rolled(part, LENGTH, 0xC2B2AE3D27D4EB4F)[LENGTH]))
-                docs.append(np.full(len(w1[-1]), doc))
-                starts.append(np.arange(first, first + len(w1[-1])))
-        if not w1:
-            continue
-        w1, w2, docs, starts = map(np.concatenate, (w1, w2, docs, starts))
-        sorting, new = earliest([w1, w2], [docs, starts])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(w1[sorting].view(np.int64)), pa.array(w2[sorting].view(np.int64)), pa.array(docs[sorting]),
-             pa.array(starts[sorting]), pa.array(~new)], names=["w1", "w2", "doc_id", "first", "settled"])
+        yield from flush(np.concatenate(held))
+
+
+CONTEXT_DDL = "anchor long, doc_id long, first long, context binary"
+
+
+def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the candidate runs."""
+    for batch in batches:
+        for doc, data, runs_ in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            raw = unpacked(data)
+            rows = [(r["anchor"], doc, r["first"], raw[r["first"]:r["last"] + LENGTH]) for r in runs_]
+            yield record(CONTEXT_DDL, *[pa.array([r[i] for r in rows], t) for i, t in enumerate(
+                (pa.int64(), pa.int64(), pa.int64(), pa.binary()))])
+
+
+#: Bytes of contexts that are indexed together (more only for one anchor), and of a shard.
+BLOCK, SHARD = 256 << 10, 128 << 10
+#: Anchors with more surroundings than this are compared window by window, which needs no
+#: task to hold them together.
+WIDE = 16384
+REPEATED_DDL = "doc_id long, first long, last long"
+
+
+def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated windows of contexts sorted by anchor, document and place, by merged
+    transforms of blocks of whole anchors; all but the earliest of each are returned."""
+    held: list[tuple] = []
+    size, anchor = 0, None
+
+    def flush():
+        place, group = bwt.repeats([r[3] for r in held], LENGTH, SHARD)
+        if not len(place):
+            return
+        offsets = np.cumsum([0, *(len(r[3]) + 1 for r in held)])
+        at = np.searchsorted(offsets, place, "right") - 1
+        doc = np.array([r[1] for r in held], np.int64)[at]
+        start = np.array([r[2] for r in held], np.int64)[at] + place - offsets[at]
+        sorting, new = earliest([group], [doc, start])
+        later = sorting[~new]
+        yield record(REPEATED_DDL, *ranges(doc[later], start[later], start[later]))
+
+    for batch in batches:
+        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            if row[0] != anchor and size >= BLOCK:
+                yield from flush()
+                held, size = [], 0
+            anchor = row[0]
+            held.append(row)
+            size += len(row[3])
+    if held:
+        yield from flush()
+
+
+def window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of contexts by two hashes of their bytes."""
+    for batch in batches:
+        for _, doc, first, context in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            data = np.frombuffer(context, np.uint8)
+            hashes = [mix(rolled(data, LENGTH, base)[LENGTH]).view(np.int64) for base in (_BASE, 0xC2B2AE3D27D4EB4F)]
+            yield record("w1 long, w2 long, doc_id long, first long", *hashes, np.full(len(hashes[0]), doc),
+                         np.arange(first, first + len(hashes[0])))
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, wide: int = WIDE) -> DataFrame:
     """(doc_id, first, last): windows that also start earlier, as ranges of starts."""
     raw = docs.filter("doc_id IS NOT NULL AND octet_length(text) >= 100").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
-    dealt = (raw.mapInArrow(document_runs, RUN_DDL)
-             .withColumn("_deal", F.coalesce("anchor", F.xxhash64("doc_id", "first")))
-             .repartition("_deal").sortWithinPartitions(F.col("anchor").asc_nulls_first(), "around", "doc_id", "first")
-             .drop("_deal"))
-    found = written(dealt.mapInArrow(settled, RUN_DDL), "runs")
-    asked = (found.filter("anchor IS NOT NULL").groupBy("doc_id")
-             .agg(F.collect_list(F.struct("first", "last")).alias("_c"))
-             .select("doc_id", F.sort_array("_c").alias("_c"))
-             .select(F.col("doc_id").alias("_id"), F.col("_c.first").alias("firsts"), F.col("_c.last").alias("lasts")))
-    candidates = (raw.join(asked.hint("merge"), F.col("doc_id") == F.col("_id"))
-                  .select("doc_id", "raw", "firsts", "lasts"))
-    windows = written(candidates.mapInArrow(candidate_windows, WINDOWS_DDL), "windows")
-    open_ = windows.filter("NOT settled")
-    first = open_.groupBy("w1", "w2").agg(F.min("doc_id").alias("_doc"), F.max("doc_id").alias("_last")).filter("_doc < _last")
-    later = open_.join(first, ["w1", "w2"]).filter("doc_id > _doc").select("doc_id", "first")
-    return (found.filter("anchor IS NULL").select("doc_id", "first", "last")
-            .union(later.union(windows.filter("settled").select("doc_id", "first"))
-                   .select("doc_id", "first", F.col("first").alias("last"))))
+    # Settled ranges are spread by document: copies of one text end at the same window.
+    key = F.when(F.col("around").isNull(), F.xxhash64("doc_id", "place")).otherwise(F.col("anchor"))
+    dealt = (raw.mapInArrow(document_runs, RUN_DDL).repartition(key)
+             .sortWithinPartitions(F.col("around").isNotNull(), "anchor", "around", "doc_id", "place"))
+    found = written(dealt.mapInArrow(settled, FOUND_DDL), "runs")
+    asked = (found.filter("anchor IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
+             .agg(F.collect_list(F.struct("anchor", "first", "last", "others")).alias("_runs")))
+    texts = (packed(raw).join(asked.hint("merge"), F.col("doc_id") == F.col("_id")))
+    own = lambda test: (texts.select("doc_id", "packed", F.filter("_runs", test).alias("_runs"))
+                        .filter(F.size("_runs") > 0).mapInArrow(contexts, CONTEXT_DDL))
+    narrow = (own(lambda r: r["others"] < wide).repartition("anchor")
+              .sortWithinPartitions("anchor", "doc_id", "first").mapInArrow(indexed, REPEATED_DDL))
+    parts = [found.filter("anchor IS NULL").select("doc_id", "first", "last"), narrow]
+    if not found.filter(F.col("others") >= wide).isEmpty():
+        windows = written(own(lambda r: r["others"] >= wide).mapInArrow(
+            window_hashes, "w1 long, w2 long, doc_id long, first long"), "windows")
+        in_order = F.struct("doc_id", "first")
+        least = windows.groupBy("w1", "w2").agg(F.min(in_order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+        later = windows.join(least, ["w1", "w2"]).filter(in_order > F.col("_first"))
+        parts.append(later.select("doc_id", "first", F.col("first").alias("last")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out
 
 
 RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -238,8 +319,8 @@ def removed_spans(size: int, firsts, lasts) -> list[tuple[int, int]]:
 def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for doc, raw, firsts, lasts in zip(*(batch.column(i).to_pylist() for i in range(4))):
-            raw = raw or b""
+        for doc, data, firsts, lasts in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            raw = unpacked(data)
             spans = removed_spans(len(raw), firsts or (), lasts or ())
             digest, at = hashlib.sha256(), 0
             for a, b in spans:
@@ -264,6 +345,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     row_batches(docs.sparkSession)
     marks = (repeated(docs).groupBy(F.col("doc_id").alias("_id"))
              .agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
+    rows = packed(docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                              F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")))
     return (rows.join(marks.hint("merge"), F.col("doc_id") == F.col("_id"), "left")
-            .select("doc_id", "raw", "firsts", "lasts").mapInArrow(cut_rows, RESULT_DDL))
+            .select("doc_id", "packed", "firsts", "lasts").mapInArrow(cut_rows, RESULT_DDL))
