@@ -5,10 +5,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from oddsline.config import (BATCH_CELLS, BATCH_KEY_SEPARATOR, KEY_SEPARATOR, PRICE_ROWS,
-                             QUOTE_SUFFIX, RESULTS, Settings)
+                             QUOTE_SUFFIX, RESULTS, REVERSE_TIME_BASE, Settings)
 from oddsline.functions import rowkeys
 
 WINDOW_SECONDS = 900
@@ -58,9 +60,33 @@ def live_records(view: DataFrame) -> DataFrame:
             .drop("_key"))
 
 
-def range_scan(view: DataFrame, start_s: int, end_s: int) -> DataFrame:
-    """Batch rows with start <= time <= end."""
-    return batch_records(view).filter(F.col("window_ts").between(start_s, end_s))
+def _pruned(view: DataFrame, start_s: int | None, end_s: int | None, pair: str | None = None) -> DataFrame:
+    """The batch view with the stored columns bounded by a time range: the ``date`` folders,
+    and for one pair its row keys.  The exact bound on the parsed time is still to follow."""
+    def day(seconds: int) -> Column:
+        return F.lit(dt.datetime.fromtimestamp(seconds, dt.timezone.utc).date())
+
+    def key(epoch_ms: int) -> str | None:
+        number = str(REVERSE_TIME_BASE - epoch_ms)
+        return batch_prefix(pair) + number if len(number) == len(str(REVERSE_TIME_BASE)) else None
+    if "date" in view.columns:
+        view = view.filter(F.col("date") >= day(start_s)) if start_s is not None else view
+        view = view.filter(F.col("date") <= day(end_s)) if end_s is not None else view
+    if pair is not None:
+        newest = key(end_s * 1000 + 999) if end_s is not None else None
+        oldest = key(start_s * 1000) if start_s is not None else None
+        view = view.filter(F.col("rowkey") >= newest) if newest else view
+        view = view.filter(F.col("rowkey") <= oldest) if oldest else view
+    return view
+
+
+def range_scan(view: DataFrame, start_s: int, end_s: int, symbol: str | None = None) -> DataFrame:
+    """Batch rows (of one symbol) with start <= time <= end; other dates are not read."""
+    pair = None if symbol is None else _pair(symbol)
+    if pair is not None:
+        view = prefix_scan(view, batch_prefix(pair))
+    return (batch_records(_pruned(view, start_s, end_s, pair))
+            .filter(F.col("window_ts").between(start_s, end_s)))
 
 
 def newest_per_key(df: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
@@ -99,9 +125,7 @@ def _pair(symbol: str) -> str:
     return symbol if symbol.endswith(QUOTE_SUFFIX) else symbol + QUOTE_SUFFIX
 
 
-def _live_points(live: DataFrame, pair: str | None, limit: int | None) -> DataFrame:
-    if limit is not None:
-        return latest_live(live, limit, pair)
+def _live_points(live: DataFrame, pair: str | None) -> DataFrame:
     prefix = f"{PRICE_ROWS}{KEY_SEPARATOR}" if pair is None else live_prefix(pair)
     return live_records(prefix_scan(live, prefix))
 
@@ -112,7 +136,7 @@ def _payload(columns: dict[str, str]) -> Column:
 
 def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None = None,
                     start_s: int | None = None, end_s: int | None = None,
-                    now: int | None = None, live_limit: int | None = Settings.live_scan_limit,
+                    now: int | None = None, live_limit: int | None = None,
                     live_minutes: int | None = None, boundary: str = "end") -> DataFrame:
     """Batch windows, and live points after the last batch window, newest first.
 
@@ -120,43 +144,50 @@ def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None
     count only after the *end* of the symbol's last batch window; ``"start"`` compares
     with its start, as older dashboards did.  Symbols without batch rows keep all live
     points.  ``start_s``/``end_s`` default to the day before ``now``, and to no bound
-    without ``now``.
+    without ``now``; ``live_minutes`` counts back from ``now``.  ``live_limit`` keeps the
+    newest points per symbol of those that count; by default all are kept.
     """
     if boundary not in ("end", "start"):
         raise ValueError("boundary must be 'end' or 'start'")
+    if live_minutes is not None and now is None:
+        raise ValueError("live_minutes counts back from now, which is missing")
     if end_s is None:
         end_s = now
     if start_s is None and end_s is not None:
         start_s = end_s - DAY_SECONDS
-    if symbol is not None:
-        batch = prefix_scan(batch, batch_prefix(_pair(symbol)))
+    pair = None if symbol is None else _pair(symbol)
     shift = WINDOW_SECONDS if boundary == "end" else 0
-    # "_stamp": the analysis family has a text column "timestamp" of its own
-    windows = batch_records(batch).withColumn("_stamp", F.col("window_ts") + F.lit(shift))
-    if start_s is not None:
-        windows = windows.filter(F.col("_stamp") >= start_s)
-    if end_s is not None:
-        windows = windows.filter(F.col("_stamp") <= end_s)
-    history = windows.select(
+    first, last = (None if t is None else t - shift for t in (start_s, end_s))
+    stored = batch if pair is None else prefix_scan(batch, batch_prefix(pair))
+
+    def in_range(rows: DataFrame) -> DataFrame:
+        # "_stamp": the analysis family has a text column "timestamp" of its own
+        rows = batch_records(_pruned(rows, first, last, pair)).withColumn("_stamp", F.col("window_ts") + F.lit(shift))
+        rows = rows.filter(F.col("_stamp") >= start_s) if start_s is not None else rows
+        return rows.filter(F.col("_stamp") <= end_s) if end_s is not None else rows
+
+    history = in_range(stored).select(
         "symbol", F.col("_stamp").alias("timestamp"), F.lit("batch").alias("source"),
         F.lit("window_summary").alias("type"),
         *[_payload(columns).alias(family) for family, columns in BATCH_CELLS.items()])
     if live is None:
         merged = history
     else:
-        pair = None if symbol is None else _pair(symbol)
-        points = _live_points(live, pair, live_limit)
-        stamp = F.call_function("div", F.col("epoch_ms"), F.lit(1000))
-        if live_minutes is not None and now is not None:
+        points = _live_points(live, pair)
+        if live_minutes is not None:
             points = points.filter(F.col("epoch_ms") >= (now - live_minutes * 60) * 1000)
         cells = [c for c in points.columns
                  if c not in ("rowkey", "identifier", "row_type", "epoch_ms")]
-        points = points.select(F.col("identifier").alias("symbol"), stamp.alias("timestamp"),
+        points = points.select(F.col("identifier").alias("symbol"),
+                               F.call_function("div", F.col("epoch_ms"), F.lit(1000)).alias("timestamp"),
                                F.lit("speed").alias("source"), F.lit("live_point").alias("type"),
                                F.struct(*cells).alias("data"))
-        last = history.groupBy("symbol").agg(F.max("timestamp").alias("_last"))
-        fresh = (points.join(last, "symbol", "left")
+        keys = [c for c in ("rowkey", "date") if c in stored.columns]
+        newest = in_range(stored.select(*keys)).groupBy("symbol").agg(F.max("_stamp").alias("_last"))
+        fresh = (points.join(newest, "symbol", "left")
                  .filter(F.col("timestamp") > F.coalesce("_last", F.lit(0))).drop("_last"))
+        if live_limit is not None:
+            fresh = newest_per_key(fresh, "symbol", live_limit, F.desc("timestamp"))
         merged = history.unionByName(fresh, allowMissingColumns=True)
     return (merged.withColumn("time", F.timestamp_seconds("timestamp"))
             .orderBy(F.desc("timestamp"), "symbol", "source"))
@@ -165,25 +196,27 @@ def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None
 def current_state(batch: DataFrame, live: DataFrame, now: int,
                   fallback_seconds: int = 3600) -> DataFrame:
     """One row per symbol: its newest live point, else its newest batch window of the
-    last hour; symbols with neither are absent."""
+    last hour; symbols with neither are absent.
+
+    Both are the first row per symbol, limited in every input partition before the
+    shuffle; of the batch view only the dates of the last hour are read.
+    """
     points = live_records(prefix_scan(live, f"{PRICE_ROWS}{KEY_SEPARATOR}"))
     cells = [c for c in points.columns if c not in ("rowkey", "identifier", "row_type", "epoch_ms")]
-    newest_point = (points.groupBy(F.col("identifier").alias("symbol"))
-                    .agg(F.max_by(F.struct("epoch_ms", F.struct(*cells).alias("data")),
-                                  "epoch_ms").alias("point")))
-    recent = batch_records(batch).filter(F.col("window_ts").between(now - fallback_seconds, now))
-    window = F.struct("window_ts", *[_payload(c).alias(f) for f, c in BATCH_CELLS.items()])
-    newest_window = recent.groupBy("symbol").agg(F.max_by(window, "window_ts").alias("window"))
-    has_point = F.col("point").isNotNull()
+    newest_point = (newest_per_key(points, "identifier", 1, F.col("rowkey"))
+                    .select(F.col("identifier").alias("symbol"), "epoch_ms", F.struct(*cells).alias("_data")))
+    recent = range_scan(batch, now - fallback_seconds, now)
+    newest_window = (newest_per_key(recent, "symbol", 1, F.desc("window_ts"), F.col("rowkey"))
+                     .select("symbol", "window_ts", *[_payload(c).alias(f) for f, c in BATCH_CELLS.items()]))
+    has_point = F.col("epoch_ms").isNotNull()
     # Live times are milliseconds, batch times seconds, as the dashboards expect.
     return newest_point.join(newest_window, "symbol", "full").select(
         "symbol", F.when(has_point, "speed").otherwise("batch").alias("source"),
-        F.when(has_point, F.col("point.epoch_ms")).otherwise(F.col("window.window_ts"))
-         .alias("timestamp"),
-        F.when(has_point, F.timestamp_millis("point.epoch_ms"))
-         .otherwise(F.timestamp_seconds("window.window_ts")).alias("time"),
-        F.col("point.data").alias("data"),
-        *[F.when(~has_point, F.col(f"window.{f}")).alias(f) for f in BATCH_CELLS])
+        F.when(has_point, F.col("epoch_ms")).otherwise(F.col("window_ts")).alias("timestamp"),
+        F.when(has_point, F.timestamp_millis("epoch_ms"))
+         .otherwise(F.timestamp_seconds("window_ts")).alias("time"),
+        F.col("_data").alias("data"),
+        *[F.when(~has_point, F.col(f)).alias(f) for f in BATCH_CELLS])
 
 
 # --- accuracy ---------------------------------------------------------------
@@ -205,8 +238,9 @@ def symbol_accuracy(batch: DataFrame, symbol: str, n: int = Settings.accuracy_wi
     pair = _pair(symbol)
     asked = batch.sparkSession.range(1).select(F.lit(pair).alias("symbol"))
     found = recent_accuracy(prefix_scan(batch, batch_prefix(pair)), n)
+    counts = ("windows_analyzed", "correct_predictions", "wrong_predictions")
     return (asked.join(found, "symbol", "left")
-            .withColumn("windows_analyzed", F.coalesce("windows_analyzed", F.lit(0))))
+            .withColumns({c: F.coalesce(c, F.lit(0).cast("long")) for c in counts}))
 
 
 def outcome_counts(analysis: DataFrame, *by: str) -> DataFrame:
@@ -239,6 +273,10 @@ def accuracy_summary(view: DataFrame) -> DataFrame:
                     "total", "overall_accuracy"))
 
 
-def expire(view: DataFrame, now: int, ttl_seconds: int, epoch_s: Column) -> DataFrame:
-    """Rows younger than the time to live."""
-    return view.filter(epoch_s > F.lit(now - ttl_seconds))
+def expire(view: DataFrame, now: int, ttl_seconds: int, column: str, per_second: int = 1) -> DataFrame:
+    """Rows whose whole epoch seconds are younger than the time to live.
+
+    ``column`` counts ``per_second`` units; it is compared as stored, so the bound
+    reaches the scan.
+    """
+    return view.filter(F.col(column) >= F.lit((now - ttl_seconds + 1) * per_second))

@@ -17,8 +17,17 @@ _FAR_PAST = -(2 ** 62)
 
 def drop_repeated(klines: DataFrame,
                   keys: tuple[str, ...] = ("symbol", "timestamp", "snapshot_time")) -> DataFrame:
-    """One row per captured snapshot, e.g. after a backfill overlapped the stream."""
-    return klines.dropDuplicates(list(keys))
+    """One row per captured snapshot, e.g. after a backfill overlapped the stream.
+
+    Of rows that differ otherwise the one with the largest row hash stays, with all its
+    columns; every run picks the same.
+    """
+    rest = [c for c in klines.columns if c not in keys]
+    if not rest:
+        return klines.distinct()
+    order = F.xxhash64(*rest)
+    picked = klines.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in rest])
+    return picked.select(*klines.columns)
 
 
 def newest_per_candle(klines: DataFrame, candle: str = "1 minute",
@@ -30,7 +39,9 @@ def newest_per_candle(klines: DataFrame, candle: str = "1 minute",
     fixed-width ordering number, which keeps this a hash aggregate with map-side
     combine; rows equal in it are told apart by a hash of their values.
     """
-    opened = floor_time(epoch_to_timestamp("timestamp", settings.epoch_unit), candle)
+    time = (F.col("event_time") if "event_time" in klines.columns
+            else epoch_to_timestamp("timestamp", settings.epoch_unit))
+    opened = floor_time(time, candle)
     payload = [c for c in klines.columns if c != "symbol"]
     closed = F.coalesce("is_closed", F.lit(False)).cast("bigint")
     captured = F.coalesce("snapshot_time", F.lit(0))
@@ -166,7 +177,8 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
     if previous is None:
         summaries = summaries.withColumn("last_kept", F.lit(None).cast("bigint"))
     else:
-        summaries = summaries.join(previous.select("symbol", "last_kept"), "symbol", "left")
+        before = previous.select(F.col("symbol").alias("_symbol"), "last_kept")
+        summaries = summaries.join(before, F.col("symbol").eqNullSafe(F.col("_symbol")), "left").drop("_symbol")
     starts = summaries.groupBy("symbol").applyInPandas(
         chain, "symbol string, _chunk bigint, _start bigint")
     return (keyed.join(starts, ["symbol", "_chunk"]).groupBy("symbol", "_chunk")

@@ -76,15 +76,15 @@ def to_cells(flat: DataFrame, cells: dict[str, dict[str, str]], carry: tuple[str
 def from_cells(cells: DataFrame, types: dict[str, str], version: str | None = None) -> DataFrame:
     """Cells back to one row per key with typed columns ``{qualifier: type}``.
 
-    Given a ``version`` column, the newest version of each cell counts.
+    Given a ``version`` column, the newest version of each cell counts, else the largest
+    value.  Texts become typed before they are aggregated, so numbers keep a hash aggregate.
     """
     def pick(qualifier: str, kind: str) -> Column:
         hit = F.col("qualifier") == qualifier
+        value = F.col("value").try_cast(kind)
         if version is None:
-            value = F.max(F.when(hit, F.col("value")))
-        else:
-            value = F.max_by("value", F.when(hit, F.col(version)))
-        return value.try_cast(kind).alias(qualifier)
+            return F.max(F.when(hit, value)).alias(qualifier)
+        return F.max_by(value, F.when(hit, F.col(version))).alias(qualifier)
 
     return cells.groupBy("rowkey").agg(*[pick(q, kind) for q, kind in types.items()])
 

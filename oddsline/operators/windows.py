@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from oddsline.config import Settings
 from oddsline.functions import verdict
-from oddsline.functions.times import floor_time, interval_seconds, order_key
+from oddsline.functions.times import epoch_to_timestamp, floor_time, interval_seconds, order_key
 
 JOINED_COLUMNS = (
     "window_start", "window_end", "crypto", "symbol", "window_open", "window_high", "window_low",
@@ -52,17 +52,17 @@ def _watermarked(df: DataFrame, time: str, delay: str | None) -> DataFrame:
 
 
 def ohlc_windows(klines: DataFrame, every: str = Settings.batch_window,
-                 time: str = "binance_time", sequence: str | None = None,
+                 time: str = "binance_time", sequence: str | None = "snapshot_time",
                  ties: tuple[str, ...] = ("open", "close")) -> DataFrame:
     """Open, high, low, close, mean volume and count per window and symbol.
 
-    First and last are by ``time``, or by the epoch milliseconds in ``sequence``
-    where several snapshots share one candle time.
+    First and last are by the epoch milliseconds in ``sequence``, as all snapshots of a
+    candle share its time, and by ``time`` where that is null, out of range or no column.
     """
-    if sequence is None:
+    if sequence is None or sequence not in klines.columns:
         order = order_key(time, *ties, span_seconds=interval_seconds(every))
     else:
-        order = order_key(F.timestamp_millis(F.col(sequence)), *ties)
+        order = order_key(F.coalesce(epoch_to_timestamp(sequence, "ms"), F.col(time)), *ties)
     return _per_window(
         klines, time, every, ("crypto", "symbol"),
         F.min_by("open", order).alias("window_open"), F.max("high").alias("window_high"),

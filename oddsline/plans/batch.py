@@ -1,51 +1,75 @@
 """The batch job: stored candles and market events -> window verdicts -> batch view.
 
-    spark-submit -m oddsline.plans.batch --klines TABLE --events TABLE --out FOLDER [--date D]
+Install the package on the cluster (``pip install .``), or ship it with ``--py-files``:
+
+    spark-submit --py-files oddsline.zip oddsline/plans/batch.py --klines TABLE --events TABLE \\
+        --out FOLDER --unit ms [--date D [--until D]] [--tokens TABLE]
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oddsline.config import Settings
 from oddsline.operators import serving, views, windows
-from oddsline.session import build_session, use_utc
+from oddsline.session import BATCH_OPTIONS, build_session, use_utc
 from oddsline.sinks import tables as sinks
 from oddsline.sources import tables as sources
 
 
+# Fixed value: no exchange price is older.
+EARLIEST = "2009-01-01"
+
+
 def verdicts(klines: DataFrame, events: DataFrame, date: str | None = None,
              settings: Settings = Settings(), tokens: DataFrame | None = None,
-             sequence: str | None = None) -> DataFrame:
-    """Verdict of every window that has both prices and bets.
+             sequence: str | None = "snapshot_time", until: str | None = None) -> DataFrame:
+    """Verdict of every window that has both prices and bets, from raw or cleansed tables.
 
+    With a ``date`` (or dates up to ``until``) only windows that start then are judged.
     ``tokens`` tags markets by token instead of the default asset; ``sequence`` orders
     several snapshots of one candle time.
     """
-    prices = sources.load_klines(klines, date, settings, keep=(sequence,) if sequence else ())
-    odds = sources.load_probabilities(events, date, settings)
+    keep = (sequence,) if sequence in klines.columns else ()
+    prices = sources.load_klines(klines, date, settings, keep, until)
+    odds = sources.load_probabilities(events, date, settings, until)
     if tokens is None:
         probabilities = windows.probability_windows(odds, settings.batch_window)
     else:
         probabilities = windows.token_probability_windows(odds, tokens, settings.batch_window)
-    return windows.analyze(
+    judged = windows.analyze(
         windows.ohlc_windows(prices, settings.batch_window, sequence=sequence), probabilities, settings)
+    day = F.to_date("window_start")
+    first, last = date, until if until is not None else date
+    judged = judged if first is None else judged.filter(day >= F.lit(first).cast("date"))
+    return judged if last is None else judged.filter(day <= F.lit(last).cast("date"))
+
+
+def check_times(klines: DataFrame, settings: Settings) -> None:
+    """Raise if the newest candle lies in no plausible year, as with a wrong unit."""
+    newest = sources.load_klines(klines, settings=settings).agg(F.max("binance_time").alias("t"))
+    row = newest.select("t", (F.col("t") < F.lit(EARLIEST).cast("timestamp")).alias("early"),
+                        (F.col("t") > F.current_timestamp() + F.expr("INTERVAL 1 YEAR")).alias("late")).first()
+    if row["early"] or row["late"]:
+        raise ValueError(f"newest candle at {row['t']}: is the time unit {settings.epoch_unit!r} right?")
 
 
 def run(spark: SparkSession, klines: DataFrame, events: DataFrame, out: str,
         date: str | None = None, settings: Settings = Settings(),
-        tokens: DataFrame | None = None, sequence: str | None = None) -> DataFrame:
-    """Write ``<out>/analysis`` and ``<out>/view``; returns the outcome counts.
+        tokens: DataFrame | None = None, sequence: str | None = "snapshot_time",
+        until: str | None = None) -> DataFrame:
+    """Write ``<out>/analysis`` and ``<out>/view``; returns the outcome counts of all that is stored.
 
-    The view is made from the stored analysis, so the heavy scan runs once.  Any error
-    is raised and fails the job.
+    Days written before stay, unless they are judged again.  The view is made from the
+    stored analysis, so the heavy scan runs once.  Any error is raised and fails the job.
     """
     use_utc(spark)
-    sinks.write_result(verdicts(klines, events, date, settings, tokens, sequence), f"{out}/analysis")
+    check_times(klines, settings)
+    sinks.write_result(verdicts(klines, events, date, settings, tokens, sequence, until), f"{out}/analysis")
     analysis = spark.read.parquet(f"{out}/analysis")
-    sinks.write_batch_view(views.batch_view(analysis), f"{out}/view")
+    sinks.write_batch_view(views.batch_view(sources.on_dates(analysis, date, until)), f"{out}/view")
     return serving.outcome_report(analysis)
 
 
@@ -54,10 +78,16 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--klines", required=True, help="candle table name")
     parser.add_argument("--events", required=True, help="market event table name")
     parser.add_argument("--out", required=True)
-    parser.add_argument("--date", help="only this partition (YYYY-MM-DD)")
+    parser.add_argument("--unit", required=True, choices=("s", "ms", "us", "ns"),
+                        help="unit of candle times; cleansed tables are in ms")
+    parser.add_argument("--date", help="only this partition, or the first with --until (YYYY-MM-DD)")
+    parser.add_argument("--until", help="last partition (YYYY-MM-DD)")
+    parser.add_argument("--tokens", help="table (token_id, crypto) to tag markets by")
     args = parser.parse_args(argv)
-    spark = build_session("batch-verdicts")
-    run(spark, spark.table(args.klines), spark.table(args.events), args.out, args.date).show()
+    spark = build_session("batch-verdicts", **BATCH_OPTIONS)
+    run(spark, spark.table(args.klines), spark.table(args.events), args.out, args.date,
+        Settings(epoch_unit=args.unit), spark.table(args.tokens) if args.tokens else None,
+        until=args.until).show()
     spark.stop()
 
 

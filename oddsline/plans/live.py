@@ -1,6 +1,9 @@
 """The live job: candle and market topics -> three live windows -> live view.
 
-    spark-submit -m oddsline.plans.live --servers HOST:PORT --root FOLDER --checkpoints FOLDER
+Install the package on the cluster (``pip install .``), or ship it with ``--py-files``:
+
+    spark-submit --py-files oddsline.zip oddsline/plans/live.py --servers HOST:PORT \\
+        --root FOLDER --checkpoints FOLDER
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS, Settings
-from oddsline.session import build_session
+from oddsline.session import STREAM_OPTIONS, build_session
 from oddsline.sources.streams import kafka_stream
 from oddsline.streaming import jobs, monitor
 from oddsline.streaming.live_view import LiveView
@@ -39,7 +42,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--max-offsets", type=int)
     args = parser.parse_args(argv)
-    spark = build_session("live-windows", **{"spark.streaming.stopGracefullyOnShutdown": "true"})
+    spark = build_session("live-windows", **STREAM_OPTIONS,
+                          **{"spark.streaming.stopGracefullyOnShutdown": "true"})
     spark.streams.addListener(monitor.ProgressLog())
     start_all(kafka_stream(spark, args.servers, args.kline_topic, max_offsets=args.max_offsets),
               kafka_stream(spark, args.servers, args.market_topic, max_offsets=args.max_offsets),

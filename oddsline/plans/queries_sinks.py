@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
 import uuid
 
 from pyspark.sql import functions as F
 
 from oddsline.operators import views
-from oddsline.plans import oracle_feeds as o
+from oddsline.plans import batch, oracle_feeds as o
 from oddsline.plans.queries_views import VIEW_SELECT, round_view
 from oddsline.plans.queries_windows import token_verdicts, verdicts
 from oddsline.plans.registry import query, rounded
@@ -17,15 +18,31 @@ from oddsline.sinks import tables as sinks
 from oddsline.sources import feeds, metadata, tables
 
 
+_TABLES: dict[tuple[str, str], str] = {}
+
+
 def _klines_table(spark, folder):
-    """A fresh external candle table over date folders; returns its name."""
-    path = work_folder(spark, "klines")
-    klines = feeds.klines(feeds.events(spark, folder)).drop("event_id")
-    sinks.write_cleansed(klines, path, sort=("symbol",))
-    name = f"klines_{uuid.uuid4().hex[:12]}"
-    tables.create_klines_table(spark, name, path)
-    tables.repair_partitions(spark, name)
-    return name
+    """An external candle table over date folders, made once per session and folder and
+    dropped from the catalog at the end; returns its name."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _TABLES:
+        path = work_folder(spark, "klines")
+        klines = feeds.klines(feeds.events(spark, folder)).drop("event_id")
+        sinks.write_cleansed(klines, path, sort=("symbol",))
+        name = f"klines_{uuid.uuid4().hex[:12]}"
+        tables.create_klines_table(spark, name, path)
+        tables.repair_partitions(spark, name)
+        _TABLES[key] = name
+        atexit.register(_drop, spark, key)
+    return _TABLES[key]
+
+
+def _drop(spark, key):
+    name = _TABLES.pop(key)
+    try:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    except Exception:  # the session, and its catalog with it, has ended before
+        return
 
 
 _SCAN = f"""WITH {o.KLINES}
@@ -57,15 +74,55 @@ def expired_partitions(spark, folder):
     return sinks.expired_partitions(listed, dt.date(2024, 2, 10))
 
 
-@query("write_result", f"""{o.VERDICTS}
+_RESULT = f"""{o.VERDICTS}
 SELECT window_start, crypto, symbol, window_open, window_high, window_low, window_close,
   round(avg_volume, 6) AS avg_volume, round(avg_probability, 6) AS avg_probability, max_probability,
   bet_activity_count, price_movement, actual_direction, predicted_direction, prediction_result
-FROM analysis""")
+FROM analysis"""
+
+
+@query("write_result", _RESULT)
 def write_result(spark, folder):
+    """All days, then one of them again: the others stay."""
     path = work_folder(spark, "analysis")
-    sinks.write_result(verdicts(spark, folder), path)
-    return rounded(spark.read.parquet(path), "avg_volume", "avg_probability")
+    analysis = verdicts(spark, folder)
+    sinks.write_result(analysis, path)
+    sinks.write_result(analysis.filter(F.to_date("window_start") == F.lit("2024-01-15").cast("date")), path)
+    return rounded(spark.read.parquet(path).drop("date"), "avg_volume", "avg_probability")
+
+
+def cleansed_tables(spark, folder):
+    """Raw candles (nanoseconds, as text) and market events, cleansed, stored and read again."""
+    events = feeds.events(spark, folder)
+    klines = feeds.klines(events)
+    raw = klines.select(*[F.col(c).cast("string").alias(c) for c in klines.columns if c != "date"])
+    paths = work_folder(spark, "cleansed-klines"), work_folder(spark, "cleansed-events")
+    sinks.write_cleansed(sinks.cleanse_klines(raw, "ns"), paths[0], sort=("symbol",))
+    sinks.write_cleansed(sinks.cleanse_market_events(feeds.stored_market_events(events)), paths[1], sort=("market",))
+    return tuple(spark.read.parquet(path) for path in paths)
+
+
+@query("cleansed_verdicts", _RESULT)
+def cleansed_verdicts(spark, folder):
+    """The whole chain: raw, cleansed, stored, loaded without a unit, judged."""
+    return rounded(batch.verdicts(*cleansed_tables(spark, folder)), "avg_volume", "avg_probability")
+
+
+@query("market_events_table", f"""WITH {o.SOURCE}, {o.MARKETS}
+SELECT market, asset_id, poly_time AS event_time,
+  CASE WHEN raw_type <> 'click' THEN CAST(price AS DOUBLE) END AS last_trade_price, event_type, date FROM markets""")
+def market_events_table(spark, folder):
+    """The catalog table of cleansed market events."""
+    path = work_folder(spark, "cleansed-events")
+    stored = feeds.stored_market_events(feeds.events(spark, folder))
+    sinks.write_cleansed(sinks.cleanse_market_events(stored), path, sort=("market",))
+    name = f"market_events_{uuid.uuid4().hex[:12]}"
+    tables.create_market_events_table(spark, name, path, cleansed=True)
+    tables.repair_partitions(spark, name)
+    rows = spark.table(name).select("market", "asset_id", "event_time", "last_trade_price", "event_type", "date")
+    _TABLES[spark.sparkContext.applicationId, path] = name
+    atexit.register(_drop, spark, (spark.sparkContext.applicationId, path))
+    return rows
 
 
 @query("write_batch_view", f"{o.VIEW_VERDICTS} {VIEW_SELECT}")
@@ -89,7 +146,7 @@ def write_raw_klines(spark, folder):
 
 
 @query("cleanse_klines", f"""WITH {o.KLINES}
-SELECT snapshot_time AS "timestamp", snapshot_time, open, high, low, close, volume, close_time,
+SELECT snapshot_time AS "timestamp", epoch_ms(snapshot_time) AS event_time, snapshot_time, open, high, low, close, volume, close_time,
   quote_asset_volume, trades, taker_buy_base, taker_buy_quote, symbol, is_closed, date FROM klines""")
 def cleanse_klines(spark, folder):
     path = work_folder(spark, "cleansed-klines")

@@ -99,6 +99,32 @@ def legacy_live_view(spark, folder):
     return view.read()
 
 
+# Events arrive in three batches by time; some of the first come again with a fourth, long behind
+# the watermark, and are dropped. Every window is updated by the batch that it lies in.
+FIRST, SECOND = "2024-01-10", "2024-01-20"
+
+
+def _late_events(spark, folder):
+    """The events as files in the order of their arrival, and a stream of one batch after another."""
+    root, files = work_folder(spark, "arrivals"), spark.sparkContext.defaultParallelism
+    events = feeds.events(spark, folder)
+    late = (F.col("ts") < F.lit(FIRST)) & (F.col("event_id") % 20 == 0)
+    for batch in ((F.col("ts") < F.lit(FIRST)) & ~late,
+                  (F.col("ts") >= F.lit(FIRST)) & (F.col("ts") < F.lit(SECOND)), F.col("ts") >= F.lit(SECOND), late):
+        events.filter(batch).repartition(files).write.mode("append").parquet(root)
+    written = len(spark.read.parquet(root).inputFiles())
+    return streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, max(1, written // 4))
+
+
+@query("stream_late_rows", f"""WITH {o.KLINES.replace("klines AS", "all_klines AS", 1)}, klines AS (
+  SELECT * FROM all_klines WHERE NOT (ts < TIMESTAMP '{FIRST}' AND event_id % 20 = 0)),
+{o.live_price()}, {o.LIVE_PRICE_VIEW}
+SELECT rowkey, window_end, current_price, min_price, max_price, ticks FROM live_rows""")
+def stream_late_rows(spark, folder):
+    view = _live(spark, feeds.kline_messages(_late_events(spark, folder)), PRICE_ROWS).read()
+    return view.select("rowkey", "window_end", "current_price", "min_price", "max_price", "ticks")
+
+
 # Append mode writes a window once the watermark (newest event less two minutes) passed its end.
 @query("stream_to_parquet", f"""WITH {o.KLINES}, {o.live_price()}
 SELECT window_start, window_end, symbol, current_price, min_price, max_price, ticks FROM live_price

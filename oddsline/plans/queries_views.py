@@ -246,10 +246,10 @@ def legacy_frames(spark, folder):
 
 # --- scans over the views ---------------------------------------------------
 
-@query("point_lookup", f"{o.VIEW_VERDICTS} {VIEW_SELECT} WHERE rowkey = 'ETHUSDT_8294740699999'")
+@query("point_lookup", f"{o.VIEW_VERDICTS} {VIEW_SELECT} WHERE rowkey = (SELECT max(rowkey) FROM view_rows)")
 def point_lookup(spark, folder):
     view = stored_batch_view(spark, folder)
-    return round_view(serving.point_lookup(view, "ETHUSDT_8294740699999"))
+    return round_view(serving.point_lookup(view, view.agg(F.max("rowkey")).first()[0]))
 
 
 @query("prefix_scan", f"{o.VIEW_VERDICTS} {VIEW_SELECT} WHERE starts_with(rowkey, 'BTCUSDT_')")
@@ -312,9 +312,7 @@ def latest_n_windows(spark, folder):
 def _timeline_sql(shift: int) -> str:
     return f"""{o.SERVED_BOTH}, last AS (
   SELECT symbol, max(window_ts) + {shift} AS last_ts FROM view_rows GROUP BY symbol), points AS (
-  SELECT identifier AS symbol, window_end // 1000 AS ts_s, current_price, ticks FROM (
-    SELECT *, row_number() OVER (PARTITION BY identifier ORDER BY rowkey) AS rn FROM live_rows)
-  WHERE rn <= 100)
+  SELECT identifier AS symbol, window_end // 1000 AS ts_s, current_price, ticks FROM live_rows)
 SELECT symbol, window_ts + {shift} AS "timestamp", 'batch' AS source, 'window_summary' AS type,
   price_close AS close, prediction_result AS result, CAST(NULL AS DOUBLE) AS current_price,
   CAST(NULL AS BIGINT) AS ticks FROM view_rows
@@ -323,9 +321,8 @@ SELECT p.symbol, ts_s, 'speed', 'live_point', NULL, NULL, current_price, ticks
 FROM points p LEFT JOIN last l ON p.symbol = l.symbol WHERE ts_s > coalesce(last_ts, 0)"""
 
 
-def _timeline(spark, folder, boundary):
-    merged = serving.merged_timeline(served_batch_view(spark, folder), stored_price_view(spark, folder),
-                                     boundary=boundary)
+def _timeline(spark, folder, **options):
+    merged = serving.merged_timeline(served_batch_view(spark, folder), stored_price_view(spark, folder), **options)
     return merged.select(
         "symbol", "timestamp", "source", "type", F.col("price_data.close").alias("close"),
         F.col("analysis.result").alias("result"), F.col("data.current_price").alias("current_price"),
@@ -334,18 +331,33 @@ def _timeline(spark, folder, boundary):
 
 @query("merged_timeline", _timeline_sql(900))
 def merged_timeline(spark, folder):
-    return _timeline(spark, folder, "end")
+    return _timeline(spark, folder, boundary="end")
 
 
 @query("merged_timeline_by_start", _timeline_sql(0))
 def merged_timeline_by_start(spark, folder):
-    return _timeline(spark, folder, "start")
+    return _timeline(spark, folder, boundary="start")
 
 
 # 2024-01-30 12:30 UTC, half an hour after the last batch run
 NOW = 1706617800
 
 
+@query("merged_timeline_of_symbol", f"""{o.SERVED_BOTH}, own AS (
+  SELECT * FROM view_rows WHERE symbol = 'BTCUSDT' AND window_ts + 900 BETWEEN {NOW} - 86400 AND {NOW}), points AS (
+  SELECT window_end // 1000 AS ts_s, current_price, ticks FROM live_rows
+  WHERE identifier = 'BTCUSDT' AND window_end >= ({NOW} - 720 * 60)::BIGINT * 1000)
+SELECT symbol, window_ts + 900 AS "timestamp", 'batch' AS source, 'window_summary' AS type,
+  price_close AS close, prediction_result AS result, CAST(NULL AS DOUBLE) AS current_price,
+  CAST(NULL AS BIGINT) AS ticks FROM own
+UNION ALL
+SELECT 'BTCUSDT', ts_s, 'speed', 'live_point', NULL, NULL, current_price, ticks
+FROM points WHERE ts_s > coalesce((SELECT max(window_ts) + 900 FROM own), 0)""")
+def merged_timeline_of_symbol(spark, folder):
+    """One symbol as a dashboard asks for it: the last 24 hours, live points of the last 12."""
+    return _timeline(spark, folder, symbol="BTC", now=NOW, live_minutes=720)
+
+
 @query("current_state", f"""{o.SERVED_BOTH}, newest_live AS (
   SELECT identifier AS symbol, max(window_end) AS ms, arg_max(current_price, window_end) AS current_price
   FROM live_rows GROUP BY identifier), newest_batch AS (
@@ -392,5 +404,24 @@ def accuracy_summary(spark, folder):
 SELECT rowkey, window_end, ticks FROM live_rows WHERE window_end // 1000 > {NOW} - 86400""")
 def expire_view(spark, folder):
     view = stored_price_view(spark, folder)
-    return serving.expire(view, NOW, 86400, F.call_function("div", F.col("window_end"), F.lit(1000))) \
-        .select("rowkey", "window_end", "ticks")
+    return serving.expire(view, NOW, 86400, "window_end", 1000).select("rowkey", "window_end", "ticks")
+
+
+_SYMBOL_ACCURACY = f"""{o.VIEW_VERDICTS}, ranked AS (
+  SELECT *, row_number() OVER (ORDER BY window_ts DESC) AS rn FROM view_rows WHERE symbol = '{{0}}')
+SELECT '{{0}}' AS symbol, count(*) AS windows_analyzed,
+  count(*) FILTER (prediction_result LIKE 'CORRECT%') AS correct_predictions,
+  count(*) FILTER (prediction_result NOT LIKE 'CORRECT%') AS wrong_predictions,
+  CASE WHEN count(*) > 0 THEN CAST(count(*) FILTER (prediction_result LIKE 'CORRECT%') AS DOUBLE) / count(*) END AS accuracy,
+  min(window_start) AS first_window, max(window_start) AS last_window
+FROM ranked WHERE rn <= 96"""
+
+
+@query("symbol_accuracy", _SYMBOL_ACCURACY.format("ETHUSDT"))
+def symbol_accuracy(spark, folder):
+    return serving.symbol_accuracy(stored_batch_view(spark, folder), "ETH")
+
+
+@query("symbol_accuracy_without_windows", _SYMBOL_ACCURACY.format("NONEUSDT"))
+def symbol_accuracy_without_windows(spark, folder):
+    return serving.symbol_accuracy(stored_batch_view(spark, folder), "NONE")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from oddsline.config import Settings
 from oddsline.operators import serving, snapshots, windows
 from oddsline.plans import batch, oracle_feeds as o
-from oddsline.plans.registry import query, rounded
+from oddsline.plans.registry import ORACLES, query, rounded
 from oddsline.session import work_folder
 from oddsline.sources import feeds, messages, tables
 
@@ -68,8 +69,12 @@ def ohlc_15m(spark, folder):
 @query("ohlc_15m_by_snapshot", f"""WITH {o.KLINES}, {o.ohlc()}
 SELECT * REPLACE (round(avg_volume, 6) AS avg_volume) FROM ohlc""")
 def ohlc_15m_by_snapshot(spark, folder):
-    loaded = tables.load_klines(feeds.klines(feeds.events(spark, folder)), keep=("snapshot_time",))
-    return rounded(windows.ohlc_windows(loaded, sequence="snapshot_time"), "avg_volume")
+    """All snapshots of a candle carry the candle's time; only the capture time orders them."""
+    klines = feeds.klines(feeds.events(spark, folder))
+    minute = 60 * 10 ** 9
+    candles = klines.withColumn("timestamp", F.col("timestamp") - F.pmod("timestamp", F.lit(minute)))
+    loaded = tables.load_klines(candles, keep=("snapshot_time",))
+    return rounded(windows.ohlc_windows(loaded), "avg_volume")
 
 
 @query("prob_15m", f"""WITH {o.SOURCE}, {o.PROBABILITIES}, {o.odds()}
@@ -212,6 +217,15 @@ def dedup_klines(spark, folder):
                          "close", "volume", "is_closed")
 
 
+@query("dedup_klines_in_milliseconds", ORACLES["dedup_klines"])
+def dedup_klines_in_milliseconds(spark, folder):
+    """The same from a feed that counts milliseconds."""
+    klines = feeds.klines(feeds.events(spark, folder)).withColumn("timestamp", F.col("snapshot_time"))
+    newest = snapshots.newest_per_candle(klines, "15 minutes", Settings(epoch_unit="ms"))
+    return newest.select("symbol", "candle_open", "event_id", "snapshot_time", "open", "high", "low",
+                         "close", "volume", "is_closed")
+
+
 # Every event is appended twice, as an overlapping backfill would.
 @query("drop_repeated", f"WITH {o.KLINES} SELECT event_id, symbol, snapshot_time, close FROM klines")
 def drop_repeated(spark, folder):

@@ -20,6 +20,10 @@ KLINES = struct(
     volume=DOUBLE, close_time=LONG, quote_asset_volume=DOUBLE, trades=LONG, taker_buy_base=DOUBLE,
     taker_buy_quote=DOUBLE, symbol=STRING, is_closed=BOOLEAN, date=DATE)
 
+# The same after cleansing: the timestamp in milliseconds, and as a point in time.
+CLEANSED_KLINES = T.StructType([f for f in KLINES if f.name != "date"]
+                               + [T.StructField("event_time", T.TimestampType()), T.StructField("date", DATE)])
+
 # Market events as stored by the collector: everything text, partitioned by date.
 MARKET_EVENTS = struct(
     market=STRING, asset_id=STRING, timestamp=STRING, last_trade_price=STRING, bids=STRING,
@@ -37,6 +41,11 @@ MARKET_MESSAGE = struct(
     event_type=STRING, market=STRING, timestamp=STRING, bids=LEVELS, asks=LEVELS, price=STRING,
     size=STRING)
 
+# Market events after cleansing.
+CLEANSED_EVENTS = struct(
+    market=STRING, asset_id=STRING, event_time=T.TimestampType(), last_trade_price=DOUBLE, bids=LEVELS,
+    asks=LEVELS, event_type=STRING, date=DATE)
+
 # A market inside the stored event metadata (only the fields that are used).
 MARKET_INFO = struct(
     id=STRING, question=STRING, slug=STRING, title=STRING, outcomes=STRING, outcomePrices=STRING,

@@ -7,12 +7,21 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: For a session that runs batch jobs.  Adaptive execution merges partitions by their measured
+#: size but doesn't raise their number, so the start has to suit the largest input.
+BATCH_OPTIONS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m"}
+#: For a session that runs the live job: the partitions of stream state stay for good, and
+#: three queries with little state share a short trigger.
+STREAM_OPTIONS = {"spark.sql.shuffle.partitions": "24"}
+
+
 def build_session(app_name: str = "oddsline", master: str | None = None,
                   **options: str) -> SparkSession:
     """A session with the settings the jobs are tuned for; ``options`` override them.
 
-    Shuffle partitions start high and are coalesced by adaptive execution, so one
-    setting serves both small and very large inputs.
+    The number of shuffle partitions is the caller's: ``BATCH_OPTIONS``, ``STREAM_OPTIONS``
+    or what suits a test.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",

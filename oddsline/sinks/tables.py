@@ -36,8 +36,8 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...], mode: str =
 
 
 def write_result(analysis: DataFrame, path: str) -> None:
-    """Replace the stored analysis result."""
-    analysis.write.mode("overwrite").parquet(path)
+    """Store the analysis result by date of its windows; days not in it stay as they are."""
+    write_partitioned(analysis.withColumn("date", F.to_date("window_start")), path, ("date",))
 
 
 def write_batch_view(view: DataFrame, path: str) -> None:
@@ -63,10 +63,14 @@ def write_raw_klines(klines: DataFrame, path: str, unit: str = "ms") -> None:
 
 
 def cleanse_klines(raw: DataFrame, unit: str = "ms") -> DataFrame:
-    """Raw candles of any column types -> the typed candle table."""
-    dated = raw.withColumn("date", F.to_date(epoch_to_timestamp(
-        F.col("timestamp").try_cast("bigint"), unit)))
-    return dated.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.KLINES])
+    """Raw candles of any column types -> the typed candle table.
+
+    ``unit`` is that of the raw ``timestamp``; it is converted here once. The stored
+    ``timestamp`` is in milliseconds, and ``event_time`` the same as a timestamp.
+    """
+    time = epoch_to_timestamp(F.col("timestamp").try_cast("bigint"), unit)
+    dated = raw.withColumns({"event_time": time, "date": F.to_date(time), "timestamp": F.unix_millis(time)})
+    return dated.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schemas.CLEANSED_KLINES])
 
 
 def cleanse_market_events(raw: DataFrame) -> DataFrame:

@@ -13,36 +13,51 @@ KLINE_COLUMNS = ("binance_time", "crypto", "symbol", "open", "high", "low", "clo
 PROBABILITY_COLUMNS = ("poly_time", "crypto", "asset_id", "market", "price", "event_type", "date")
 
 
-def _on_date(df: DataFrame, date: str | None) -> DataFrame:
-    """Equality on the partition column, so that a stored table is pruned to one folder."""
-    return df if date is None else df.filter(F.col("date") == F.lit(date).cast("date"))
+def on_dates(df: DataFrame, date: str | None, until: str | None = None) -> DataFrame:
+    """Bounds on the partition column, so that a stored table is pruned to these folders:
+    one date, or all from ``date`` to ``until`` (both included, either may be open)."""
+    if until is None:
+        return df if date is None else df.filter(F.col("date") == F.lit(date).cast("date"))
+    df = df if date is None else df.filter(F.col("date") >= F.lit(date).cast("date"))
+    return df.filter(F.col("date") <= F.lit(until).cast("date"))
+
+
+def is_cleansed(table: DataFrame) -> bool:
+    """Whether a table holds cleansed rows, which carry their time as a timestamp."""
+    return "event_time" in table.columns
 
 
 def load_klines(klines: DataFrame, date: str | None = None, settings: Settings = Settings(),
-                keep: tuple[str, ...] = ()) -> DataFrame:
-    """Candle snapshots with event time and asset name.
+                keep: tuple[str, ...] = (), until: str | None = None) -> DataFrame:
+    """Candle snapshots, raw or cleansed, with event time and asset name.
 
+    Raw tables count ``timestamp`` in ``settings.epoch_unit``; cleansed ones need no unit.
     ``keep`` carries further columns along, e.g. ``snapshot_time`` to order snapshots
     of one candle.
     """
-    return _on_date(klines, date).withColumns({
-        "binance_time": epoch_to_timestamp("timestamp", settings.epoch_unit),
+    time = (F.col("event_time") if is_cleansed(klines)
+            else epoch_to_timestamp("timestamp", settings.epoch_unit))
+    return on_dates(klines, date, until).withColumns({
+        "binance_time": time,
         "crypto": symbol_to_crypto("symbol", settings.pairs),
     }).select(*KLINE_COLUMNS, *keep)
 
 
 def load_probabilities(events: DataFrame, date: str | None = None,
-                       settings: Settings = Settings()) -> DataFrame:
-    """Market events with a readable price; bids and asks are never read.
+                       settings: Settings = Settings(), until: str | None = None) -> DataFrame:
+    """Market events, raw or cleansed, with a readable price; bids and asks are never read.
 
-    All markets carry the default asset; see ``operators.windows.tag_markets`` for
-    tagging by token.
+    The typed price of a cleansed table is filtered inside its scan.  All markets carry
+    the default asset; see ``operators.windows.tag_markets`` for tagging by token.
     """
-    price = F.col("last_trade_price").try_cast("double")
-    return (_on_date(events, date)
-            .select(mixed_timestamp("timestamp").alias("poly_time"),
-                    F.lit(settings.default_crypto).alias("crypto"),
-                    "asset_id", "market", price.alias("price"), "event_type", "date")
+    events = on_dates(events, date, until)
+    if is_cleansed(events):
+        time, price = F.col("event_time"), F.col("last_trade_price")
+        events = events.filter(price.isNotNull())
+    else:
+        time, price = mixed_timestamp("timestamp"), F.col("last_trade_price").try_cast("double")
+    return (events.select(time.alias("poly_time"), F.lit(settings.default_crypto).alias("crypto"),
+                          "asset_id", "market", price.alias("price"), "event_type", "date")
             .filter(F.col("price").isNotNull()))
 
 
@@ -58,8 +73,8 @@ def create_klines_table(spark: SparkSession, name: str, location: str) -> None:
     create_table(spark, name, schemas.KLINES, location)
 
 
-def create_market_events_table(spark: SparkSession, name: str, location: str) -> None:
-    create_table(spark, name, schemas.MARKET_EVENTS, location)
+def create_market_events_table(spark: SparkSession, name: str, location: str, cleansed: bool = False) -> None:
+    create_table(spark, name, schemas.CLEANSED_EVENTS if cleansed else schemas.MARKET_EVENTS, location)
 
 
 def repair_partitions(spark: SparkSession, name: str) -> None:
@@ -77,10 +92,6 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
-def has_columns(df: DataFrame, *names: str) -> bool:
-    return set(names) <= set(df.columns)
-
-
 def latest_snapshots(klines: DataFrame, n: int = 5) -> DataFrame:
     """The ``n`` newest snapshots (a bounded top-k, merged from per-partition heaps)."""
     return (klines.filter(F.col("snapshot_time").isNotNull())

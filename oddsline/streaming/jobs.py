@@ -71,18 +71,28 @@ def view_of(spark: SparkSession, rows: DataFrame, root: str) -> LiveView:
     return LiveView(spark, root, rows.schema)
 
 
+def _has_started(spark: SparkSession, checkpoint: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def start_upsert(rows: DataFrame, root: str, options: StreamOptions, maintenance: Maintenance | None = None,
-                 ) -> tuple[StreamingQuery, LiveView]:
+                 order: str | None = None) -> tuple[StreamingQuery, LiveView]:
     """Feed keyed rows into the live view at ``root``.
 
     Update mode: only windows changed by a micro-batch are written.  The batch is
-    written once and not counted or collected first.  Checkpoint and root belong
-    together: batch numbers of a new checkpoint start over.
+    written once and not counted or collected first.  ``order`` picks the row of a key
+    that a batch can hold twice.  Checkpoint and root belong together: batch numbers of a
+    new checkpoint start over, so one over a root that has rows already is refused.
     """
-    view = view_of(rows.sparkSession, rows, root)
+    spark = rows.sparkSession
+    view = view_of(spark, rows, root)
+    if view.last_version() >= 0 and not _has_started(spark, options.checkpoint):
+        raise ValueError(f"{root} holds micro-batches up to {view.last_version()}, but {options.checkpoint} "
+                         "is a new checkpoint; its batches would never be read")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        view.upsert(batch, batch_id)
+        view.upsert(batch, batch_id, order)
         if maintenance and (batch_id + 1) % maintenance.every == 0:
             view.compact(maintenance.oldest_window_end())
             view.vacuum(maintenance.keep)
@@ -96,13 +106,13 @@ def start_live_windows(raw: DataFrame, row_type: str, root: str, options: Stream
                        maintenance: Maintenance | None = None) -> tuple[StreamingQuery, LiveView]:
     """Raw messages -> live windows of one row type -> live view."""
     rows = views.live_view(WINDOWS_OF[row_type](raw, settings), row_type, truncate)
-    return start_upsert(rows, root, options, maintenance)
+    return start_upsert(rows, root, options, maintenance, order="window_end" if truncate else None)
 
 
 def start_event_rows(events: DataFrame, root: str,
                      options: StreamOptions) -> tuple[StreamingQuery, LiveView]:
     """Older format: one live row per event, without aggregation."""
-    return start_upsert(views.event_view(views.legacy_live_frame(events)), root, options)
+    return start_upsert(views.event_view(views.legacy_live_frame(events)), root, options, order="window_end")
 
 
 def start_parquet(aggregated: DataFrame, path: str, options: StreamOptions) -> StreamingQuery:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 _DONE = "_SUCCESS"
 
@@ -27,18 +27,16 @@ class LiveView:
     # --- folders -------------------------------------------------------------
 
     def _versions(self, kind: str, label: str) -> list[int]:
-        """Numbers of the complete folders of a kind (folder names only, no data)."""
+        """Numbers of the complete folders of a kind, by one listing of names (no data)."""
         jvm = self.spark._jvm
-        parent = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
-        fs = parent.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(parent):
-            return []
-        found = []
-        for status in fs.listStatus(parent):
-            match = re.fullmatch(rf"{label}=(\d+)", status.getPath().getName())
-            if match and fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), _DONE)):
-                found.append(int(match.group(1)))
-        return sorted(found)
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/{label}=*/{_DONE}")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        names = [status.getPath().getParent().getName() for status in found or []]
+        return sorted(int(m.group(1)) for m in (re.fullmatch(rf"{label}=(\d+)", n) for n in names) if m)
+
+    def last_version(self) -> int:
+        """The newest micro-batch in the view, -1 for none."""
+        return max([-1, *self._versions("base", "upto"), *self._versions("deltas", "batch_id")])
 
     def _remove(self, folder: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -52,55 +50,58 @@ class LiveView:
 
     # --- write ---------------------------------------------------------------
 
-    def upsert(self, rows: DataFrame, batch_id: int) -> None:
+    def upsert(self, rows: DataFrame, batch_id: int, order: str | None = None) -> None:
         """``foreachBatch`` target; writing the same batch again changes nothing.
 
-        The few changed rows are packed into few files.
+        ``order`` (a BIGINT column) is given where a batch can hold a key twice: the row
+        with the largest order stays, of equal ones that with the largest row hash.  The
+        few changed rows are packed into few files.
         """
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]
-        (rows.select(*columns).hint("rebalance").write.mode("overwrite")
-         .parquet(self._delta(batch_id)))
+        changed = rows.select(*columns)
+        if order is not None:
+            newest = Window.partitionBy(self.key).orderBy(F.desc(order), F.desc(F.xxhash64(*self.schema.names)))
+            changed = (changed.withColumn("_rank", F.row_number().over(newest))
+                       .filter("_rank = 1").drop("_rank"))
+        changed.hint("rebalance").write.mode("overwrite").parquet(self._delta(batch_id))
 
     # --- read ----------------------------------------------------------------
 
-    def _rows(self, upto: int | None = None) -> tuple[DataFrame, bool]:
-        """All rows with their version, and whether each key occurs once already."""
+    def _parts(self, upto: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+        """The newest base, and the deltas after it with their version; None where missing."""
         bases = [v for v in self._versions("base", "upto") if upto is None or v <= upto]
         base = bases[-1] if bases else -1
         deltas = [v for v in self._versions("deltas", "batch_id")
                   if v > base and (upto is None or v <= upto)]
-        parts = []
+        stored = changed = None
         if base >= 0:
-            parts.append(self.spark.read.schema(self.schema).parquet(self._base(base))
-                         .withColumn("_version", F.lit(base).cast("bigint")))
+            stored = self.spark.read.schema(self.schema).parquet(self._base(base))
         if deltas:
             full = T.StructType(list(self.schema.fields) + [T.StructField("batch_id", T.LongType())])
-            parts.append(self.spark.read.schema(full)
-                         .option("basePath", f"{self.root}/deltas")
-                         .parquet(*[self._delta(v) for v in deltas])
-                         .withColumnRenamed("batch_id", "_version"))
-        if not parts:
-            empty = T.StructType(list(self.schema.fields) + [T.StructField("_version", T.LongType())])
-            return self.spark.createDataFrame([], empty), True
-        rows = parts[0]
-        for other in parts[1:]:
-            rows = rows.unionByName(other)
-        return rows, not deltas
+            changed = (self.spark.read.schema(full).option("basePath", f"{self.root}/deltas")
+                       .parquet(*[self._delta(v) for v in deltas]).withColumnRenamed("batch_id", "_version"))
+        return stored, changed
 
     def read(self, upto: int | None = None, min_window_end: int | None = None) -> DataFrame:
         """Current rows; per cell the newest non-null value counts.
 
-        ``min_window_end`` (epoch ms) drops expired rows inside the scan.
+        Only the deltas are aggregated; the base, which has every key once, is joined to
+        the changed keys.  ``min_window_end`` (epoch ms) drops expired rows inside the scans.
         """
-        rows, resolved = self._rows(upto)
+        stored, changed = self._parts(upto)
         if min_window_end is not None:
-            rows = rows.filter(F.col("window_end") > min_window_end)
-        if resolved:
-            return rows.select(*self.schema.names)
+            stored, changed = (None if rows is None else rows.filter(F.col("window_end") > min_window_end)
+                               for rows in (stored, changed))
+        if changed is None:
+            return self.spark.createDataFrame([], self.schema) if stored is None else stored.select(*self.schema.names)
         cells = [f.name for f in self.schema if f.name != self.key]
-        return rows.groupBy(self.key).agg(*[
-            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_version"))).alias(c) for c in cells
-        ]).select(*self.schema.names)
+        newest = changed.groupBy(self.key).agg(*[
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_version"))).alias(c) for c in cells])
+        if stored is None:
+            return newest.select(*self.schema.names)
+        renamed = newest.withColumnsRenamed({c: f"_new_{c}" for c in cells})
+        return stored.join(renamed, self.key, "full").select(*[
+            F.col(c) if c == self.key else F.coalesce(f"_new_{c}", c).alias(c) for c in self.schema.names])
 
     # --- maintenance ---------------------------------------------------------
 

@@ -40,7 +40,11 @@ class ProgressLog(StreamingQueryListener):
 
 
 def progress_report(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """One row per recent micro-batch of each query."""
+    """One row per recent micro-batch of each query.
+
+    Spark keeps only the newest ones (``spark.sql.streaming.numRecentProgressUpdates``);
+    totals over a whole run come from :class:`ProgressLog`.
+    """
     rows = []
     for query in queries:
         for progress in query.recentProgress:

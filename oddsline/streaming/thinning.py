@@ -14,6 +14,7 @@ from oddsline.config import Settings
 from oddsline.operators.snapshots import thin_snapshots
 
 STATE_SCHEMA = "symbol string, last_kept bigint"
+KEPT_STATES = 3
 
 
 class ThinnedSnapshots:
@@ -26,22 +27,37 @@ class ThinnedSnapshots:
         return f"{self.root}/state/batch_id={batch_id}"
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` target."""
+        """``foreachBatch`` target; the batch is read from its source once."""
         spark = batch.sparkSession
         empty = spark.createDataFrame([], STATE_SCHEMA)
         before = (spark.read.schema(STATE_SCHEMA).parquet(self._state(batch_id - 1))
                   if batch_id > 0 else empty)
         rows = f"{self.root}/rows/batch_id={batch_id}"
-        (thin_snapshots(batch, self.seconds, self.chunk, previous=before)
-         .hint("rebalance").write.mode("overwrite").parquet(rows))
+        batch = batch.persist()
+        try:
+            (thin_snapshots(batch, self.seconds, self.chunk, previous=before)
+             .hint("rebalance").write.mode("overwrite").parquet(rows))
+        finally:
+            batch.unpersist()
         kept = (spark.read.schema(batch.schema).parquet(rows)
                 .select("symbol", F.col("snapshot_time").alias("last_kept")))
         (before.unionByName(kept).groupBy("symbol").agg(F.max("last_kept").alias("last_kept"))
          .write.mode("overwrite").parquet(self._state(batch_id)))
-
-    def start(self, klines: DataFrame, checkpoint: str) -> StreamingQuery:
-        return (klines.writeStream.foreachBatch(self.append)
-                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        if batch_id >= KEPT_STATES:  # a replay starts at most one batch back
+            self._remove(self._state(batch_id - KEPT_STATES))
+
+    def _remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def start(self, klines: DataFrame, checkpoint: str, trigger: str | None = None,
+              name: str | None = None) -> StreamingQuery:
+        """``trigger=None`` processes everything available and stops."""
+        writer = klines.writeStream.foreachBatch(self.append).option("checkpointLocation", checkpoint)
+        writer = writer.queryName(name) if name else writer
+        if trigger is None:
+            return writer.trigger(availableNow=True).start()
+        return writer.trigger(processingTime=trigger).start()
 
     def read(self, schema) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.root}/rows/batch_id=*")

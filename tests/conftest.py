@@ -13,7 +13,7 @@ DATA = "/root/testdata"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "tests", "local[8]",
+        "tests", "local[4]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
            "spark.driver.memory": "8g", "spark.driver.bindAddress": "127.0.0.1",
            "spark.driver.host": "127.0.0.1",

@@ -194,5 +194,5 @@ def test_accuracy_of_an_empty_view(spark):
 
 def test_expiry(spark):
     live = live_view(spark, [("A", NOON, 1.0), ("A", NOON - 86401, 1.0)])
-    kept = serving.expire(live, NOON, 86400, (F.col("window_end") / 1000).cast("bigint")).collect()
+    kept = serving.expire(live, NOON, 86400, "window_end", 1000).collect()
     assert len(kept) == 1
