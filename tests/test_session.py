@@ -27,3 +27,10 @@ def test_without_setting_the_warehouse_is_used():
 
 def test_time_zone(spark):
     assert use_utc(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_partitions_of_batch_and_live_jobs():
+    from oddsline import session
+
+    assert int(session.BATCH_OPTIONS["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 10000
+    assert int(session.STREAM_OPTIONS["spark.sql.shuffle.partitions"]) <= 64

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from oddsline.operators import views
@@ -106,3 +107,32 @@ def test_batch_job(spark, tmp_path):
     assert {str(r.d) for r in day.select(F.to_date("window_start").alias("d")).collect()} <= {"2024-01-15"}
     assert views.batch_view(expected).columns == [
         c for c in spark.read.parquet(f"{out}/view").columns if c != "date"]
+
+
+def test_daily_run_keeps_other_days_and_refuses_a_wrong_unit(spark, tmp_path):
+    from oddsline.config import Settings
+
+    events = feeds.events(spark, "/root/testdata/sf0.001")
+    klines, market = feeds.klines(events), feeds.stored_market_events(events)
+    out = str(tmp_path / "out")
+    batch.run(spark, klines, market, out)
+    rows = lambda: sorted(map(tuple, spark.read.parquet(f"{out}/analysis").collect()), key=str)
+    whole = rows()
+    batch.run(spark, klines, market, out, date="2024-01-15")
+    assert rows() == whole
+    with pytest.raises(ValueError, match="unit"):
+        batch.run(spark, klines, market, out, settings=Settings(epoch_unit="us"))
+
+
+def test_cleansed_tables_need_no_unit(spark, tmp_path):
+    events = feeds.events(spark, "/root/testdata/sf0.001")
+    klines, market = feeds.klines(events), feeds.stored_market_events(events)
+    sinks.write_cleansed(sinks.cleanse_klines(klines, "ns"), str(tmp_path / "k"))
+    sinks.write_cleansed(sinks.cleanse_market_events(market), str(tmp_path / "e"))
+    stored = [spark.read.parquet(str(tmp_path / name)) for name in "ke"]
+    got = batch.verdicts(*stored, date="2024-01-10", until="2024-01-20")
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(last_trade_price)" in text and "PartitionFilters: [isnotnull(date" in text
+    want = batch.verdicts(klines, market).filter("date(window_start) BETWEEN '2024-01-10' AND '2024-01-20'")
+    key = lambda df: sorted((r.window_start, r.symbol, r.window_close, r.prediction_result) for r in df.collect())
+    assert key(got) == key(want) and key(got)

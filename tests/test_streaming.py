@@ -250,3 +250,47 @@ def test_streams_and_tables_share_operators(spark):
     events = feeds.events(spark, "/root/testdata/sf0.001")
     df = windows.live_trades(messages.trades(messages.decode_market_events(feeds.market_messages(events))))
     assert "EventTimeWatermark" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_new_checkpoint_over_an_old_root_is_refused(spark, tmp_path):
+    write_file(tmp_path / "in", 0, [tick(1)])
+    raw = streams.text_stream(spark, str(tmp_path / "in"))
+    start = lambda name: jobs.start_live_windows(raw, PRICE_ROWS, str(tmp_path / "root"), options(tmp_path, name))
+    monitor.drain(start("first")[0])
+    write_file(tmp_path / "in", 1, [tick(200, 7.0)])
+    with pytest.raises(ValueError, match="new checkpoint"):
+        start("second")
+    running, view = start("first")  # the same checkpoint goes on
+    monitor.drain(running)
+    assert sorted(r.current_price for r in view.read().collect()) == [1.0, 7.0]
+
+
+def test_a_key_twice_in_a_batch(spark, tmp_path):
+    schema = struct(rowkey=STRING, window_end=LONG, a=DOUBLE, b=DOUBLE)
+    for number, rows in enumerate(([("k", 1, 1.0, None), ("k", 2, 2.0, 5.0), ("l", 1, 3.0, 3.0)],
+                                   [("l", 1, 3.0, 3.0), ("k", 2, 2.0, 5.0), ("k", 1, 1.0, None)])):
+        view = LiveView(spark, str(tmp_path / str(number)), schema)
+        view.upsert(spark.createDataFrame(rows, schema).repartition(3), 0, order="window_end")
+        assert sorted(map(tuple, view.read().collect())) == [("k", 2, 2.0, 5.0), ("l", 1, 3.0, 3.0)]
+
+
+def test_only_deltas_are_aggregated(spark, tmp_path):
+    schema = struct(rowkey=STRING, window_end=LONG, a=DOUBLE)
+    view = LiveView(spark, str(tmp_path), schema)
+    view.upsert(spark.createDataFrame([("k", 1, 1.0), ("l", 1, 2.0)], schema), 0)
+    view.compact()
+    for batch_id, rows in ((1, [("k", 2, None)]), (2, [("m", 2, 4.0), ("k", 3, 9.0)])):
+        view.upsert(spark.createDataFrame(rows, schema), batch_id)
+    assert sorted(map(tuple, view.read().collect())) == [("k", 3, 9.0), ("l", 1, 2.0), ("m", 2, 4.0)]
+    text = view.read()._jdf.queryExecution().executedPlan().toString()
+    base = [part for part in text.split("Scan parquet") if "base/upto" in part]
+    assert base and view.last_version() == 2
+
+
+def test_thinning_keeps_null_symbols(spark, tmp_path):
+    captured = spark.createDataFrame([(0, None, False), (500, None, False), (2000, None, False), (0, "a", True)],
+                                     "snapshot_time bigint, symbol string, is_closed boolean")
+    from oddsline.operators.snapshots import thin_snapshots
+
+    kept = sorted(((r.symbol or ""), r.snapshot_time) for r in thin_snapshots(captured).collect())
+    assert kept == [("", 0), ("", 2000), ("a", 0)]

@@ -147,8 +147,12 @@ def test_one_symbol_range_and_limits(spark):
     live = live_view(spark, [("BTCUSDT", NOON + 60 * i, float(i)) for i in range(1, 130)])
     day = serving.merged_timeline(batch, live, symbol="BTC", now=NOON)
     counts = {r["source"]: r["count"] for r in day.groupBy("source").count().collect()}
-    assert counts == {"batch": 97, "speed": 100}
-    everything = serving.merged_timeline(batch, live, symbol="BTCUSDT", live_limit=None)
+    assert counts == {"batch": 97, "speed": 129}
+    limited = serving.merged_timeline(batch, live, now=NOON, live_limit=100).filter("source = 'speed'")
+    assert limited.count() == 100 and limited.agg(F.min("timestamp")).first()[0] == NOON + 60 * 30
+    with pytest.raises(ValueError, match="now"):
+        serving.merged_timeline(batch, live, live_minutes=10)
+    everything = serving.merged_timeline(batch, live, symbol="BTCUSDT")
     counts = {r["source"]: r["count"] for r in everything.groupBy("source").count().collect()}
     assert counts == {"batch": 199, "speed": 129}
     recent = serving.merged_timeline(batch, live, symbol="BTC", now=NOON + 60 * 129, live_minutes=10)
@@ -196,3 +200,35 @@ def test_expiry(spark):
     live = live_view(spark, [("A", NOON, 1.0), ("A", NOON - 86401, 1.0)])
     kept = serving.expire(live, NOON, 86400, "window_end", 1000).collect()
     assert len(kept) == 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_bounds_reach_the_scans(spark, tmp_path):
+    from oddsline.sinks import tables as sinks
+
+    rows = [("BTCUSDT", NOON - 86400 * i, 1.0, "UNCERTAIN") for i in range(9)]
+    sinks.write_batch_view(batch_view(spark, rows), str(tmp_path / "view"))
+    view = spark.read.parquet(str(tmp_path / "view"))
+    live_view(spark, [("BTCUSDT", NOON, 1.0)]).write.parquet(str(tmp_path / "live"))
+    live = spark.read.parquet(str(tmp_path / "live"))
+    scan = serving.range_scan(view, NOON - 86400, NOON, "BTC")
+    assert "PartitionFilters: [isnotnull(date" in plan(scan) and "GreaterThanOrEqual(rowkey" in plan(scan)
+    assert sorted(r.window_ts for r in scan.collect()) == [NOON - 86400, NOON]
+    assert "PartitionFilters: [isnotnull(date" in plan(serving.merged_timeline(view, live, now=NOON))
+    state = serving.current_state(view, live, NOON)
+    assert "SortAggregate" not in plan(state) and "PartitionFilters: [isnotnull(date" in plan(state)
+    assert "GreaterThanOrEqual(window_end" in plan(serving.expire(live, NOON, 60, "window_end", 1000))
+
+
+def test_numbers_of_cells_are_aggregated_by_hash(spark):
+    cells = views.to_cells(batch_view(spark, [("BTCUSDT", NOON, 9.5, "UNCERTAIN")]), views.batch_cells())
+    numbers = views.from_cells(cells, {"close": "double", "activity": "bigint"})
+    assert "SortAggregate" not in plan(numbers) and numbers.first().close == 9.5
+
+
+def test_accuracy_of_a_symbol_without_windows(spark):
+    row = serving.symbol_accuracy(batch_view(spark, [("BTCUSDT", NOON, 1.0, "CORRECT_BULL")]), "ETH").first()
+    assert (row.windows_analyzed, row.correct_predictions, row.wrong_predictions, row.accuracy) == (0, 0, 0, None)
