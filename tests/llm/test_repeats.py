@@ -1,0 +1,100 @@
+"""Removed bytes against plain code, and transforms against sorted suffixes."""
+
+import hashlib
+import random
+from collections import defaultdict
+
+import pytest
+
+from oddsline.llm import bwt, repeats as R
+from tests.llm import edge
+
+
+def brute(rows):
+    seen, out = set(), []
+    for doc, text in sorted(rows):
+        raw = (text or "").encode()
+        covered = bytearray(len(raw))
+        for i in range(len(raw) - 99):
+            if raw[i:i + 100] in seen:
+                covered[i:i + 100] = b"\1" * 100
+            seen.add(raw[i:i + 100])
+        spans = sum(1 for i in range(len(raw)) if covered[i] and (not i or not covered[i - 1]))
+        kept = bytes(x for x, c in zip(raw, covered) if not c)
+        out.append((doc, len(raw), sum(covered), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def texts(seed):
+    rnd = random.Random(seed)
+    any_text = lambda n: "".join(rnd.choice("abcd efgé") for _ in range(n))
+    pool = [any_text(n) for n in (60, 99, 100, 101, 150, 300, 700, 700)]
+    rows = [(i, rnd.choice([None, "", "a" * rnd.choice([99, 100, 101, 999]), "xy" * 150, "é" * 60])) for i in range(0, 60, 4)]
+    rows += [(i, "".join(rnd.choice([any_text(rnd.randrange(80)), rnd.choice(pool)[rnd.choice([0, 1, 9]):], rnd.choice(pool)[:-5]])
+                         for _ in range(rnd.randrange(1, 7)))) for i in range(100) if i % 4]
+    return rows + [(200 + i, rows[30][1]) for i in range(5)]
+
+
+def test_against_plain_code(spark):
+    rows = texts(5)
+    docs = spark.createDataFrame(random.Random(1).sample(rows, len(rows)), "doc_id long, text string").repartition(5)
+    assert sorted(tuple(r) for r in R.without_repeats(docs).collect()) == brute(rows)
+
+
+@pytest.mark.parametrize("wide", [1, 3])
+def test_wide_anchors_give_the_same(spark, wide):
+    docs = spark.createDataFrame(texts(6), "doc_id long, text string").repartition(3)
+    windows = lambda df: {(r["doc_id"], i) for r in df.collect() for i in range(r["first"], r["last"] + 1)}
+    assert windows(R.repeated(docs, wide)) == windows(R.repeated(docs))
+
+
+def test_long_texts_go_in_pieces(monkeypatch):
+    rnd = random.Random(2)
+    raw = bytes(rnd.choice(b"ab c") for _ in range(2000))
+    whole = [tuple(map(int, x)) for found in R.runs(raw) for x in zip(*found)]
+    monkeypatch.setattr(R, "PIECE", 150)
+    pieces = [tuple(map(int, x)) for found in R.runs(raw) for x in zip(*found)]
+    window = lambda runs: [(a, w) for a, _, first, last in runs for w in range(first, last + 1)]
+    assert window(whole) == window(pieces) and len(window(whole)) == 1901
+
+
+def test_edge_rows(spark):
+    docs = edge.documents(spark, clash=("anchor", "raw", "n_bytes"))
+    got = {r["doc_id"]: r for r in R.without_repeats(docs).collect()}
+    rows = [(d, t) for d, t, *_ in edge.document_rows() if d is not None]
+    unique = sorted({r[0]: r for r in rows}.values())
+    assert [tuple(got[d]) for d, _ in unique] == brute(unique)
+    assert got[None]["n_removed"] == 0 and got[4]["n_bytes"] == 0
+    assert R.without_repeats(docs).count() == docs.count()
+    assert R.without_repeats(edge.empty(spark)).count() == 0
+
+
+def test_transforms():
+    rnd = random.Random(3)
+    for _ in range(150):
+        letters = rnd.choice([b"ab", b"abc\x00\xff", bytes(range(256))])
+        strings = [bytes(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 3, 8, 20]))) for _ in range(rnd.randrange(1, 12))]
+        strings += rnd.sample(strings, min(3, len(strings)))
+        length = rnd.choice([1, 2, 3, 5, 8])
+        suffixes, want = [], defaultdict(list)
+        for k, s in enumerate(strings):
+            for i in range(len(s) + 1):
+                suffixes.append(([c + 1 for c in s[i:]] + [0], k, len(suffixes)))
+                if i + length <= len(s):
+                    want[s[i:i + length]].append(len(suffixes) - 1)
+        assert bwt.transform(strings).places.tolist() == [x[2] for x in sorted(suffixes)]
+        for shard in (1, 5, 20, 1000):
+            got = defaultdict(list)
+            for place, group in zip(*bwt.repeats(strings, length, shard)):
+                got[group].append(int(place))
+            assert sorted(map(sorted, got.values())) == sorted(v for v in want.values() if len(v) > 1)
+
+
+def test_merged_transform_is_the_transform_of_all():
+    strings = [b"banana", b"", b"bandana", b"banana", b"an"]
+    for cut in range(len(strings)):
+        a = bwt.transform(strings[:cut] or [b""])
+        b = bwt.transform(strings[cut:], len(b"".join(strings[:cut])) + max(cut, 1))
+        merged, _ = bwt.merge(a, b, 100)
+        whole = bwt.transform((strings[:cut] or [b""]) + strings[cut:])
+        assert (merged.before == whole.before).all() and (merged.places == whole.places).all()
