@@ -24,7 +24,7 @@ from oddsline.llm.common import row_batches, written
 
 LENGTH, ANCHOR = 100, 32
 #: Bytes handled at once; longer documents go in overlapping pieces.
-PIECE = 4 << 20
+PIECE = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _LOW = np.uint64((1 << 24) - 1)
 
