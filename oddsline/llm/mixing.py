@@ -104,6 +104,6 @@ def mixed_documents(docs: DataFrame, schedule: DataFrame | None = None) -> DataF
               .filter(F.col("_at") + F.col("size") / 2 <= F.col("target"))
               .withColumn("_time", training_time(F.least(F.lit(1.0), F.col("_at") / F.col("target")), F.col("slope"))))
     once = copies.groupBy(F.col("doc_id").alias("_id"), F.col("_h").alias("_hash"), "_pass").agg(F.min("_time").alias("_time"))
-    read = docs.withColumn("_h", row_hash("doc_id", "text"))
+    read = docs.select(F.struct("*").alias("_row"), "doc_id", row_hash("doc_id", "text").alias("_h"))
     rows = read.join(once, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash")))
-    return rows.orderBy("_time", "_id").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.orderBy("_time", "_id").select("_row.*")

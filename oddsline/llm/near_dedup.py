@@ -278,4 +278,4 @@ def blocked(classes: DataFrame, grouped: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one document per group of near duplicates, columns unchanged."""
     dropped = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")

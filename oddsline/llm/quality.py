@@ -180,5 +180,5 @@ def ablation(entries: DataFrame, version: int = CURRENT) -> DataFrame:
 def keep_good(docs: DataFrame, version: int = CURRENT) -> DataFrame:
     """The rows of ``docs`` that pass a policy, with their columns unchanged."""
     mask = policy_mask(1) | policy_mask(version)
-    return (measured(docs).filter(failures().bitwiseAND(F.lit(mask)) == 0)
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows = measured(docs.select(F.struct("*").alias("_row"), "text"))
+    return rows.filter(failures().bitwiseAND(F.lit(mask)) == 0).select("_row.*")

@@ -141,5 +141,6 @@ def sharded(docs: DataFrame, shards: int) -> DataFrame:
 def with_shard(docs: DataFrame, shards: int) -> DataFrame:
     """``docs`` with a column ``shard`` (an existing one is replaced); texts are not shuffled."""
     rows = written(dimensions(docs.select("doc_id", "text", "source", "lang")).select("_size", *DIMENSIONS), "points")
-    placed = dimensions(docs).withColumn("shard", tree(rows, shards).column().cast("int"))
-    return placed.select(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"], "shard")
+    needed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "shard"]).alias("_row"),
+                         "doc_id", "text", "source", "lang")
+    return dimensions(needed).select("_row.*", tree(rows, shards).column().cast("int").alias("shard"))

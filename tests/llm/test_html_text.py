@@ -21,7 +21,7 @@ PLAIN = H.Scores({})
     ('<p title="a > b">quoted words</p><p title="open>more words here</p>', "quoted words\nmore words here"),
     ("<form>name <input> please</form><p>main words</p><aside>side words</aside>", "main words"),
     ("<p>a<br>b <b>c</b>d</p><p></p><p> </p>", "a b cd"),
-    ("<textarea>never <p>this</p>", ""), ("<<p>>x", ">x"), ("< p>5 < 6 words</p>", "< p>5 < 6 words"),
+    ("<textarea>never <p>this</p>", ""), ("<<p>>x", "<\n>x"), ("< p>5 < 6 words</p>", "< p>5 < 6 words"),
 ])
 def test_pages(page, text):
     assert H.main_text(page, PLAIN) == text

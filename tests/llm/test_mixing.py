@@ -67,7 +67,7 @@ def test_training_time_inverts_the_demand(spark):
 
 
 def test_edge_rows(spark):
-    docs = edge.documents(spark, clash=("_pass", "taken"))
+    docs = edge.documents(spark, clash=("_pass", "taken", "_row", "_id"))
     rows = M.mixed(docs).collect()
     assert len(rows) == docs.count()
     assert all(r["taken"] == 0 for r in rows if r["doc_id"] in (4, 5, 6))

@@ -70,7 +70,7 @@ def test_edge_rows(spark):
 
 
 def test_one_of_each_group_stays(spark):
-    docs = edge.documents(spark, clash=("component_id",))
+    docs = edge.documents(spark, clash=("component_id", "_dropped"))
     kept = N.keep_first(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] in (1, 2, 3, 7, 8)) == [1, 7]

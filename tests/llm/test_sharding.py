@@ -37,7 +37,7 @@ def test_third_of_rows_alike(spark):
 
 
 def test_edge_rows(spark):
-    docs = edge.documents(spark, clash=("shard", "_size"))
+    docs = edge.documents(spark, clash=("shard", "_size", "_k0"))
     got = S.sharded(docs, 16).collect()
     check(edge.document_rows(), got, 16, 10**6)
     assert S.sharded(edge.empty(spark), 16).count() == 0
