@@ -49,10 +49,11 @@ def verdicts(klines: DataFrame, events: DataFrame, date: str | None = None,
 
 def check_times(klines: DataFrame, settings: Settings) -> None:
     """Raise if the newest candle lies in no plausible year, as with a wrong unit."""
-    newest = sources.load_klines(klines, settings=settings).agg(F.max("binance_time").alias("t"))
-    row = newest.select("t", (F.col("t") < F.lit(EARLIEST).cast("timestamp")).alias("early"),
+    newest = sources.load_klines(klines, settings=settings).agg(
+        F.max("binance_time").alias("t"), F.count(F.lit(1)).alias("rows"))
+    row = newest.select("t", "rows", (F.col("t") < F.lit(EARLIEST).cast("timestamp")).alias("early"),
                         (F.col("t") > F.current_timestamp() + F.expr("INTERVAL 1 YEAR")).alias("late")).first()
-    if row["early"] or row["late"]:
+    if row["early"] or row["late"] or (row["rows"] and row["t"] is None):
         raise ValueError(f"newest candle at {row['t']}: is the time unit {settings.epoch_unit!r} right?")
 
 
