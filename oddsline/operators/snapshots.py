@@ -180,6 +180,6 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
         before = previous.select(F.col("symbol").alias("_symbol"), "last_kept")
         summaries = summaries.join(before, F.col("symbol").eqNullSafe(F.col("_symbol")), "left").drop("_symbol")
     starts = summaries.groupBy("symbol").applyInPandas(
-        chain, "symbol string, _chunk bigint, _start bigint")
-    return (keyed.join(starts, ["symbol", "_chunk"]).groupBy("symbol", "_chunk")
-            .applyInArrow(pick, klines.schema))
+        chain, "symbol string, _chunk bigint, _start bigint").withColumnsRenamed({"symbol": "_symbol", "_chunk": "_of"})
+    started = keyed.join(starts, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_chunk") == F.col("_of")))
+    return started.drop("_symbol", "_of").groupBy("symbol", "_chunk").applyInArrow(pick, klines.schema)
