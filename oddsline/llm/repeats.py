@@ -210,7 +210,7 @@ def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(np.concatenate(held))
 
 
-CONTEXT_DDL = "anchor long, doc_id long, first long, context binary"
+CONTEXT_DDL = "anchor long, doc_id long, first long, context binary, others long"
 
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,9 +218,9 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for doc, data, runs_ in zip(*(batch.column(i).to_pylist() for i in range(3))):
             raw = unpacked(data)
-            rows = [(r["anchor"], doc, r["first"], raw[r["first"]:r["last"] + LENGTH]) for r in runs_]
+            rows = [(r["anchor"], doc, r["first"], raw[r["first"]:r["last"] + LENGTH], r["others"]) for r in runs_]
             yield record(CONTEXT_DDL, *[pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                (pa.int64(), pa.int64(), pa.int64(), pa.binary()))])
+                (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))])
 
 
 #: Bytes of contexts that are indexed together (more only for one anchor), and of a shard.
@@ -282,23 +282,18 @@ def repeated(docs: DataFrame, wide: int = WIDE) -> DataFrame:
     found = written(dealt.mapInArrow(settled, FOUND_DDL), "runs")
     asked = (found.filter("anchor IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
              .agg(F.collect_list(F.struct("anchor", "first", "last", "others")).alias("_runs")))
-    texts = (packed(raw).join(asked.hint("merge"), F.col("doc_id") == F.col("_id")))
-    own = lambda test: (texts.select("doc_id", "packed", F.filter("_runs", test).alias("_runs"))
-                        .filter(F.size("_runs") > 0).mapInArrow(contexts, CONTEXT_DDL))
-    narrow = (own(lambda r: r["others"] < wide).repartition("anchor")
+    # Candidates grow with the corpus, so the plan is the one that holds at any size.
+    texts = packed(raw).join(asked.hint("merge"), F.col("doc_id") == F.col("_id")).select("doc_id", "packed", "_runs")
+    surrounded = written(texts.mapInArrow(contexts, CONTEXT_DDL), "contexts")
+    narrow = (surrounded.filter(F.col("others") < wide).drop("others").repartition("anchor")
               .sortWithinPartitions("anchor", "doc_id", "first").mapInArrow(indexed, REPEATED_DDL))
-    parts = [found.filter("anchor IS NULL").select("doc_id", "first", "last"), narrow]
-    if not found.filter(F.col("others") >= wide).isEmpty():
-        windows = written(own(lambda r: r["others"] >= wide).mapInArrow(
-            window_hashes, "w1 long, w2 long, doc_id long, first long"), "windows")
-        in_order = F.struct("doc_id", "first")
-        least = windows.groupBy("w1", "w2").agg(F.min(in_order).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
-        later = windows.join(least, ["w1", "w2"]).filter(in_order > F.col("_first"))
-        parts.append(later.select("doc_id", "first", F.col("first").alias("last")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.union(part)
-    return out
+    windows = written(surrounded.filter(F.col("others") >= wide).drop("others").mapInArrow(
+        window_hashes, "w1 long, w2 long, doc_id long, first long"), "windows")
+    place = F.struct("doc_id", "first")
+    least = windows.groupBy("w1", "w2").agg(F.min(place).alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    later = windows.join(least, ["w1", "w2"]).filter(place > F.col("_first"))
+    return (found.filter("anchor IS NULL").select("doc_id", "first", "last").union(narrow)
+            .union(later.select("doc_id", "first", F.col("first").alias("last"))))
 
 
 RESULT_DDL = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
