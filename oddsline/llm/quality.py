@@ -3,6 +3,9 @@
 Every rule is evaluated once per document. The ledger keeps the measurements and one
 bit per failed rule; policies (versioned sets of rules) and ablations are bit operations
 on the stored mask, so a new policy never reads a text again.
+
+What is toxic is also learned: a lexicon for each language holds the words that labelled
+toxic documents contain far more often than clean ones.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from oddsline.llm.common import join_nulls, row_batches, written
+
 #: Characters counted as symbols, and words that insult.
 SYMBOLS = "#*$%&|<>"
 INSULTS = frozenset((
@@ -24,7 +29,16 @@ MARKED = re.compile(rb"!!(?=[ \t\n\x0b\x0c\r]|\Z)")
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_lines", "n_shouted", "n_marked", "n_insults", "longest_word", "n_echoes")
-SCHEMA = ", ".join(f"{m} long" for m in MEASURES)
+#: Measured with a lexicon, else 0: its words in the text, and places where two are close.
+LEARNED = ("n_toxic", "n_toxic_close")
+SCHEMA = ", ".join(f"{m} long" for m in MEASURES + LEARNED)
+#: A word is toxic if this many toxic documents of its language hold it, and this share of
+#: them, and if toxic ones hold it so many times as often as clean ones.
+MIN_DOCUMENTS, MIN_SHARE, MIN_RATIO = 3, 0.01, 20
+#: Two toxic words are close if they are fewer words apart.
+CLOSE = 50
+_EDGES = ".,;:!?\"'()*#$%&|<>\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00bf\u00a1"
+Lexicon = dict[str | None, frozenset[str]]
 
 
 @dataclass(frozen=True)
@@ -46,14 +60,17 @@ RULES = (
     Rule("insults", "n_insults >= 2 AND 400 * n_insults >= n_words"),
     Rule("endless_word", "longest_word > 1000"),
     Rule("echoes", "100 * n_echoes > 25 * n_words"),
+    Rule("toxic_words", "n_toxic >= 3 OR n_toxic_close >= 1"),
 )
 BASE = ("too_short", "repeated_windows")
 POLICIES = {
     1: BASE,
     2: (*BASE, "symbols", "duplicate_lines", "word_length", "shouting", "exclamation"),
-    3: tuple(r.name for r in RULES),
+    3: tuple(r.name for r in RULES[:10]),
+    4: tuple(r.name for r in RULES),
 }
-CURRENT = 3
+#: Policy 3 needs no labels; policy 4 adds the rule that reads a lexicon.
+CURRENT, WITH_LEXICON = 3, 4
 
 
 def policy_mask(version: int = CURRENT) -> int:
@@ -121,21 +138,75 @@ def repeated_words(ids: np.ndarray, distinct: int, window: int = 5) -> int:
     return int((np.cumsum(edges[:n]) > 0).sum())
 
 
-def measured(docs: DataFrame, text: str = "text") -> DataFrame:
+def folded(text: str | None) -> list[str]:
+    """The words of a text as the lexicon has them: lower case, without marks at the ends."""
+    return [word.strip(_EDGES) for word in (text or "").lower().split()]
+
+
+def toxic_words(text: str | None, words: frozenset[str]) -> tuple[int, int]:
+    """(words of the lexicon in a text, places where one closely follows another). Counts
+    don't depend on the length of the rest."""
+    if not words or not text:
+        return 0, 0
+    found = folded(text)
+    if words.isdisjoint(found):
+        return 0, 0
+    at = [i for i, word in enumerate(found) if word in words]
+    return len(at), sum(b - a < CLOSE for a, b in zip(at, at[1:]))
+
+
+def learned_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
+    """The toxic words of each language, from all labelled rows of ``docs``.
+
+    Collected are only the chosen words; each stands in a hundredth of its language's toxic
+    documents, so their number doesn't grow with the corpus. Documents without language
+    are taught as one, and rows whose ``toxic`` is null teach nothing.
+    """
+    @F.pandas_udf("array<string>")
+    def distinct(texts: pd.Series) -> pd.Series:
+        return pd.Series([list(dict.fromkeys(word for word in folded(t) if word)) for t in texts], dtype=object)
+
+    row_batches(docs.sparkSession)
+    judged_ = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
+               .agg((F.max("toxic") == 1).alias("_toxic")))
+    rows = docs.select("doc_id", "text", F.col("lang").alias("_lang")).join(
+        judged_, F.col("doc_id") == F.col("_id")).select("_lang", "_toxic", distinct("text").alias("_words"))
+    # The empty word, which no text holds, counts the documents.
+    counts = (rows.select("_lang", "_toxic", F.explode(F.concat(F.array(F.lit("")), "_words")).alias("_word"))
+              .groupBy("_lang", "_word").agg(F.count(F.when(F.col("_toxic"), 1)).alias("_in"),
+                                             F.count(F.when(~F.col("_toxic"), 1)).alias("_out")))
+    counts = written(counts.filter(F.col("_in") >= MIN_DOCUMENTS), "lexicon")
+    totals = counts.filter("_word = ''").select("_lang", F.col("_in").alias("_toxics"), F.col("_out").alias("_cleans"))
+    chosen = join_nulls(counts.filter("_word <> ''"), totals, ["_lang"]).filter(
+        (F.col("_in") >= MIN_SHARE * F.col("_toxics"))
+        & (F.col("_in") * (F.col("_cleans") + 1) >= MIN_RATIO * (F.col("_out") + 0.5) * F.col("_toxics")))
+    found: dict[str | None, set[str]] = {}
+    for row in chosen.select("_lang", "_word").collect():
+        found.setdefault(row["_lang"], set()).add(row["_word"])
+    return {lang: frozenset(words) for lang, words in found.items()}
+
+
+def measured(docs: DataFrame, text: str = "text", lexicon: Lexicon | None = None, lang: str = "lang") -> DataFrame:
     """All columns of ``docs`` and the measurements as a struct ``_measures``.
 
-    Existing columns of that name are replaced.
+    Existing columns of that name are replaced. A lexicon asks for the column ``lang``; a
+    text without language meets the words of all.
     """
+    known = lexicon or {}
+    every = frozenset().union(*known.values())
+
     @F.pandas_udf(SCHEMA)
-    def measures(texts):
-        rows = np.array([measure(t) for t in texts], np.int64).reshape(-1, len(MEASURES))
-        return pd.DataFrame(rows, columns=list(MEASURES))
-    return docs.withColumn("_measures", measures(F.col(text)))
+    def measures(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
+        rows = [(*measure(t), *toxic_words(t, every if name is None else known.get(name, frozenset())))
+                for t, name in zip(texts, langs)]
+        return pd.DataFrame(np.array(rows, np.int64).reshape(-1, len(MEASURES + LEARNED)),
+                            columns=list(MEASURES + LEARNED))
+    return docs.withColumn("_measures", measures(F.col(text), F.col(lang) if known else F.lit(None).cast("string")))
 
 
 def failures(measures: str = "_measures") -> Column:
     """The mask of failed rules from the measurements."""
-    name = re.compile(r"\b(" + "|".join(MEASURES) + r")\b")
+    name = re.compile(r"\b(" + "|".join(MEASURES + LEARNED) + r")\b")
     mask = F.lit(0).cast("long")
     for bit, rule in enumerate(RULES):
         condition = name.sub(rf"{measures}.\1", rule.fails)
@@ -143,15 +214,17 @@ def failures(measures: str = "_measures") -> Column:
     return mask
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def ledger(docs: DataFrame, lexicon: Lexicon | None = None) -> DataFrame:
     """One row per document row: doc_id, the measurements and the mask of failed rules.
 
+    Without a lexicon no text fails the rule of toxic words.
+
     A null text counts as empty; it and a text without words have all measurements 0
     (symbols aside) and fail the length rule. Repeated rows each get their row. Extra
     columns are left out, so names can't clash. An empty table gives an empty ledger.
     """
-    rows = measured(docs.select("doc_id", "text")).withColumn("failed", failures())
-    return rows.select("doc_id", *[F.col(f"_measures.{m}").alias(m) for m in MEASURES], "failed")
+    rows = measured(docs.select("doc_id", "text", *["lang"] * bool(lexicon)), lexicon=lexicon).withColumn("failed", failures())
+    return rows.select("doc_id", *[F.col(f"_measures.{m}").alias(m) for m in MEASURES + LEARNED], "failed")
 
 
 def judged(entries: DataFrame, version: int = CURRENT) -> DataFrame:
@@ -176,8 +249,8 @@ def ablation(entries: DataFrame, version: int = CURRENT) -> DataFrame:
                  F.col(f"o{bit}").alias("only")) for bit, name in counts])).alias("r")).select("r.*")
 
 
-def keep_good(docs: DataFrame, version: int = CURRENT) -> DataFrame:
+def keep_good(docs: DataFrame, version: int = CURRENT, lexicon: Lexicon | None = None) -> DataFrame:
     """The rows of ``docs`` that pass a policy, with their columns unchanged."""
     mask = policy_mask(1) | policy_mask(version)
-    rows = measured(docs.select(F.struct("*").alias("_row"), "text"))
+    rows = measured(docs.select(F.struct("*").alias("_row"), "text", *["lang"] * bool(lexicon)), lexicon=lexicon)
     return rows.filter(failures().bitwiseAND(F.lit(mask)) == 0).select("_row.*")

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 from oddsline.llm import quality as Q
+from tests.conftest import DATA
 from tests.llm import edge
 
 
@@ -51,3 +52,38 @@ def test_policies_only_grow_and_ablation_counts(spark):
         bit = 1 << [r.name for r in Q.RULES].index(row["rule"])
         assert row["failing"] == sum(m & bit != 0 for m in masks)
         assert row["only"] == sum(m == bit for m in masks)
+
+
+def test_toxic_words_of_every_language_are_learned(spark):
+    """Recall and false rejects on held-out documents of each language."""
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    taught = labels.filter("doc_id % 5 <> 0")
+    lexicon = Q.learned_lexicon(docs, taught)
+    held_out = docs.join(labels.filter("doc_id % 5 = 0"), "doc_id")
+    rows = Q.ledger(held_out, lexicon).join(held_out.select("doc_id", "lang", "toxic"), "doc_id").collect()
+    bit = Q.policy_mask(4) & ~Q.policy_mask(3)
+    for lang in ("de", "en", "es", "fr"):
+        hit = [r["failed"] & bit != 0 for r in rows if r["lang"] == lang and r["toxic"] == 1]
+        wrong = [r["failed"] & bit != 0 for r in rows if r["lang"] == lang and r["toxic"] == 0]
+        assert sum(hit) >= 0.75 * len(hit) and len(hit) > 2, lang
+        assert sum(wrong) <= 0.01 * len(wrong) and len(wrong) > 50, lang
+
+
+def test_length_does_not_dilute_toxic_words(spark):
+    words = frozenset(("b\u00f6s", "fies"))
+    assert Q.toxic_words("b\u00f6s " + "gut " * 9000 + "Fies! " + "gut " * 9000 + "\u00abB\u00d6S\u00bb", words) == (3, 0)
+    assert Q.toxic_words("gut " * 9000 + "fies gut b\u00f6s", words) == (2, 1)
+    assert Q.toxic_words("fies " + "gut " * 49 + "b\u00f6s", words) == (2, 0)
+    assert Q.toxic_words(None, words) == Q.toxic_words("fies", frozenset()) == (0, 0)
+    tail = " ".join(f"w{i}" for i in range(9000))
+    rows = [(1, f"fies b\u00f6s {tail}", "de"), (2, f"fies b\u00f6s {tail}", "en"), (3, f"fies b\u00f6s {tail}", None), (4, tail, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in Q.keep_good(docs, 4, {"de": words}).collect()) == [2, 4]
+    assert Q.keep_good(docs, 4).count() == 4
+
+
+def test_edge_labels(spark):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    some = spark.createDataFrame([(None, 0, 1), (1, 0, None), (4, 0, 1), (999, 0, 1)], none.schema)
+    for labels in (none, some):
+        assert Q.learned_lexicon(edge.documents(spark, clash=("_lang", "_word", "toxic")), labels) == {}
