@@ -8,6 +8,8 @@ that share a token with it, and a combination holds if none of its tokens is mis
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,6 +19,11 @@ BLOCK, ALLOW = "block", "allow"
 #: The item that stands for the label; URL tokens have a letter and a colon in front.
 LABEL = "=block"
 MIN_SUPPORT, MIN_CONFIDENCE = 0.01, 0.6
+#: Without a given support, MIN_SUPPORT is a share of the bad pages, and at least so many.
+MIN_PAGES = 3
+#: The lower bound of a rule's confidence, so many standard errors down, has to be so many
+#: times the share of bad pages: of the many combinations some few are bad by chance.
+ERRORS, MIN_LIFT = 3, 1.5
 
 
 def after_scheme(url: Column) -> Column:
@@ -62,21 +69,40 @@ def tokens(url: Column) -> Column:
     return F.coalesce(F.array_distinct(F.concat(labels, masked, keys, fragment)), F.array().cast("array<string>"))
 
 
-def mined(pages: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT,
+def document_number(url: Column) -> Column:
+    """The number that ends the path of a URL, before a file extension; null if there is none."""
+    found = F.regexp_extract(path(url), r"/([0-9]+)(?:\.[A-Za-z0-9]+)?/?$", 1)
+    return found.try_cast("long")
+
+
+def lower_bound(confidence: Column, n: Column) -> Column:
+    """The Wilson bound below a share of ``n`` pages."""
+    z = float(ERRORS * ERRORS)
+    spread = F.sqrt(confidence * (1 - confidence) / n + z / (4 * n * n))
+    return (confidence + z / (2 * n) - ERRORS * spread) / (1 + z / n)
+
+
+def mined(pages: DataFrame, labels: DataFrame, min_support: float | None = None,
           min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (antecedent, confidence, support) for blocking, from all labelled pages.
 
-    A page is labelled through the document of its number; it is bad if its quality is 0
-    or it is toxic. Pages without label, and labels without page, teach nothing.
+    A page is labelled through the document whose number ends the path of its URL; it is
+    bad if its quality is 0 or it is toxic. Pages without number or label, and labels
+    without page, teach nothing. ``min_support`` is a share of all labelled pages.
     """
     bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)
     judged = labels.select("doc_id", bad.alias("_bad")).groupBy("doc_id").agg(F.max("_bad").alias("_bad"))
-    rows = (pages.select("page_id", tokens(F.col("url")).alias("_tokens"))
-            .join(judged, F.col("page_id") == F.col("doc_id")))
+    rows = (pages.select(document_number(F.col("url")).alias("_number"), tokens(F.col("url")).alias("_tokens"))
+            .join(judged, F.col("_number") == F.col("doc_id")))
     baskets = written(rows.select(F.when(F.col("_bad"), F.concat("_tokens", F.array(F.lit(LABEL))))
                                   .otherwise(F.col("_tokens")).alias("items")), "baskets")
+    n, n_bad = baskets.agg(F.count("*"), F.count(F.when(F.array_contains("items", LABEL), 1))).first()
+    if min_support is None:  # half a page less, as FPGrowth rounds the product up
+        min_support = min(1.0, (max(MIN_PAGES, math.ceil(MIN_SUPPORT * n_bad)) - 0.5) / max(n, 1))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    held = F.round(F.col("support") * n / F.col("confidence"))  # pages that hold the combination
     return (model.associationRules.filter(F.col("consequent") == F.array(F.lit(LABEL)))
+            .filter(lower_bound(F.col("confidence"), held) >= MIN_LIFT * n_bad / max(n, 1))
             .select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"))
 
 

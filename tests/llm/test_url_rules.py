@@ -64,3 +64,26 @@ def test_mined_rules_against_counting(spark):
         fit = [c for combo, c in want.items() if set(combo) <= set(r["t"])]
         assert (r["url"] in found) == bool(fit)
         assert not fit or round(found[r["url"]], 9) == max(fit)
+
+
+def test_labels_are_those_of_the_document_in_the_path(spark):
+    urls = ["http://h/en/7817?utm=1", "http://h/12.html#top", "http://h/x/9/", "http://h/", "http://h/a1", "http://h/1/a",
+            "http://h/99999999999999999999", None, "http://h/?p=/5"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = [r["n"] for r in df.select("page_id", U.document_number(df["url"]).alias("n")).orderBy("page_id").collect()]
+    assert got == [7817, 12, 9, None, None, None, None, None, None]
+
+
+def test_rules_come_from_few_bad_pages_but_not_by_chance(spark):
+    """Twelve bad pages of 3000 are below one per cent of all; three by chance make no rule."""
+    pages, labels = [], []
+    for i in range(3000):
+        host, bad = ("spam", 1) if i < 12 else (("luck", 1) if i < 15 else (f"h{i % 40}", int(i % 4 == 0 and i % 40 < 36)))
+        pages.append((90000 - i, f"http://{host}/{i}"))
+        labels.append((i, 1 - bad, 0))
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rules = {tuple(r["antecedent"]) for r in U.mined(pages, labels).collect()}
+    assert ("h:spam",) in rules and ("h:luck",) not in rules
+    found = {r["page_id"]: r["verdict"] for r in U.filtered(pages, labels, []).collect()}
+    assert all(found[90000 - i] == U.BLOCK for i in range(12)) and found[90000 - 13] == U.ALLOW
