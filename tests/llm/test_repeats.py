@@ -98,3 +98,21 @@ def test_merged_transform_is_the_transform_of_all():
         merged, _ = bwt.merge(a, b, 100)
         whole = bwt.transform((strings[:cut] or [b""]) + strings[cut:])
         assert (merged.before == whole.before).all() and (merged.places == whole.places).all()
+
+
+@pytest.mark.parametrize("parts,wide", [(1, None), (4, None), (4, 1)])
+def test_repeated_rows_and_shared_ids(spark, monkeypatch, parts, wide):
+    """Equal rows are one document; texts that share an id are judged and cut each by its own."""
+    if wide:
+        monkeypatch.setattr(R, "repeated", lambda docs, f=R.repeated: f(docs, wide))
+    rnd = random.Random(8)
+    part = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared, own, tail = part(150), part(400), part(130)
+    rows = [(30, own), (30, own), (30, own), (40, part(50) + shared), (40, shared + tail), (40, shared + tail), (40, part(300)),
+            (50, tail + part(70)), (50, tail + part(70)), (60, own[:200] + part(90)), (60, own[:200] + part(90)), (70, "q" * 250), (70, "q" * 250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    versions = {(r["doc_id"], r["text"]): r["v"] for r in docs.selectExpr("*", "xxhash64(cast(text AS binary)) AS v").collect()}
+    unique = sorted(set(rows), key=lambda r: (r[0], versions[r]))
+    judged = {r: out[1:] for r, out in zip(unique, brute([(i, t) for i, (_, t) in enumerate(unique)]))}
+    assert sorted(tuple(r) for r in R.without_repeats(docs).collect()) == sorted((r[0], *judged[r]) for r in rows)
+    assert judged[(30, own)][1] == 0 and judged[(70, "q" * 250)][1] > 0
