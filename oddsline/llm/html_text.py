@@ -39,7 +39,10 @@ HEAD, OTHER = "header", "other"
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
                   r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
-_MARKS = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+_MARKS = frozenset(("class", "id", "role"))
+#: A name such as has-sidebar or noAds says what an element has, not what it is.
+_ABOUT = frozenset(("has", "with", "no", "without"))
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -69,18 +72,32 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def marked_as_side(attributes: str) -> bool:
-    return any(part.lower() in SIDE_WORDS for value in _MARKS.findall(attributes) for part in _PARTS.findall(value))
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if value and name.lower() in _MARKS:
+            for token in value.strip("\"'").split():
+                parts = [part.lower() for part in _PARTS.findall(token)]
+                if parts and parts[0] not in _ABOUT and not SIDE_WORDS.isdisjoint(parts):
+                    return True
+    return False
 
 
 class Reader:
     """Walks a page: ``items`` are ("tag", key, side, inside) and ("words", key, side, inside,
     block number, text); ``key`` is the element name, ``side`` whether it lies in side
-    matter, ``inside`` whether in an element named as content."""
+    matter, ``inside`` whether in an element named as content.
+
+    Elements are side matter by name or by mark (class, id, role). A mark is dropped from
+    the elements around the content with most words. On a page without content, less than a tenth
+    of whose words lie outside of marked elements, it is dropped from those that hold most."""
 
     def __init__(self, page: str):
-        self.open: list[tuple[str, bool, bool, str]] = []
+        self.open: list[tuple[str, int, bool, str, int]] = []
         self.items: list[tuple] = []
-        self.block, self.has_content = 0, False
+        self.block = 0
+        # Marks and contents by number: the mark or content around, and the words directly in it.
+        self.marks: list[int] = [0, 0]  # 0: no side matter, 1: by name, which no content drops
+        self.contents: list[int] = [0]  # the mark around each content
+        self.mark_words, self.content_words = Counter(), Counter()
         for kind, value, attributes in events(page):
             if kind == "text":
                 self.words(value)
@@ -88,17 +105,39 @@ class Reader:
                 self.start(value, attributes)
             else:
                 self.end(value)
+        dropped = self.dropped()
+        self.items = [(*item[:2], item[2] not in dropped, *item[3:]) for item in self.items]
+        self.has_content = any(mark in dropped for mark in self.contents[1:])
 
     @property
-    def state(self) -> tuple[str, bool, bool]:
-        return self.open[-1][:3] if self.open else ("body", False, False)
+    def state(self) -> tuple[str, int, bool]:
+        return self.open[-1][:3] if self.open else ("body", 0, False)
 
     def words(self, text: str) -> None:
         name, side, inside = self.state
         if text:
             self.items.append(("words", name, side, inside, self.block, text))
-
-    def tag(self, name: str, side: bool, inside: bool) -> None:
+            n = len(text.split())
+            self.mark_words[side] += n
+            self.content_words[self.open[-1][4] if self.open and side != 1 else 0] += n
+
+    def dropped(self) -> set[int]:
+        """The marks that don't make side matter, with 0 for none."""
+        dropped = {0}
+        found = [i for i in range(1, len(self.contents)) if self.contents[i] != 1 and self.content_words[i]]
+        if found:
+            mark = self.contents[max(found, key=lambda i: (self.content_words[i], -i))]
+            while mark:
+                dropped.add(mark)
+                mark = self.marks[mark]
+        elif 10 * self.mark_words[0] < (whole := sum(n for mark, n in self.mark_words.items() if mark != 1)):
+            held = Counter(self.mark_words)
+            for mark in range(len(self.marks) - 1, 1, -1):  # inner marks come later
+                held[self.marks[mark]] += held[mark]
+            dropped |= {mark for mark in range(2, len(self.marks)) if 2 * held[mark] > whole}
+        return dropped
+
+    def tag(self, name: str, side: int, inside: bool) -> None:
         if name in BLOCKS:
             self.block += 1
         self.items.append(("tag", known(name), side, inside))
@@ -108,14 +147,20 @@ class Reader:
             self.end_implied()
         context, side, inside = self.state
         content = name in CONTENT
-        self.has_content |= content and not side
-        side = side or name in SIDE or (name == HEAD and not inside) or (
-            not content and name not in ("html", "body") and marked_as_side(attributes))
+        number = self.open[-1][4] if self.open else 0
+        if content:
+            self.contents.append(side)
+            number = len(self.contents) - 1
+        elif side != 1 and (name in SIDE or (name == HEAD and not inside)):
+            side = 1
+        elif side != 1 and name not in ("html", "body") and name not in VOID and marked_as_side(attributes):
+            self.marks.append(side)
+            side = len(self.marks) - 1
         self.tag(name, side, inside)
         if name == "br":
             self.words(" ")
         if name not in VOID:
-            self.open.append((known(name) if name in BLOCKS or name == "a" else context, side, inside or content, name))
+            self.open.append((known(name) if name in BLOCKS or name == "a" else context, side, inside or content, name, number))
 
     def end_implied(self) -> None:
         """A block ends an open paragraph, and what is open in it."""
@@ -130,7 +175,7 @@ class Reader:
     def end(self, name: str) -> None:
         for depth in range(len(self.open) - 1, -1, -1):
             if self.open[depth][3] == name:
-                _, side, inside, _ = self.open[depth]
+                _, side, inside = self.open[depth][:3]
                 del self.open[depth:]
                 self.tag(name, side, inside and name not in CONTENT)
                 return

@@ -53,3 +53,22 @@ def test_edge_rows(spark):
     got = sorted(((r["page_id"] or 0), r["text"], r["n_chars"]) for r in H.extracted(pages).collect())
     assert got == [(0, "x y", 3), (1, "", 0), (1, "", 0), (2, "", 0)]
     assert H.extracted(pages.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("wrapper", ['class="content has-sidebar"', "class=no-ads", 'class="with-comments"', 'id="search-results"',
+                                     'class="main-with-sidebar"', 'data-id="form-1"', 'data-class=promo', 'title="id=menu"'])
+def test_marked_wrappers_keep_their_article(wrapper):
+    page = f"<div {wrapper}><article><h1>Title</h1><p>Body text here</p></article><div class=ads>buy</div></div>"
+    assert H.main_text(page, PLAIN) == "Title\nBody text here"
+    assert H.Reader(page).has_content
+    assert H.main_text(f"<div {wrapper}><p>All words of this page are here</p></div>", PLAIN) == "All words of this page are here"
+
+
+def test_marked_elements_stay_side_matter():
+    main = "<article><p>the long article with most of the words</p></article>"
+    side = '<div class="{}"><article><p>short teaser</p></article></div>'
+    text = "the long article with most of the words"
+    assert H.main_text(side.format("related") + f'<div class="search">{main}</div>' + side.format("comments"), PLAIN) == text
+    assert H.main_text(main + "<div id=comments><p>" + "many words " * 40 + "</p></div>", PLAIN) == text
+    assert H.main_text(f"<nav>{main}</nav>", PLAIN) == ""
+    assert H.main_text("<h1>Site</h1><div id=search-results><p>" + "found " * 40 + "</p></div>", PLAIN).count("found") == 40
