@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, quality, repeats, runs, sharding,
-                          token_counts, url_rules)
+from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, packing, quality, repeats, runs,
+                          sharding, token_counts, url_rules)
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
 
@@ -72,6 +72,15 @@ def op10_bwt_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.without_repeats(table(spark, folder, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens, as few as the search finds."""
+    import public_tokenizers
+
+    pieces = packing.pieces(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    narrow = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.packed(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op13_periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of repeated words in every document, a tenth of which get a periodic ending."""
     return runs.summarised(runs.periodic_runs(runs.with_planted_runs(table(spark, folder, "documents"))))
@@ -80,7 +89,7 @@ def op13_periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_url_filters, op3_language_id, op4_token_counts, op5_curriculum_mixing,
     op6_html_extraction, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination, op10_bwt_dedup,
-    op13_periodic_run_detection)}
+    op11_best_fit_packing, op13_periodic_run_detection)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,
