@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from oddsline.llm import (decontamination, html_text, language, mixing, near_dedup, packing, quality, repeats, runs,
-                          sharding, token_counts, url_rules)
+                          sharding, token_counts, url_rules, whitening)
 from oddsline.llm.common import table
 from oddsline.llm.oracles import DECONTAMINATION_SQL, NEAR_DEDUP_SQL, QUALITY_SQL
 
@@ -81,6 +81,11 @@ def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(narrow).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 16 whitened components of every valid embedding."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
 def op13_periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of repeated words in every document, a tenth of which get a periodic ending."""
     return runs.summarised(runs.periodic_runs(runs.with_planted_runs(table(spark, folder, "documents"))))
@@ -89,7 +94,7 @@ def op13_periodic_run_detection(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_url_filters, op3_language_id, op4_token_counts, op5_curriculum_mixing,
     op6_html_extraction, op7_kd_tree_sharding, op8_quality_rules, op9_benchmark_decontamination, op10_bwt_dedup,
-    op11_best_fit_packing, op13_periodic_run_detection)}
+    op11_best_fit_packing, op12_embedding_whitening, op13_periodic_run_detection)}
 ORACLES = {
     "op1_minhash_near_dedup": NEAR_DEDUP_SQL,
     "op8_quality_rules": QUALITY_SQL,
