@@ -22,14 +22,13 @@ from oddsline.streaming.live_view import LiveView
 
 def start_all(kline_messages: DataFrame, market_messages: DataFrame, root: str, checkpoints: str,
               settings: Settings = Settings(), trigger: str | None = Settings.trigger,
-              maintenance: jobs.Maintenance | None = None) -> dict[str, tuple[StreamingQuery, LiveView]]:
+              ) -> dict[str, tuple[StreamingQuery, LiveView]]:
     """Three independent queries, each with its own checkpoint and part of the view."""
     sources = {PRICE_ROWS: kline_messages, BOOK_ROWS: market_messages, TRADE_ROWS: market_messages}
     return {
         row_type: jobs.start_live_windows(
             raw, row_type, f"{root}/{row_type}",
-            jobs.StreamOptions(f"{checkpoints}/{row_type}", trigger, f"live-{row_type}"), settings,
-            maintenance=maintenance)
+            jobs.StreamOptions(f"{checkpoints}/{row_type}", trigger, f"live-{row_type}"), settings)
         for row_type, raw in sources.items()}
 
 
@@ -45,10 +44,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("live-windows", **STREAM_OPTIONS,
                           **{"spark.streaming.stopGracefullyOnShutdown": "true"})
     spark.streams.addListener(monitor.ProgressLog())
-    start_all(kafka_stream(spark, args.servers, args.kline_topic, max_offsets=args.max_offsets),
-              kafka_stream(spark, args.servers, args.market_topic, max_offsets=args.max_offsets),
-              args.root, args.checkpoints, maintenance=jobs.Maintenance())
-    monitor.run_until_any_ends(spark)
+    started = start_all(kafka_stream(spark, args.servers, args.kline_topic, max_offsets=args.max_offsets),
+                        kafka_stream(spark, args.servers, args.market_topic, max_offsets=args.max_offsets),
+                        args.root, args.checkpoints)
+    maintainer = jobs.Maintainer([view for _, view in started.values()], jobs.Maintenance()).start()
+    try:
+        monitor.run_until_any_ends(spark)
+    finally:
+        maintainer.stop()
 
 
 if __name__ == "__main__":

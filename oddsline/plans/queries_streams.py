@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS
 from oddsline.operators import windows
 from oddsline.plans import oracle_feeds as o
-from oddsline.plans.queries_views import LEGACY_LIVE_SQL, legacy_live_events
+from oddsline.plans.queries_views import LEGACY_LIVE_SQL, legacy_live_events, price_view
 from oddsline.plans.queries_windows import THIN_SECONDS
 from oddsline.plans.registry import ORACLES, query, rounded
 from oddsline.session import work_folder
@@ -87,6 +87,40 @@ def live_view_upsert(spark, folder):
     return view.read()
 
 
+# A base, and two micro-batches after it: one with new ticks for a part of the rows and their
+# other cells null, one with rows that the base does not have. Dashboards ask for bounds.
+_SERVED_SINCE = 1705276800000  # 2024-01-15
+
+
+def _fed_view(spark, folder):
+    live = price_view(spark, folder).select("rowkey", "identifier", "window_end", "current_price", "ticks")
+    part = F.pmod(F.xxhash64("rowkey"), F.lit(4))
+    view = jobs.view_of(spark, live, work_folder(spark, "bounded"))
+    view.upsert(live.filter(part < 3).withColumn("ticks", F.when(part != 1, F.col("ticks"))), 0)
+    view.compact()
+    view.upsert(live.filter(part == 1).withColumn("current_price", F.lit(None).cast("double")), 1)
+    view.upsert(live.filter(part == 3), 2)
+    return view
+
+
+_LIVE_ROWS = f"""WITH {o.KLINES}, {o.live_price()}, {o.LIVE_PRICE_VIEW}
+SELECT rowkey, identifier, window_end, current_price, ticks FROM live_rows"""
+
+
+@query("live_view_newer", f"{_LIVE_ROWS} WHERE identifier = 'ETHUSDT' AND window_end > {_SERVED_SINCE}")
+def live_view_newer(spark, folder):
+    """Rows of one symbol since a time: bounds on the key and the time reach all scans."""
+    return _fed_view(spark, folder).read(prefix="BIN#ETHUSDT#", newer_than=_SERVED_SINCE)
+
+
+@query("live_view_lookup", f"""{_LIVE_ROWS}
+WHERE rowkey = (SELECT min(rowkey) FROM live_rows WHERE identifier = 'SOLUSDT')""")
+def live_view_lookup(spark, folder):
+    """One row by its key, from one bucket of the base."""
+    view = _fed_view(spark, folder)
+    return view.read(key=view.read(prefix="BIN#SOLUSDT#").agg(F.min("rowkey")).first()[0])
+
+
 @query("legacy_live_view", f"""{LEGACY_LIVE_SQL}
 SELECT symbol || '#' || CAST(9999999999999 - "timestamp" AS VARCHAR) AS rowkey, symbol AS identifier,
   "timestamp" AS window_end, binance_price, poly_last_trade, poly_best_bid, poly_best_ask, implied_prob

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -27,9 +28,9 @@ class StreamOptions:
 
 @dataclass(frozen=True)
 class Maintenance:
-    """Compact the live view after every so many micro-batches and leave expired rows behind."""
+    """Compact a live view every so many seconds, beside its stream, and leave expired rows behind."""
 
-    every: int = 720  # about hourly with the default trigger
+    seconds: float = 3600
     ttl_seconds: int | None = Settings.live_ttl_days * 86400
     keep: int = 2
     clock: Callable[[], float] = time.time
@@ -40,6 +41,46 @@ class Maintenance:
             return None
         return int((self.clock() - self.ttl_seconds) * 1000)
 
+    def run(self, view: LiveView) -> int | None:
+        """One round, while the stream may go on; returns the version of the newest base.
+
+        A base is published by its number when it is complete: micro-batches and readers
+        never wait for it.
+        """
+        upto = view.compact(self.oldest_window_end(), settled=True)
+        view.vacuum(self.keep)
+        return upto
+
+
+class Maintainer:
+    """Rounds of maintenance of some views, in a thread of their own until ``stop``."""
+
+    def __init__(self, views_: list[LiveView], maintenance: Maintenance):
+        self.views, self.maintenance = views_, maintenance
+        self.failure: BaseException | None = None
+        self._ended = threading.Event()
+        self._thread = threading.Thread(target=self._loop, name="live-view-maintenance", daemon=True)
+
+    def _loop(self) -> None:
+        while not self._ended.wait(self.maintenance.seconds):
+            try:
+                for view in self.views:
+                    self.maintenance.run(view)
+            except Exception as error:  # told by stop(): the streams go on without it
+                self.failure = error
+                return
+
+    def start(self) -> Maintainer:
+        self._thread.start()
+        return self
+
+    def stop(self) -> None:
+        """Ends after the present round; a failure of any round is raised."""
+        self._ended.set()
+        self._thread.join()
+        if self.failure:
+            raise self.failure
+
 
 def price_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:
     return windows.live_price(messages.ticks_of(raw, value), settings.live_window, settings.watermark)
@@ -76,7 +117,7 @@ def _has_started(spark: SparkSession, checkpoint: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def start_upsert(rows: DataFrame, root: str, options: StreamOptions, maintenance: Maintenance | None = None,
+def start_upsert(rows: DataFrame, root: str, options: StreamOptions,
                  order: str | None = None) -> tuple[StreamingQuery, LiveView]:
     """Feed keyed rows into the live view at ``root``.
 
@@ -93,20 +134,17 @@ def start_upsert(rows: DataFrame, root: str, options: StreamOptions, maintenance
 
     def write(batch: DataFrame, batch_id: int) -> None:
         view.upsert(batch, batch_id, order)
-        if maintenance and (batch_id + 1) % maintenance.every == 0:
-            view.compact(maintenance.oldest_window_end())
-            view.vacuum(maintenance.keep)
 
     writer = rows.writeStream.outputMode("update").foreachBatch(write)
     return _start(writer, options), view
 
 
 def start_live_windows(raw: DataFrame, row_type: str, root: str, options: StreamOptions,
-                       settings: Settings = Settings(), truncate: int | None = None,
-                       maintenance: Maintenance | None = None) -> tuple[StreamingQuery, LiveView]:
+                       settings: Settings = Settings(),
+                       truncate: int | None = None) -> tuple[StreamingQuery, LiveView]:
     """Raw messages -> live windows of one row type -> live view."""
     rows = views.live_view(WINDOWS_OF[row_type](raw, settings), row_type, truncate)
-    return start_upsert(rows, root, options, maintenance, order="window_end" if truncate else None)
+    return start_upsert(rows, root, options, order="window_end" if truncate else None)
 
 
 def start_event_rows(events: DataFrame, root: str,

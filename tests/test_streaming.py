@@ -102,19 +102,55 @@ def test_three_queries_of_the_live_job(spark, tmp_path):
         assert rows.filter(~F.col("rowkey").startswith(row_type + "#")).count() == 0
 
 
-def test_view_is_maintained_while_it_is_fed(spark, tmp_path):
-    for i in range(5):
-        write_file(tmp_path / "in", i, [tick(i * 30, price=float(i)), tick(i * 30 + 1, symbol="ETHUSDT")])
+def wait_for(condition, seconds=60):
+    import time
+
+    end = time.time() + seconds
+    while not condition():
+        assert time.time() < end
+        time.sleep(0.1)
+
+
+def test_view_is_maintained_beside_a_running_stream(spark, tmp_path):
+    write_file(tmp_path / "in", 0, [tick(0, price=1.0), tick(1, symbol="ETHUSDT")])
     stream = streams.text_stream(spark, str(tmp_path / "in"), max_files=1)
     # the clock stands at 00:03, rows live for one minute: only the last window stays
-    clock = jobs.Maintenance(every=2, ttl_seconds=60, keep=1, clock=lambda: BASE / 1000 + 180)
-    query, view = jobs.start_live_windows(stream, PRICE_ROWS, str(tmp_path / "view"), options(tmp_path),
-                                          maintenance=clock)
-    monitor.drain(query)
-    rows = {(r.identifier, r.window_end - BASE): r.ticks for r in view.read().collect()}
-    assert rows[("BTCUSDT", 180_000)] == 1
-    assert ("BTCUSDT", 60_000) not in rows and ("BTCUSDT", 120_000) not in rows
-    assert len(os.listdir(tmp_path / "view" / "base")) == 1
+    plan = jobs.Maintenance(ttl_seconds=60, keep=1, clock=lambda: BASE / 1000 + 180)
+    query, view = jobs.start_live_windows(stream, PRICE_ROWS, str(tmp_path / "view"),
+                                          jobs.StreamOptions(str(tmp_path / "c"), trigger="50 milliseconds"))
+    try:
+        wait_for(lambda: view.last_version() == 0)
+        assert plan.run(view) is None  # the only batch may still be written again
+        for i in range(1, 5):
+            write_file(tmp_path / "in", i, [tick(i * 30, price=float(i)), tick(i * 30 + 1, symbol="ETHUSDT")])
+            wait_for(lambda: view.last_version() >= i)
+            if i == 3:
+                first, run = view.last_version(), query.runId
+                assert plan.run(view) == first - 1
+                assert first in view._versions("deltas", "batch_id")
+        assert query.isActive and query.runId == run and query.exception() is None
+        query.processAllAvailable()
+        assert plan.run(view) >= first
+        rows = {(r.identifier, r.window_end - BASE): r.ticks for r in view.read().collect()}
+        assert rows[("BTCUSDT", 180_000)] == 1
+        assert ("BTCUSDT", 60_000) not in rows and ("BTCUSDT", 120_000) not in rows
+        assert len(os.listdir(tmp_path / "view" / "base")) == 1
+    finally:
+        query.stop()
+
+
+def test_maintenance_thread(spark, tmp_path):
+    view = LiveView(spark, str(tmp_path / "v"), CELLS)
+    for i in range(3):
+        view.upsert(batch(spark, ("a", 10, float(i), None)), i)
+    maintainer = jobs.Maintainer([view], jobs.Maintenance(seconds=0.05, ttl_seconds=None)).start()
+    wait_for(lambda: view._versions("base", "upto") == [1])
+    maintainer.stop()
+    assert contents(view) == [("a", 2.0, None)]
+    broken = jobs.Maintainer([view, None], jobs.Maintenance(seconds=0.05)).start()
+    wait_for(lambda: broken.failure is not None)
+    with pytest.raises(AttributeError):
+        broken.stop()
 
 
 def test_a_failing_query_raises(spark, tmp_path):
@@ -180,17 +216,72 @@ def test_compaction_and_vacuum(spark, tmp_path):
 def test_expired_rows_leave_the_view(spark, tmp_path):
     view = LiveView(spark, str(tmp_path / "v"), CELLS)
     view.upsert(batch(spark, ("old", 10, 1.0, 1.0), ("new", 20, 1.0, 1.0)), 0)
-    assert contents(view, min_window_end=10) == [("new", 1.0, 1.0)]
+    assert contents(view, newer_than=10) == [("new", 1.0, 1.0)]
     view.compact(min_window_end=10)
     assert contents(view) == [("new", 1.0, 1.0)]
 
 
+def bounded_view(spark, tmp_path):
+    view = LiveView(spark, str(tmp_path / "v"), CELLS, buckets=4)
+    keys = [(f"BIN#{s}#{9999999999999 - t}", t) for s in ("A", "B", "C") for t in range(10, 100, 10)]
+    view.upsert(batch(spark, *[(k, t, 1.0, None) for k, t in keys]), 0)
+    view.compact()
+    view.upsert(batch(spark, *[(k, t, None, 2.0) for k, t in keys[::2]]), 1)
+    view.upsert(batch(spark, *[(k, t, 3.0, None) for k, t in keys[::3]], (f"BIN#A#{9999999999999 - 100}", 100, 5.0, 5.0)), 2)
+    return view
+
+
+def test_bounded_reads_equal_filtered_ones(spark, tmp_path):
+    view = bounded_view(spark, tmp_path)
+    every = {r.rowkey: tuple(r) for r in view.read().collect()}
+    assert len(every) == 28
+    key = f"BIN#B#{9999999999999 - 30}"
+    for arguments, keep in (
+            ({"key": key}, lambda r: r[0] == key), ({"key": "none"}, lambda r: False),
+            ({"prefix": "BIN#C#"}, lambda r: r[0].startswith("BIN#C#")), ({"newer_than": 50}, lambda r: r[1] > 50),
+            ({"prefix": "BIN#A#", "newer_than": 80}, lambda r: r[0].startswith("BIN#A#") and r[1] > 80),
+            ({"prefix": "BIN#", "newer_than": 80}, lambda r: r[1] > 80)):
+        assert {r.rowkey: tuple(r) for r in view.read(**arguments).collect()} == {
+            k: r for k, r in every.items() if keep(r)}, arguments
+    older = LiveView.open(spark, str(tmp_path / "v"))  # asks for 16 buckets, reads the stored 4
+    assert {r.rowkey: tuple(r) for r in older.read(upto=1).collect()} != every
+    assert {r.rowkey: tuple(r) for r in older.read().collect()} == every
+    with pytest.raises(ValueError):
+        LiveView.open(spark, str(tmp_path / "nothing"))
+
+
+def test_bounds_reach_both_scans_and_the_base_stays_in_place(spark, tmp_path):
+    view = bounded_view(spark, tmp_path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        check_bounded_plans(view)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def check_bounded_plans(view):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    one = plan(view.read(key="BIN#B#1"))
+    assert one.count("EqualTo(rowkey,BIN#B#1)") == 2 and "SelectedBucketsCount: 1 out of 4" in one
+    some = plan(view.read(prefix="BIN#A#", newer_than=80))
+    assert some.count("StringStartsWith(rowkey,BIN#A#)") == 2 and some.count("GreaterThan(window_end,80)") == 2
+    assert some.count(f"LessThan(rowkey,BIN#A#{9999999999999 - 80})") == 2
+    for text in (one, some, plan(view.read())):
+        assert text.count("Exchange") == 1  # of the deltas, into the buckets of the base
+        assert text.index("Exchange") > text.index("SelectedBucketsCount")
+
+
 def test_unfinished_folders_are_ignored(spark, tmp_path):
     view = LiveView(spark, str(tmp_path / "v"), CELLS)
     view.upsert(batch(spark, ("a", 1, 5.0, 1.0)), 0)
     view.upsert(batch(spark, ("a", 1, 6.0, 1.0)), 1)
     os.remove(tmp_path / "v" / "deltas" / "batch_id=1" / "_SUCCESS")
     assert contents(view) == [("a", 5.0, 1.0)]
+    view.compact()
+    os.remove(tmp_path / "v" / "base" / "upto=0" / "_buckets-16")
+    assert contents(view) == [("a", 5.0, 1.0)] and view._versions("base", "upto") == []
+    assert view.compact() == 0  # written again over the unfinished one
+    assert contents(view) == [("a", 5.0, 1.0)]
 
 
 # --- other sinks ------------------------------------------------------------
