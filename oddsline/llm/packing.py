@@ -14,6 +14,7 @@ says which sequence and place is the piece's.
 from __future__ import annotations
 
 import bisect
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,13 +37,15 @@ Pattern = tuple[tuple[int, int], ...]  # (length, pieces of it), the content of
 
 
 class Tokens:
-    """Ids of whole texts by a tokenizers file, word by word.
-
-    ASCII white space always separates tokens where the pre-tokenizer only matches runs
-    without white space, and the normalizer treats characters alone or composes marks
-    with the character before: words between white space are encoded once and
-    remembered. Other tokenizers, and texts with the string of an added token, are given
-    to the library whole.
+    """Ids of whole texts by a tokenizers file.
+
+    Texts of plain letters, digits and marks are cut into pre-tokens here and merged by
+    ``merging``, where that is proved equal. Of other texts the words between ASCII
+    white space are taken apart, which always separates tokens where the pre-tokenizer only
+    matches runs without white space, and the normalizer treats characters alone or
+    composes marks with the character before: each is encoded once, plain ones as above
+    and others by the library, and remembered. Other tokenizers, and texts with the string
+    of an added token, are left to the library.
     """
 
     def __init__(self, path: str):
@@ -56,18 +59,20 @@ class Tokens:
         config = json.load(open(path, encoding="utf-8"))
         self.added = [t["content"] for t in config.get("added_tokens") or []]
         self.by_word = self.separable(config)
+        self.merge, self.ending = merging(config["model"]) if self.by_word else (None, None)
 
     @staticmethod
     def separable(config: dict) -> bool:
         normalizer, splitter = config.get("normalizer") or {}, config.get("pre_tokenizer") or {}
         local = [n["type"] in ("NFC", "Lowercase") or n == {
             "type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} for n in normalizer.get("normalizers", [])]
+        lower = any(n["type"] == "Lowercase" for n in normalizer.get("normalizers", []))
         parts = splitter.get("pretokenizers", [])
         split = [p["type"] == "Split" and p["behavior"] == "Removed" and p["invert"]
                  and SPACELESS == p["pattern"].get("Regex") for p in parts[:1]]
         rest = [p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in parts[1:]]
-        return (normalizer.get("type") == splitter.get("type") == "Sequence" and all(local) and split == [True]
-                and all(rest) and not config.get("post_processor"))
+        return (normalizer.get("type") == splitter.get("type") == "Sequence" and all(local) and lower
+                and split == rest == [True] and not config.get("post_processor"))
 
     @staticmethod
     def packed(ids: list[int]) -> bytes:
@@ -77,21 +82,101 @@ class Tokens:
         """Little-endian unsigned 32-bit ids of a text."""
         if not self.by_word or any(t in text for t in self.added):
             return self.packed(self.model.encode(text, add_special_tokens=False).ids)
+        if self.merge and PLAIN(text):
+            return self.merge(END.join([*PRETOKENS(text.lower()), ""])).tobytes()
         words = text.encode().split()  # of bytes: splits at ASCII white space only
         if self.held > REMEMBERED:
             self.known.clear()
             self.held = 0
         known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new = set(words).difference(known)
         if new:
-            found = self.model.encode_batch([w.decode() for w in new], add_special_tokens=False)
-            known.update((w, self.packed(e.ids)) for w, e in zip(new, found))
             self.held += sum(map(len, new))
-        return b"".join([known[w] for w in words])
+            self.learn(new)
+        return b"".join(map(known.__getitem__, words))
+
+    def learn(self, words: set[bytes]) -> None:
+        plain, parts, counts, other = [], [], [], []
+        for word in words:
+            text = word.decode()
+            if self.merge and PLAIN(text):
+                own = PRETOKENS(text.lower())
+                plain.append(word)
+                parts += own
+                counts.append(len(own))
+            else:
+                other.append(word)
+        if plain:
+            ids = self.merge(END.join([*parts, ""]))
+            last = (np.flatnonzero(self.ending[ids]) + 1)[np.cumsum(counts) - 1] * 4
+            data, first = ids.tobytes(), 0
+            for word, end in zip(plain, last.tolist()):
+                self.known[word] = data[first:end]
+                first = end
+        if other:
+            found = self.model.encode_batch([w.decode() for w in other], add_special_tokens=False)
+            self.known.update((w, self.packed(e.ids)) for w, e in zip(other, found))
 
 
 #: Fixed value: the expression by which the tokenizer cuts texts; no alternative matches white space.
 SPACELESS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Latin letters whose lower case is one letter, whatever stands beside them.
+_LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0132-\u0148\u014a-\u017e"
+PLAIN = re.compile(f"[\\t-\\r -~{_LETTERS}]+").fullmatch
+PRETOKENS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9]|[^\\t-\\r a-z0-9{_LETTERS}]+").findall
+#: Ends a pre-token in ``merging``; words that hold it are not plain.
+END = "\0"
+
+
+def byte_characters() -> dict[str, int]:
+    """The character by which byte-level vocabularies write each byte: printable Latin-1
+    characters stand for themselves, the others follow from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def merging(model: dict):
+    """A function from pre-tokens, each followed by END, to ids, and which ids end one; or nothing.
+
+    The library merges a pair of neighbours if there is a rule for it; the fast one merges
+    any pair whose text is in the vocabulary, both by rising rank. They agree if every
+    string left in the vocabulary is one token when encoded alone: as long as two
+    neighbours x, y cover a string, the merges inside it came in the same order as
+    if it stood alone, so x, y is its last step and has the rule. Strings that alone
+    are not one token are never made by the library and are taken out.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer, models
+
+    vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix")
+    rules = [tuple(r.split(" ")) if isinstance(r, str) else tuple(r) for r in model["merges"]]
+    made = [vocabulary[x + y] for x, y in rules]
+    others = set(vocabulary.values()) - set(made)
+    special = [i for i in others if i > min(made)]
+    if (model["type"] != "BPE" or not suffix or model.get("dropout") or model.get("continuing_subword_prefix")
+            or model.get("byte_fallback") or model.get("ignore_merges") or made != sorted(set(made))):
+        return None, None
+    number = byte_characters()
+    whole = Tokenizer(models.BPE(vocabulary, rules, end_of_word_suffix=suffix))
+    inner = Tokenizer(models.BPE(vocabulary, rules))
+    ranks: dict[bytes, int] = {}
+    names = [t for t, i in vocabulary.items() if i not in special]
+    for ends, by in ((True, whole), (False, inner)):
+        own = [t for t in names if t.endswith(suffix) == ends]
+        bodies = [t[:-len(suffix)] if ends else t for t in own]
+        for token, body, alone in zip(own, bodies, by.encode_batch(bodies)):
+            raw = bytes(number[c] for c in body)
+            if alone.ids == [vocabulary[token]] and (END.encode() not in raw or raw == END.encode() and not ends):
+                ranks[raw + END.encode() * ends] = vocabulary[token]
+    single = [ranks.get(bytes([b]), -1) for b in range(256)]
+    closed = [ranks.get(bytes([b, 0]), -1) for b in range(1, 256)]
+    if -1 in single + closed or max(single + closed) > min(made):
+        return None, None  # some byte has no token, or merges could come before the end of a word
+    ending = np.zeros(max(vocabulary.values()) + 1, bool)
+    ending[[i for raw, i in ranks.items() if len(raw) > 1 and raw.endswith(END.encode())]] = True
+    fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+    return fast.encode_to_numpy, ending
 
 
 @lru_cache(maxsize=2)
