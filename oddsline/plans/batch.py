@@ -9,6 +9,7 @@ Install the package on the cluster (``pip install .``), or ship it with ``--py-f
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -47,30 +48,47 @@ def verdicts(klines: DataFrame, events: DataFrame, date: str | None = None,
     return judged if last is None else judged.filter(day <= F.lit(last).cast("date"))
 
 
-def check_times(klines: DataFrame, settings: Settings) -> None:
-    """Raise if the newest candle lies in no plausible year, as with a wrong unit."""
-    newest = sources.load_klines(klines, settings=settings).agg(
-        F.max("binance_time").alias("t"), F.count(F.lit(1)).alias("rows"))
-    row = newest.select("t", "rows", (F.col("t") < F.lit(EARLIEST).cast("timestamp")).alias("early"),
-                        (F.col("t") > F.current_timestamp() + F.expr("INTERVAL 1 YEAR")).alias("late")).first()
-    if row["early"] or row["late"] or (row["rows"] and row["t"] is None):
-        raise ValueError(f"newest candle at {row['t']}: is the time unit {settings.epoch_unit!r} right?")
+def check_times(klines: DataFrame, settings: Settings, date: str | None = None, until: str | None = None,
+                now: dt.datetime | None = None) -> None:
+    """Raise if candles lie at implausible times, as with a wrong unit.
+
+    Looked at is the newest of the dates to be judged, so the time column of no other date
+    is read. Its candles have to lie near that date, not before any exchange, and
+    not a year after ``now``, if that is given.
+    """
+    newest = sources.on_dates(klines, date, until).agg(F.max("date")).first()[0]
+    if newest is None:
+        return
+    times = sources.load_klines(klines, str(newest), settings).agg(
+        F.min("binance_time").alias("first"), F.max("binance_time").alias("last"))
+    day = F.lit(newest).cast("timestamp")
+    wrong = ((F.col("first") < F.lit(EARLIEST).cast("timestamp"))
+             | (F.col("first") < day - F.expr("INTERVAL 2 DAYS")) | (F.col("last") >= day + F.expr("INTERVAL 3 DAYS"))
+             | (F.lit(False) if now is None else F.col("last") > F.lit(now) + F.expr("INTERVAL 1 YEAR")))
+    row = times.select("first", "last", (F.col("last").isNull() | wrong).alias("wrong"),
+                       F.date_format("last", "yyyy-MM-dd").alias("shown")).first()
+    if row["wrong"]:
+        raise ValueError(f"candles of {newest} lie at {row['shown']}: is the time unit {settings.epoch_unit!r} right?")
 
 
 def run(spark: SparkSession, klines: DataFrame, events: DataFrame, out: str,
         date: str | None = None, settings: Settings = Settings(),
         tokens: DataFrame | None = None, sequence: str | None = "snapshot_time",
-        until: str | None = None) -> DataFrame:
+        until: str | None = None, now: dt.datetime | None = None) -> DataFrame:
     """Write ``<out>/analysis`` and ``<out>/view``; returns the outcome counts of all that is stored.
 
-    Days written before stay, unless they are judged again.  The view is made from the
-    stored analysis, so the heavy scan runs once.  Any error is raised and fails the job.
+    The dates asked for are replaced as a whole: those that now have no verdict are emptied, and
+    the others stay.  Without a date all are replaced.  The view is made from the stored
+    analysis, so the heavy scan runs once.  Any error is raised and fails the job.
     """
     use_utc(spark)
-    check_times(klines, settings)
-    sinks.write_result(verdicts(klines, events, date, settings, tokens, sequence, until), f"{out}/analysis")
-    analysis = spark.read.parquet(f"{out}/analysis")
-    sinks.write_batch_view(views.batch_view(sources.on_dates(analysis, date, until)), f"{out}/view")
+    check_times(klines, settings, date, until, now)
+    judged = sinks.dated_result(verdicts(klines, events, date, settings, tokens, sequence, until))
+    first, last = date, until if until is not None else date
+    sinks.replace_range(judged, f"{out}/analysis", first, last)
+    analysis = sinks.read_dated(spark, f"{out}/analysis", judged.schema)
+    view = sinks.dated_view(views.batch_view(sources.on_dates(analysis, date, until)))
+    sinks.replace_range(view, f"{out}/view", first, last, sort=("rowkey",))
     return serving.outcome_report(analysis)
 
 
@@ -88,7 +106,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("batch-verdicts", **BATCH_OPTIONS)
     run(spark, spark.table(args.klines), spark.table(args.events), args.out, args.date,
         Settings(epoch_unit=args.unit), spark.table(args.tokens) if args.tokens else None,
-        until=args.until).show()
+        until=args.until, now=dt.datetime.now(dt.timezone.utc)).show()
     spark.stop()
 
 

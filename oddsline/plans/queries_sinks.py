@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from oddsline.functions import rowkeys
 from oddsline.operators import views
 from oddsline.plans import batch, oracle_feeds as o
 from oddsline.plans.queries_views import VIEW_SELECT, round_view
@@ -74,14 +75,17 @@ def expired_partitions(spark, folder):
     return sinks.expired_partitions(listed, dt.date(2024, 2, 10))
 
 
-_RESULT = f"""{o.VERDICTS}
+RESULT_COLUMNS = ("window_start", "crypto", "symbol", "window_open", "window_high", "window_low", "window_close",
+                  "avg_volume", "avg_probability", "max_probability", "bet_activity_count", "price_movement",
+                  "actual_direction", "predicted_direction", "prediction_result")
+RESULT_SQL = f"""{o.VERDICTS}
 SELECT window_start, crypto, symbol, window_open, window_high, window_low, window_close,
   round(avg_volume, 6) AS avg_volume, round(avg_probability, 6) AS avg_probability, max_probability,
   bet_activity_count, price_movement, actual_direction, predicted_direction, prediction_result
 FROM analysis"""
 
 
-@query("write_result", _RESULT)
+@query("write_result", RESULT_SQL)
 def write_result(spark, folder):
     """All days, then one of them again: the others stay."""
     path = work_folder(spark, "analysis")
@@ -91,6 +95,27 @@ def write_result(spark, folder):
     return rounded(spark.read.parquet(path).drop("date"), "avg_volume", "avg_probability")
 
 
+# The bets of a day, and of all days of a range, are withdrawn; judging them again leaves them empty.
+_WITHDRAWN, _WITHDRAWN_FROM = "2024-01-15", "2024-01-28"
+
+
+@query("rejudged_days", f"""{RESULT_SQL}
+WHERE CAST(window_start AS DATE) <> DATE '{_WITHDRAWN}' AND CAST(window_start AS DATE) < DATE '{_WITHDRAWN_FROM}'""")
+def rejudged_days(spark, folder):
+    """The batch job over all days, then again over a day and a range without bets."""
+    out, events = work_folder(spark, "rejudged"), feeds.events(spark, folder)
+    klines, market = feeds.klines(events), feeds.stored_market_events(events)
+    day = F.col("date")
+    left = market.filter((day != F.lit(_WITHDRAWN).cast("date")) & (day < F.lit(_WITHDRAWN_FROM).cast("date")))
+    batch.run(spark, klines, market, out)
+    batch.run(spark, klines, left, out, date=_WITHDRAWN)
+    batch.run(spark, klines, left, out, date=_WITHDRAWN_FROM, until="2024-12-31")
+    judged = spark.read.parquet(f"{out}/analysis")
+    keys = spark.read.parquet(f"{out}/view").select("rowkey").distinct()
+    kept = judged.withColumn("rowkey", rowkeys.batch_rowkey("symbol", "window_start")).join(keys, "rowkey")
+    return rounded(kept.drop("date", "rowkey").select(*RESULT_COLUMNS), "avg_volume", "avg_probability")
+
+
 def cleansed_tables(spark, folder):
     """Raw candles (nanoseconds, as text) and market events, cleansed, stored and read again."""
     events = feeds.events(spark, folder)
@@ -102,7 +127,7 @@ def cleansed_tables(spark, folder):
     return tuple(spark.read.parquet(path) for path in paths)
 
 
-@query("cleansed_verdicts", _RESULT)
+@query("cleansed_verdicts", RESULT_SQL)
 def cleansed_verdicts(spark, folder):
     """The whole chain: raw, cleansed, stored, loaded without a unit, judged."""
     return rounded(batch.verdicts(*cleansed_tables(spark, folder)), "avg_volume", "avg_probability")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from oddsline.operators import views
 from oddsline.plans import batch
 from oddsline.sinks import tables as sinks
+from oddsline.sinks.folders import Folders
 from oddsline.sources import feeds, tables
 from tests.test_views import NOON, batch_view
 
@@ -124,6 +126,107 @@ def test_daily_run_keeps_other_days_and_refuses_a_wrong_unit(spark, tmp_path):
         batch.run(spark, klines, market, out, settings=Settings(epoch_unit="us"))
 
 
+def test_judging_again_withdraws_rows(spark, tmp_path):
+    events = feeds.events(spark, "/root/testdata/sf0.001")
+    klines, market = feeds.klines(events), feeds.stored_market_events(events)
+    out = str(tmp_path / "out")
+    assert batch.run(spark, klines, market.limit(0), out).collect() == []  # a first run without verdicts
+    assert spark.read.schema("rowkey string").parquet(f"{out}/view").count() == 0
+    batch.run(spark, klines, market, out)
+    days = lambda name: sorted(n for n in os.listdir(f"{out}/{name}") if n.startswith("date="))
+    before = days("analysis")
+    assert days("view") == before and f"date={DAY}" in before
+    batch.run(spark, klines, market.limit(0), out, date=DAY)
+    assert days("analysis") == days("view") == [d for d in before if d != f"date={DAY}"]
+    batch.run(spark, klines, market, out, date=DAY)
+    assert days("analysis") == before
+    batch.run(spark, klines, market.limit(0), out, until="2024-01-20", date="2024-01-10")
+    assert days("view") == [d for d in before if not "date=2024-01-10" <= d <= "date=2024-01-20"]
+    assert batch.run(spark, klines, market.limit(0), out).collect() == []
+    assert days("analysis") == days("view") == []
+
+
+DAY = "2024-01-15"
+
+
+def dated(spark, *rows):
+    return spark.createDataFrame(list(rows), "x int, date string").withColumn("date", F.col("date").cast("date"))
+
+
+def stored_rows(spark, path):
+    return sorted((r.x, str(r.date)) for r in spark.read.schema("x int, date date").parquet(path).collect())
+
+
+def test_an_interrupted_swap_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    old = [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03"), (4, "2024-01-04")]
+    new = [(20, "2024-01-02"), (50, "2024-01-05")]
+    want = [(1, "2024-01-01"), (20, "2024-01-02"), (50, "2024-01-05")]
+    steps = ("move", "remove", "make", "write")
+    for fail_at in range(14):
+        sinks.replace_range(dated(spark, *old), path)
+        calls = 0
+
+        def failing(original):
+            def call(self, *args):
+                nonlocal calls
+                calls += 1
+                if calls == fail_at:
+                    raise OSError("lost")
+                return original(self, *args)
+            return call
+
+        with monkeypatch.context() as patched:
+            for step in steps:
+                patched.setattr(Folders, step, failing(getattr(Folders, step)))
+            try:
+                sinks.replace_range(dated(spark, *new), path, "2024-01-02", "2024-01-31")
+            except OSError:
+                pass
+        sinks.finish_swaps(spark, path)
+        assert stored_rows(spark, path) in (want, old), fail_at
+        assert [n for n in os.listdir(path) if n.startswith("_staged")] == []
+    assert stored_rows(spark, path) == want
+
+
+def test_replaced_days(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_days(dated(spark, (1, "2024-01-01"), (2, "2024-01-02")), path, ["2024-01-01", "2024-01-02"])
+    sinks.replace_days(dated(spark, (3, "2024-01-02")), path, ["2024-01-02", "2024-01-03"])
+    assert stored_rows(spark, path) == [(1, "2024-01-01"), (3, "2024-01-02")]
+    with pytest.raises(ValueError, match="outside"):
+        sinks.replace_days(dated(spark, (3, "2024-01-05")), path, ["2024-01-02"])
+    with pytest.raises(ValueError, match="outside"):
+        sinks.replace_range(dated(spark, (3, "2024-01-05")), path, "2024-01-02", "2024-01-04")
+    assert stored_rows(spark, path) == [(1, "2024-01-01"), (3, "2024-01-02")]
+
+
+def test_check_of_times_reads_one_date(spark, tmp_path, monkeypatch):
+    from oddsline.config import Settings
+
+    path = str(tmp_path / "k")
+    sinks.write_partitioned(feeds.klines(feeds.events(spark, "/root/testdata/sf0.001")), path, ("date",))
+    klines = spark.read.parquet(path)
+    plans, agg = [], type(klines).agg
+
+    def seen(self, *columns):
+        out = agg(self, *columns)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(type(klines), "agg", seen)
+    batch.check_times(klines, Settings(), "2024-01-10", "2024-01-12")
+    assert "ReadSchema: struct<>" in plans[0] and "date#" in plans[0].split("PartitionFilters")[1]
+    assert "(date#" in plans[1].split("PartitionFilters")[1].split("]")[0] and "= 2024-01-12" in plans[1]
+    batch.check_times(klines, Settings(), "2030-01-01")  # no such date: nothing to check
+    for unit in ("s", "ms", "us"):
+        with pytest.raises(ValueError, match="unit"):
+            batch.check_times(klines, Settings(epoch_unit=unit), "2024-01-10")
+    batch.check_times(klines, Settings(), now=dt.datetime(2024, 2, 1))
+    with pytest.raises(ValueError, match="unit"):
+        batch.check_times(klines, Settings(), now=dt.datetime(2021, 2, 1))
+
+
 def test_cleansed_tables_need_no_unit(spark, tmp_path):
     events = feeds.events(spark, "/root/testdata/sf0.001")
     klines, market = feeds.klines(events), feeds.stored_market_events(events)
