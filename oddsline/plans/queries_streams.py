@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS
 from oddsline.operators import windows
 from oddsline.plans import oracle_feeds as o
+from oddsline.plans.queries_sinks import RESULT_COLUMNS, RESULT_SQL
 from oddsline.plans.queries_views import LEGACY_LIVE_SQL, legacy_live_events, price_view
 from oddsline.plans.queries_windows import THIN_SECONDS
 from oddsline.plans.registry import ORACLES, query, rounded
 from oddsline.session import work_folder
 from oddsline.sources import feeds, messages, streams
 from oddsline.streaming import jobs, monitor
+from oddsline.streaming.cleansing import KINDS, CleansedTables
 from oddsline.streaming.thinning import ThinnedSnapshots
 
 # Files of a table carry no arrival order, so they form one micro-batch and no row is late.
@@ -121,6 +123,35 @@ def live_view_lookup(spark, folder):
     return view.read(key=view.read(prefix="BIN#SOLUSDT#").agg(F.min("rowkey")).first()[0])
 
 
+# Raw files arrive twice. The second arrival brings newer days, and late rows of a few old ones;
+# only these days are judged again.
+_ARRIVED, _LATE_DAY = "2024-01-20", "2024-01-10"
+
+
+def arrivals(spark, folder):
+    """(raw candles, raw market events, arrived at first) of the events, all as text."""
+    events = feeds.events(spark, folder)
+    late = (F.to_date("ts") == F.lit(_LATE_DAY).cast("date")) & (F.col("event_id") % 3 == 0)
+    for first in (True, False):
+        part = events.filter(((F.col("ts") < F.lit(_ARRIVED)) & ~late) == F.lit(first))
+        klines = feeds.klines(part)
+        text = [F.col(c).cast("string").alias(c) for c in klines.columns if c not in ("date", "event_id")]
+        yield klines.select(*text), feeds.stored_market_events(part).drop("date")
+
+
+@query("incremental_verdicts", RESULT_SQL)
+def incremental_verdicts(spark, folder):
+    root, out = work_folder(spark, "incremental"), work_folder(spark, "incremental-verdicts")
+    tables = CleansedTables(spark, root, "ns")
+    for arrived in arrivals(spark, folder):
+        for kind, rows in zip(KINDS, arrived):
+            rows.write.mode("append").parquet(f"{root}/raw/{kind}")
+            stream = streams.table_stream(spark, f"{root}/raw/{kind}", rows.schema)
+            monitor.drain(tables.start(kind, stream, f"{root}/checkpoints/{kind}"))
+        tables.judge(out)
+    return rounded(spark.read.parquet(f"{out}/analysis").select(*RESULT_COLUMNS), "avg_volume", "avg_probability")
+
+
 @query("legacy_live_view", f"""{LEGACY_LIVE_SQL}
 SELECT symbol || '#' || CAST(9999999999999 - "timestamp" AS VARCHAR) AS rowkey, symbol AS identifier,
   "timestamp" AS window_end, binance_price, poly_last_trade, poly_best_bid, poly_best_ask, implied_prob
