@@ -141,11 +141,13 @@ def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None
     """Batch windows, and live points after the last batch window, newest first.
 
     Batch windows are authoritative once complete: with ``boundary="end"`` live points
-    count only after the *end* of the symbol's last batch window; ``"start"`` compares
-    with its start, as older dashboards did.  Symbols without batch rows keep all live
-    points.  ``start_s``/``end_s`` default to the day before ``now``, and to no bound
-    without ``now``; ``live_minutes`` counts back from ``now``.  ``live_limit`` keeps the
-    newest points per symbol of those that count; by default all are kept.
+    count only after the *end* of the symbol's last batch window of the whole view, whether
+    or not that lies in the range asked for; ``"start"`` compares with its start, as older
+    dashboards did.  Symbols without batch rows keep all live points.  ``start_s`` and
+    ``end_s`` bound windows and points, both included; they default to the day before
+    ``now``, and to no bound without ``now``; ``live_minutes`` counts back from ``now``.
+    ``live_limit`` keeps the newest points per symbol of those that count; by default all
+    are kept.
     """
     if boundary not in ("end", "start"):
         raise ValueError("boundary must be 'end' or 'start'")
@@ -160,13 +162,15 @@ def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None
     first, last = (None if t is None else t - shift for t in (start_s, end_s))
     stored = batch if pair is None else prefix_scan(batch, batch_prefix(pair))
 
-    def in_range(rows: DataFrame) -> DataFrame:
+    def stamped(rows: DataFrame, last: int | None) -> DataFrame:
         # "_stamp": the analysis family has a text column "timestamp" of its own
-        rows = batch_records(_pruned(rows, first, last, pair)).withColumn("_stamp", F.col("window_ts") + F.lit(shift))
-        rows = rows.filter(F.col("_stamp") >= start_s) if start_s is not None else rows
-        return rows.filter(F.col("_stamp") <= end_s) if end_s is not None else rows
+        return batch_records(_pruned(rows, first, last, pair)).withColumn("_stamp", F.col("window_ts") + F.lit(shift))
 
-    history = in_range(stored).select(
+    def within(rows: DataFrame, time: str) -> DataFrame:
+        rows = rows.filter(F.col(time) >= start_s) if start_s is not None else rows
+        return rows.filter(F.col(time) <= end_s) if end_s is not None else rows
+
+    history = within(stamped(stored, last), "_stamp").select(
         "symbol", F.col("_stamp").alias("timestamp"), F.lit("batch").alias("source"),
         F.lit("window_summary").alias("type"),
         *[_payload(columns).alias(family) for family, columns in BATCH_CELLS.items()])
@@ -183,8 +187,10 @@ def merged_timeline(batch: DataFrame, live: DataFrame | None, symbol: str | None
                                F.lit("speed").alias("source"), F.lit("live_point").alias("type"),
                                F.struct(*cells).alias("data"))
         keys = [c for c in ("rowkey", "date") if c in stored.columns]
-        newest = in_range(stored.select(*keys)).groupBy("symbol").agg(F.max("_stamp").alias("_last"))
-        fresh = (points.join(newest, "symbol", "left")
+        # Windows before the range can't hide a point in it, so older folders are not read;
+        # of the newer ones the keys are.
+        newest = stamped(stored.select(*keys), None).groupBy("symbol").agg(F.max("_stamp").alias("_last"))
+        fresh = (within(points, "timestamp").join(newest, "symbol", "left")
                  .filter(F.col("timestamp") > F.coalesce("_last", F.lit(0))).drop("_last"))
         if live_limit is not None:
             fresh = newest_per_key(fresh, "symbol", live_limit, F.desc("timestamp"))

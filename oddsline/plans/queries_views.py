@@ -346,18 +346,53 @@ NOW = 1706617800
 @query("merged_timeline_of_symbol", f"""{o.SERVED_BOTH}, own AS (
   SELECT * FROM view_rows WHERE symbol = 'BTCUSDT' AND window_ts + 900 BETWEEN {NOW} - 86400 AND {NOW}), points AS (
   SELECT window_end // 1000 AS ts_s, current_price, ticks FROM live_rows
-  WHERE identifier = 'BTCUSDT' AND window_end >= ({NOW} - 720 * 60)::BIGINT * 1000)
+  WHERE identifier = 'BTCUSDT' AND window_end >= ({NOW} - 720 * 60)::BIGINT * 1000
+    AND window_end // 1000 BETWEEN {NOW} - 86400 AND {NOW})
 SELECT symbol, window_ts + 900 AS "timestamp", 'batch' AS source, 'window_summary' AS type,
   price_close AS close, prediction_result AS result, CAST(NULL AS DOUBLE) AS current_price,
   CAST(NULL AS BIGINT) AS ticks FROM own
 UNION ALL
 SELECT 'BTCUSDT', ts_s, 'speed', 'live_point', NULL, NULL, current_price, ticks
-FROM points WHERE ts_s > coalesce((SELECT max(window_ts) + 900 FROM own), 0)""")
+FROM points WHERE ts_s > coalesce((SELECT max(window_ts) + 900 FROM view_rows WHERE symbol = 'BTCUSDT'), 0)""")
 def merged_timeline_of_symbol(spark, folder):
     """One symbol as a dashboard asks for it: the last 24 hours, live points of the last 12."""
     return _timeline(spark, folder, symbol="BTC", now=NOW, live_minutes=720)
 
 
+# The symbols' last batch windows end at different times shortly before this range ends, and some
+# symbols have windows after it: points count by the last window of the whole view.
+PAST_FROM, PAST_UNTIL = 1706572800, 1706616900  # 2024-01-30 00:00 and 12:15
+
+
+def _past_sql(start: int, end: int) -> str:
+    return f"""{o.SERVED_BOTH}, last AS (
+  SELECT symbol, max(window_ts) + 900 AS last_ts FROM view_rows GROUP BY symbol)
+SELECT symbol, window_ts + 900 AS "timestamp", 'batch' AS source, price_close AS close,
+  CAST(NULL AS DOUBLE) AS current_price FROM view_rows WHERE window_ts + 900 BETWEEN {start} AND {end}
+UNION ALL
+SELECT identifier, window_end // 1000, 'speed', NULL, current_price
+FROM live_rows p LEFT JOIN last l ON p.identifier = l.symbol
+WHERE window_end // 1000 BETWEEN {start} AND {end} AND window_end // 1000 > coalesce(last_ts, 0)"""
+
+
+def _past(spark, folder, start, end):
+    merged = serving.merged_timeline(served_batch_view(spark, folder), stored_price_view(spark, folder),
+                                     start_s=start, end_s=end)
+    return merged.select("symbol", "timestamp", "source", F.col("price_data.close").alias("close"),
+                         F.col("data.current_price").alias("current_price"))
+
+
+@query("merged_timeline_past", _past_sql(PAST_FROM - 10 * 86400, PAST_FROM))
+def merged_timeline_past(spark, folder):
+    """Ten days of the past, with batch windows after them: live points only of symbols without any."""
+    return _past(spark, folder, PAST_FROM - 10 * 86400, PAST_FROM)
+
+
+@query("merged_timeline_at_the_boundary", _past_sql(PAST_FROM, PAST_UNTIL))
+def merged_timeline_at_the_boundary(spark, folder):
+    return _past(spark, folder, PAST_FROM, PAST_UNTIL)
+
+
 @query("current_state", f"""{o.SERVED_BOTH}, newest_live AS (
   SELECT identifier AS symbol, max(window_end) AS ms, arg_max(current_price, window_end) AS current_price
   FROM live_rows GROUP BY identifier), newest_batch AS (

@@ -141,14 +141,33 @@ def test_symbols_without_batch_rows_keep_live_points(spark):
     assert [(r.symbol, r.source) for r in merged] == [("BTCUSDT", "batch"), ("ETHUSDT", "speed")]
 
 
+def test_a_past_range_knows_the_windows_after_it(spark):
+    batch = batch_view(spark, [("BTCUSDT", NOON + 900 * i, 1.0, "UNCERTAIN") for i in range(8)]
+                       + [("ETHUSDT", NOON, 1.0, "UNCERTAIN")])
+    live = live_view(spark, [(s, NOON + 60 * i, float(i)) for s in ("BTCUSDT", "ETHUSDT", "XRPUSDT") for i in range(200)])
+    rows = serving.merged_timeline(batch, live, start_s=NOON + 1800, end_s=NOON + 3600).collect()
+    count = lambda symbol, source: sum((r.symbol, r.source) == (symbol, source) for r in rows)
+    # BTC has windows until two hours later, ETH only one before the range, XRP none.
+    assert (count("BTCUSDT", "batch"), count("BTCUSDT", "speed")) == (3, 0)
+    assert (count("ETHUSDT", "batch"), count("ETHUSDT", "speed")) == (0, 31)
+    assert (count("XRPUSDT", "batch"), count("XRPUSDT", "speed")) == (0, 31)
+    assert all(NOON + 1800 <= r.timestamp <= NOON + 3600 for r in rows)
+    across = serving.merged_timeline(batch, live, "BTC", NOON + 6300, NOON + 7800)
+    assert [t for t, s in stamps(across) if s == "speed"] == list(range(NOON + 7800, NOON + 7200, -60))
+
+
 def test_one_symbol_range_and_limits(spark):
     batch = batch_view(spark, [("BTCUSDT", NOON - 900 * i, 1.0, "UNCERTAIN") for i in range(1, 200)]
                        + [("ETHUSDT", NOON - 900, 1.0, "UNCERTAIN")])
     live = live_view(spark, [("BTCUSDT", NOON + 60 * i, float(i)) for i in range(1, 130)])
     day = serving.merged_timeline(batch, live, symbol="BTC", now=NOON)
     counts = {r["source"]: r["count"] for r in day.groupBy("source").count().collect()}
-    assert counts == {"batch": 97, "speed": 129}
-    limited = serving.merged_timeline(batch, live, now=NOON, live_limit=100).filter("source = 'speed'")
+    assert counts == {"batch": 97}  # no point lies after now
+    later = NOON + 60 * 129
+    day = serving.merged_timeline(batch, live, symbol="BTC", now=later)
+    counts = {r["source"]: r["count"] for r in day.groupBy("source").count().collect()}
+    assert counts == {"batch": 88, "speed": 129}
+    limited = serving.merged_timeline(batch, live, now=later, live_limit=100).filter("source = 'speed'")
     assert limited.count() == 100 and limited.agg(F.min("timestamp")).first()[0] == NOON + 60 * 30
     with pytest.raises(ValueError, match="now"):
         serving.merged_timeline(batch, live, live_minutes=10)
