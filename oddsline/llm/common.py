@@ -25,6 +25,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of narrow keys up to which they are sent to every executor (some 20 MB), so that
+#: what they are looked up in stays where it is; more of them are met by sort-merge.
+SENT_KEYS = 200_000
+
+
+def sent(keys: DataFrame) -> DataFrame:
+    """Keys of a join as a broadcast side if they are few, else for a sort-merge join.
+
+    Give written or otherwise cheap rows, as they are counted.
+    """
+    few = keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS
+    return F.broadcast(keys) if few else keys.hint("merge")
+
+
 def row_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bounds the rows that go to Python at once, so that long texts don't add up."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

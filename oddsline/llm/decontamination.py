@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from oddsline.llm.common import join_nulls, lower_ascii, written
+from oddsline.llm.common import join_nulls, lower_ascii, sent, written
 
 #: Fixed value: words are runs of ASCII letters and digits and of all non-ASCII characters.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -70,16 +70,36 @@ def item_windows(items: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
-    """Occurrences (KEY, start, length, window) of item windows of one length in documents."""
+def keyed(docs: DataFrame) -> DataFrame:
+    """A row is named by its doc_id and a hash of its text, so repeated ids stay apart."""
+    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").alias("_text"))
+
+
+def fingerprint_hits(docs: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """Per KEY: n_words, the number of equal rows, and the fingerprints it shares with items.
+
+    The one pass that splits all texts, for all lengths at once. Each row is carried by its
+    first fingerprint, met or not; of the others only those that an item has go on.
+    """
+    rows = docs.select(*KEY, words(F.col("_text")).alias("_words"))
+    none = F.array().cast("array<bigint>")
+    prints = rows.select(*KEY, F.coalesce(F.size("_words"), F.lit(0)).alias("_n"), "_words")
+    for length in lengths:
+        own = fingerprinted(prints, length)
+        prints = own.withColumnRenamed("_mins", f"_mins{length}")
+    joined = F.array_distinct(F.concat(none, *[F.coalesce(f"_mins{n}", none) for n in lengths]))
+    each = prints.select(*KEY, "_n", F.posexplode_outer(joined).alias("_at", "fingerprint"))
+    wanted = written(windows.select(F.col("fingerprint").alias("_met")).distinct(), "fingerprints")
+    met = (each.join(sent(wanted), F.col("fingerprint") == F.col("_met"), "left")
+           .filter("_met IS NOT NULL OR coalesce(_at, 0) = 0"))
+    first = F.count(F.when(F.coalesce("_at", F.lit(0)) == 0, 1))
+    return met.groupBy(*KEY).agg(F.max("_n").cast("long").alias("n_words"), first.alias("_copies"),
+                                 F.collect_set("_met").alias("_matched"))
+
+
+def hits(near: DataFrame, windows: DataFrame, length: int) -> DataFrame:
+    """Occurrences (KEY, start, length, window) of item windows of one length in ``near`` documents."""
     own = windows.filter(F.col("length") == length)
-    wanted = written(own.select("fingerprint").distinct(), "fingerprints")
-    texts = docs.select(*KEY, "_text")
-    rows = fingerprinted(texts.select(*KEY, words(F.col("_text")).alias("_words")), length)
-    met = (rows.select(*KEY, F.explode(F.array_distinct("_mins")).alias("fingerprint"))
-           .join(wanted, "fingerprint"))
-    matched = written(met.groupBy(*KEY).agg(F.collect_set("fingerprint").alias("_matched")), "matched")
-    near = join_nulls(texts, matched, KEY).select(*KEY, "_matched", words(F.col("_text")).alias("_words"))
     # Walks over the fingerprints themselves: looked up by index they would be computed anew for each.
     extended = fingerprinted(near, length).withColumn("_at", F.filter(F.transform(
         "_mins", lambda x, i: F.when(F.array_contains("_matched", x), i)), lambda i: i.isNotNull()))
@@ -89,24 +109,21 @@ def hits(docs: DataFrame, windows: DataFrame, length: int) -> DataFrame:
             .join(own.select("window").distinct(), "window", "left_semi"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """A row is named by its doc_id and a hash of its text, so repeated ids stay apart."""
-    return docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"), F.col("text").alias("_text"))
-
-
-def found(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(occurrences, item windows): both written, and empty where nothing is shared."""
+def found(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents by KEY, occurrences, item windows): written, the latter two empty if nothing is shared."""
     windows = written(item_windows(items.select("item_id", "text")), "windows")
-    present = [r[0] for r in windows.select("length").distinct().collect()]  # at most 10
+    present = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most 10
     rows = keyed(docs)
-    out = None
-    for length in sorted(present):
-        part = hits(rows, windows, length)
-        out = part if out is None else out.union(part)
-    if out is None:
-        out = rows.select(*KEY, F.lit(0).alias("start"), F.lit(0).alias("length"),
-                          F.lit("").alias("window")).filter("false")
-    return written(out.select(*KEY, "start", "length", "window"), "occurrences"), windows
+    judged = written(fingerprint_hits(rows, windows, present), "matched")
+    matched = judged.filter(F.size("_matched") > 0).select(F.col("_id").alias("_near_id"),
+                                                           F.col("_hash").alias("_near_hash"), "_matched")
+    same = F.col("_id").eqNullSafe(F.col("_near_id")) & F.col("_hash").eqNullSafe(F.col("_near_hash"))
+    near = written(rows.join(sent(matched), same)
+                   .select(*KEY, "_matched", words(F.col("_text")).alias("_words")), "near")
+    out = near.select(*KEY, F.lit(0).alias("start"), F.lit(0).alias("length"), F.lit("").alias("window")).filter("false")
+    for length in present:
+        out = out.union(hits(near, windows, length).select(*KEY, "start", "length", "window"))
+    return judged, written(out, "occurrences"), windows
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -117,7 +134,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     Repeated rows get equal results; extra columns are ignored; empty tables give rows
     without hits, or no rows.
     """
-    occurrences, windows = found(docs, items)
+    judged, occurrences, windows = found(docs, items)
     earlier = (Window.partitionBy(*KEY).orderBy("start", "length")
                .rowsBetween(Window.unboundedPreceding, -1))
     end = F.col("start") + F.col("length")
@@ -128,9 +145,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
              .join(windows.select("length", "window", "item_id"), ["length", "window"])
              .filter("item_id IS NOT NULL").select(*KEY, F.col("item_id").cast("string").alias("_item")).distinct())
     listed = named.groupBy(*KEY).agg(F.sort_array(F.collect_list("_item")).alias("_items"))
-    counted = docs.select(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"),
-                          F.coalesce(F.regexp_count(lower_ascii(F.col("text")), F.lit(WORD)), F.lit(0))
-                          .cast("long").alias("n_words"))
+    counted = judged.select(*KEY, "n_words", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")).alias("_copy"))
     both = join_nulls(join_nulls(counted, covered, KEY, "left"), listed, KEY, "left")
     items_of = F.coalesce("_items", F.array().cast("array<string>"))
     hit = F.coalesce("n_hit", F.lit(0)).cast("long")
@@ -142,7 +157,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without those that hold a benchmark window, columns unchanged."""
-    occurrences, _ = found(docs, items)
-    dirty = occurrences.select(*KEY).distinct()
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(dirty["_id"])
+    _, occurrences, _ = found(docs, items)
+    dirty = written(occurrences.select(*KEY).distinct(), "dirty")
+    return docs.join(sent(dirty), docs["doc_id"].eqNullSafe(dirty["_id"])
                      & F.xxhash64(docs["text"]).eqNullSafe(dirty["_hash"]), "left_anti")
