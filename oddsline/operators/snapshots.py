@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame, functions as F
 from oddsline.config import Settings
 from oddsline.functions.times import epoch_to_timestamp, floor_time, interval_seconds
 
-_FAR_PAST = -(2 ** 62)
+#: Before every time.
+FAR_PAST = -(2 ** 62)
+#: What tells captured snapshots apart.
+SNAPSHOT_KEYS = ("symbol", "timestamp", "snapshot_time")
 
 
-def drop_repeated(klines: DataFrame,
-                  keys: tuple[str, ...] = ("symbol", "timestamp", "snapshot_time")) -> DataFrame:
+def drop_repeated(klines: DataFrame, keys: tuple[str, ...] = SNAPSHOT_KEYS) -> DataFrame:
     """One row per captured snapshot, e.g. after a backfill overlapped the stream.
 
     Of rows that differ otherwise the one with the largest row hash stays, with all its
@@ -111,6 +113,11 @@ def _kept_rows(follow: np.ndarray, first: int) -> np.ndarray:
     return kept[kept < n]
 
 
+def kept_after(times: np.ndarray, closed: np.ndarray, last: int, interval: int) -> np.ndarray:
+    """The rows that are kept, by increasing time, if the one kept before them was at ``last``."""
+    return _kept_rows(_next_kept(times, closed, interval), _first_kept(times, closed, last, interval))
+
+
 def _sorted_chunk(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row order by time and tie, and the times and closed flags in that order."""
     times = chunk.column("_t").to_numpy()
@@ -154,7 +161,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
     def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
         before = pdf["last_kept"].iloc[0]
-        last, starts = _FAR_PAST if pd.isna(before) else int(before), []
+        last, starts = FAR_PAST if pd.isna(before) else int(before), []
         for steps, exits, has_close in zip(pdf["step_times"], pdf["exits"], pdf["has_close"]):
             starts.append(last)
             at = int(np.searchsorted(np.asarray(steps), last + interval, side="left"))
@@ -166,8 +173,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
 
     def pick(rows: pa.Table) -> pa.Table:
         order, times, closed = _sorted_chunk(rows)
-        first = _first_kept(times, closed, rows.column("_start")[0].as_py(), interval)
-        kept = _kept_rows(_next_kept(times, closed, interval), first)
+        kept = kept_after(times, closed, rows.column("_start")[0].as_py(), interval)
         return rows.select(columns).take(order[kept])
 
     summaries = (keyed.select("symbol", "_chunk", "_t", "_tie", "_closed")

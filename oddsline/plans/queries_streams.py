@@ -6,16 +6,16 @@ from pyspark.sql import functions as F
 
 from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS
 from oddsline.operators import windows
-from oddsline.plans import oracle_feeds as o
+from oddsline.plans import live, oracle_feeds as o
 from oddsline.plans.queries_sinks import RESULT_COLUMNS, RESULT_SQL
 from oddsline.plans.queries_views import LEGACY_LIVE_SQL, legacy_live_events, price_view
 from oddsline.plans.queries_windows import THIN_SECONDS
 from oddsline.plans.registry import ORACLES, query, rounded
 from oddsline.session import work_folder
 from oddsline.sources import feeds, messages, streams
-from oddsline.streaming import jobs, monitor
+from oddsline.streaming import jobs, monitor, thinning
 from oddsline.streaming.cleansing import KINDS, CleansedTables
-from oddsline.streaming.thinning import ThinnedSnapshots
+from oddsline.streaming.dedup import drop_repeated_within
 
 # Files of a table carry no arrival order, so they form one micro-batch and no row is late.
 ALL_FILES = 2 ** 31 - 1
@@ -72,8 +72,7 @@ SELECT rowkey, window_end, current_price,
   current_price + CASE WHEN ticks > 1 THEN 1 ELSE 0 END AS latest_price, ticks FROM live_rows""")
 def live_view_upsert(spark, folder):
     rows = feeds.kline_messages(feeds.events(spark, folder))
-    live = windows.live_price(messages.ticks_of(rows))
-    first = live.select(
+    first = windows.live_price(messages.ticks_of(rows)).select(
         F.concat(F.lit("BIN#"), "symbol", F.lit("#"),
                  (F.lit(9999999999999) - F.unix_millis("window_end")).cast("string")).alias("rowkey"),
         F.unix_millis("window_end").alias("window_end"), "current_price",
@@ -95,13 +94,13 @@ _SERVED_SINCE = 1705276800000  # 2024-01-15
 
 
 def _fed_view(spark, folder):
-    live = price_view(spark, folder).select("rowkey", "identifier", "window_end", "current_price", "ticks")
+    rows = price_view(spark, folder).select("rowkey", "identifier", "window_end", "current_price", "ticks")
     part = F.pmod(F.xxhash64("rowkey"), F.lit(4))
-    view = jobs.view_of(spark, live, work_folder(spark, "bounded"))
-    view.upsert(live.filter(part < 3).withColumn("ticks", F.when(part != 1, F.col("ticks"))), 0)
+    view = jobs.view_of(spark, rows, work_folder(spark, "bounded"))
+    view.upsert(rows.filter(part < 3).withColumn("ticks", F.when(part != 1, F.col("ticks"))), 0)
     view.compact()
-    view.upsert(live.filter(part == 1).withColumn("current_price", F.lit(None).cast("double")), 1)
-    view.upsert(live.filter(part == 3), 2)
+    view.upsert(rows.filter(part == 1).withColumn("current_price", F.lit(None).cast("double")), 1)
+    view.upsert(rows.filter(part == 3), 2)
     return view
 
 
@@ -164,30 +163,108 @@ def legacy_live_view(spark, folder):
     return view.read()
 
 
+def _arrive(rows, root, *slices):
+    """Appends slices of a table as files, each as many, so that one slice can be one micro-batch;
+    returns the number of files of a slice."""
+    files = rows.sparkSession.sparkContext.defaultParallelism
+    for part in slices:
+        rows.filter(part).repartition(files).write.mode("append").parquet(root)
+    written = len(rows.sparkSession.read.parquet(root).inputFiles())
+    return max(1, written // len(slices))
+
+
 # Events arrive in three batches by time; some of the first come again with a fourth, long behind
 # the watermark, and are dropped. Every window is updated by the batch that it lies in.
 FIRST, SECOND = "2024-01-10", "2024-01-20"
 
 
-def _late_events(spark, folder):
-    """The events as files in the order of their arrival, and a stream of one batch after another."""
-    root, files = work_folder(spark, "arrivals"), spark.sparkContext.defaultParallelism
-    events = feeds.events(spark, folder)
-    late = (F.col("ts") < F.lit(FIRST)) & (F.col("event_id") % 20 == 0)
-    for batch in ((F.col("ts") < F.lit(FIRST)) & ~late,
-                  (F.col("ts") >= F.lit(FIRST)) & (F.col("ts") < F.lit(SECOND)), F.col("ts") >= F.lit(SECOND), late):
-        events.filter(batch).repartition(files).write.mode("append").parquet(root)
-    written = len(spark.read.parquet(root).inputFiles())
-    return streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, max(1, written // 4))
+def _by_time():
+    return (F.col("ts") < F.lit(FIRST), (F.col("ts") >= F.lit(FIRST)) & (F.col("ts") < F.lit(SECOND)),
+            F.col("ts") >= F.lit(SECOND))
 
 
+# Also how many were dropped: rows that came, by the lasting table of totals, less those in a window.
 @query("stream_late_rows", f"""WITH {o.KLINES.replace("klines AS", "all_klines AS", 1)}, klines AS (
   SELECT * FROM all_klines WHERE NOT (ts < TIMESTAMP '{FIRST}' AND event_id % 20 = 0)),
 {o.live_price()}, {o.LIVE_PRICE_VIEW}
-SELECT rowkey, window_end, current_price, min_price, max_price, ticks FROM live_rows""")
+SELECT rowkey, window_end, current_price, min_price, max_price, ticks,
+  (SELECT count(*) FROM all_klines WHERE ts < TIMESTAMP '{FIRST}' AND event_id % 20 = 0) AS dropped FROM live_rows""")
 def stream_late_rows(spark, folder):
-    view = _live(spark, feeds.kline_messages(_late_events(spark, folder)), PRICE_ROWS).read()
-    return view.select("rowkey", "window_end", "current_price", "min_price", "max_price", "ticks")
+    root, events = work_folder(spark, "arrivals"), feeds.events(spark, folder)
+    first, second, third = _by_time()
+    late = first & (F.col("event_id") % 20 == 0)
+    files = _arrive(events, root, first & ~late, second, third, late)
+    stream = streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, files)
+    view, progress = _counted(spark, stream, work_folder(spark, "totals"))
+    arrived = progress.totals().select(F.col("observed.ticks").alias("_arrived"))
+    shown = view.agg(F.sum("ticks").alias("_shown"))
+    dropped = arrived.crossJoin(shown).select((F.col("_arrived") - F.col("_shown")).alias("dropped"))  # one row
+    return view.select("rowkey", "window_end", "current_price", "min_price", "max_price", "ticks").crossJoin(dropped)
+
+
+def _counted(spark, events, totals):
+    """The live price view of a stream, and the table of what its micro-batches did."""
+    progress = monitor.ProgressTable(spark, totals)
+    spark.streams.addListener(progress)
+    try:
+        raw = monitor.observed(feeds.kline_messages(events), ticks=F.count(F.lit(1)))
+        options = jobs.StreamOptions(work_folder(spark, "checkpoint-counted"), trigger=None, name="counted-prices")
+        running, view = jobs.start_live_windows(raw, PRICE_ROWS, work_folder(spark, "live-counted"), options)
+        monitor.drain(running)
+        progress.wait_for(running)
+    finally:
+        spark.streams.removeListener(progress)
+    return view.read(), progress
+
+
+# Every slice but the first begins with the last hours of the one before, as a backfill does.
+@query("stream_drop_repeated", f"WITH {o.KLINES} SELECT event_id, symbol, snapshot_time, close FROM klines")
+def stream_drop_repeated(spark, folder):
+    root, path = work_folder(spark, "backfill"), work_folder(spark, "stream-distinct")
+    starts = ["2024-01-01", FIRST, "2024-01-15", SECOND, "2024-01-25", "2025-01-01"]
+    slices = [(F.col("ts") >= F.lit(begin).cast("timestamp") - F.expr("INTERVAL 6 HOURS")) & (F.col("ts") < F.lit(end))
+              for begin, end in zip(starts, starts[1:])]
+    files = _arrive(feeds.events(spark, folder), root, *slices)
+    captured = feeds.klines(streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, files))
+    distinct = drop_repeated_within(captured, "12 hours")
+    monitor.drain(jobs.start_parquet(distinct, path, _options(spark, "distinct")))
+    return spark.read.parquet(path).select("event_id", "symbol", "snapshot_time", "close")
+
+
+# A backlog taken in micro-batches of bounded bytes: a slice of files each, whatever their number.
+@query("stream_admission", f"""WITH {o.KLINES}, {o.live_price()}, {o.LIVE_PRICE_VIEW}
+SELECT identifier, sum(ticks)::BIGINT AS ticks, true AS bounded FROM live_rows GROUP BY 1""")
+def stream_admission(spark, folder):
+    root = work_folder(spark, "backlog")
+    files = _arrive(feeds.events(spark, folder), root, *_by_time())
+    sizes = [r[0] for r in spark.read.format("binaryFile").load(root).select("length").collect()]  # a row a file
+    limit = max(max(sizes), sum(sizes) // 4)
+    stream = streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, max_bytes=limit)
+    running, view = jobs.start_live_windows(feeds.kline_messages(stream), PRICE_ROWS, work_folder(spark, "admitted"),
+                                            _options(spark, "admitted"))
+    monitor.drain(running)
+    taken = sum(p["numInputRows"] > 0 for p in running.recentProgress)
+    bounded = -(-sum(sizes) // limit) <= taken <= len(sizes) and files >= 1
+    return view.read().groupBy("identifier").agg(F.sum("ticks").alias("ticks")).withColumn("bounded", F.lit(bounded))
+
+
+# The three queries of the live job, side by side on the same session.
+@query("live_job", f"""WITH {o.KLINES}, {o.live_price()}, {o.BOOKS},
+{o.LIVE_BOOK}, {o.LIVE_TRADES}
+SELECT 'BIN' AS row_type, symbol AS identifier, count(*) AS windows, sum(ticks)::BIGINT AS messages
+FROM live_price GROUP BY ALL
+UNION ALL SELECT 'PB', market_id, count(*), sum(num_updates)::BIGINT FROM live_book GROUP BY ALL
+UNION ALL SELECT 'PT', market_id, count(*), sum(num_trades)::BIGINT FROM live_trades GROUP BY ALL""")
+def live_job(spark, folder):
+    started = live.start_all(
+        feeds.kline_messages(_events(spark, folder)), feeds.market_messages(_events(spark, folder)),
+        work_folder(spark, "live-job"), work_folder(spark, "live-job-checkpoints"), trigger=None)
+    monitor.drain(*[running for running, _ in started.values()])
+    counted = {PRICE_ROWS: "ticks", BOOK_ROWS: "num_updates", TRADE_ROWS: "num_trades"}
+    parts = [started[kind][1].read().groupBy("identifier").agg(
+        F.count(F.lit(1)).alias("windows"), F.sum(column).alias("messages"))
+        .select(F.lit(kind).alias("row_type"), "identifier", "windows", "messages") for kind, column in counted.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # Append mode writes a window once the watermark (newest event less two minutes) passed its end.
@@ -202,9 +279,17 @@ def stream_to_parquet(spark, folder):
                                            "min_price", "max_price", "ticks")
 
 
+# Slices by time in several micro-batches; the query stops in between and goes on from its checkpoint.
 @query("stream_sample_snapshots", ORACLES["sample_snapshots"])
 def stream_sample_snapshots(spark, folder):
-    captured = feeds.klines(_events(spark, folder))
-    thinned = ThinnedSnapshots(spark, work_folder(spark, "thinned"), THIN_SECONDS, chunk="1 day")
-    monitor.drain(thinned.start(captured, work_folder(spark, "checkpoint-thinned")))
-    return thinned.read(captured.schema).select("event_id", "symbol", "snapshot_time", "is_closed")
+    root, path, checkpoint = (work_folder(spark, name) for name in ("captured", "thinned", "checkpoint-thinned"))
+    events = feeds.events(spark, folder)
+    first, second, third = _by_time()
+    for slices in ((first, second), (third,)):
+        files = _arrive(events, root, *slices)
+        captured = feeds.klines(streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, files))
+        with thinning.keyed_state(spark):
+            running = jobs.start_parquet(thinning.thinned(captured, THIN_SECONDS, tie="event_id"), path,
+                                         jobs.StreamOptions(checkpoint, trigger=None))
+        monitor.drain(running)
+    return spark.read.parquet(path).select("event_id", "symbol", "snapshot_time", "is_closed")

@@ -12,7 +12,8 @@ from oddsline.plans import live as live_job
 from oddsline.sources import feeds, messages, streams
 from oddsline.streaming import jobs, monitor
 from oddsline.streaming.live_view import LiveView
-from oddsline.streaming.thinning import ThinnedSnapshots
+from oddsline.streaming import thinning
+from oddsline.streaming.dedup import drop_repeated_within
 from oddsline.schemas import DOUBLE, LONG, STRING, struct
 from tests.test_windows import KLINE, kept_by_rule, random_rows
 
@@ -314,26 +315,103 @@ def test_console_sink_runs(spark, tmp_path, capfd):
     monitor.drain(jobs.start_console(rows, options(tmp_path)))
 
 
-def test_thinned_stream_follows_the_rule(spark, tmp_path):
-    rows = random_rows(21, 500, 400, 0.05)
-    folder = tmp_path / "in"
-    for i in range(4):
-        part = [json.dumps(dict(zip(("event_id", "symbol", "snapshot_time", "is_closed", "close"), r)))
-                for r in rows[i * 125:(i + 1) * 125]]
-        write_file(folder, i, part)
-    stream = streams.text_stream(spark, str(folder), max_files=1).select(
+def kline_lines(rows):
+    return [json.dumps(dict(zip(("event_id", "symbol", "snapshot_time", "is_closed", "close"), r))) for r in rows]
+
+
+def thinning_stream(spark, tmp_path, delay="1 hour"):
+    stream = streams.text_stream(spark, str(tmp_path / "in"), max_files=1).select(
         F.from_json("value", KLINE).alias("k")).select("k.*")
-    thinned = ThinnedSnapshots(spark, str(tmp_path / "out"), 1.0, "10 seconds")
-    monitor.drain(thinned.start(stream, str(tmp_path / "c")))
-    kept = thinned.read(stream.schema).collect()
+    with thinning.keyed_state(spark):
+        return jobs.start_parquet(thinning.thinned(stream, 1.0, delay, tie="event_id"), str(tmp_path / "out"),
+                                  options(tmp_path, "c"))
+
+
+def test_thinned_stream_follows_the_rule_over_a_restart(spark, tmp_path):
+    rows = random_rows(21, 500, 400, 0.05)
     expected, last = [], {}
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     for i in range(4):
+        write_file(tmp_path / "in", i, kline_lines(rows[i * 125:(i + 1) * 125]))
         ids, last = kept_by_rule(rows[i * 125:(i + 1) * 125], 1000, last)
         expected += ids
-    by_id = {r[0]: r for r in rows}
-    # snapshots of one millisecond are interchangeable to the rule
-    key = [(by_id[i][1], by_id[i][2], by_id[i][3]) for i in expected]
-    assert sorted((r.symbol, r.snapshot_time, r.is_closed) for r in kept) == sorted(key)
+        if i != 2:  # two runs take one micro-batch, the last takes two
+            monitor.drain(thinning_stream(spark, tmp_path))
+    kept = spark.read.parquet(str(tmp_path / "out"))
+    assert kept.columns == ["event_id", "symbol", "snapshot_time", "is_closed", "close"]
+    assert sorted(r.event_id for r in kept.collect()) == sorted(expected)
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+    assert not (tmp_path / "out" / "state").exists()  # the state is the checkpoint's
+
+
+def test_thinned_stream_forgets_idle_symbols(spark, tmp_path):
+    base = 1_700_000_000_000
+    part = [[(1, "A", base, False, 1.0), (2, "B", base, False, 1.0), (3, "B", base + 10, False, 1.0)],
+            [(4, "B", base + 60_000, False, 1.0), (5, None, base + 60_000, False, 1.0)],
+            [(6, "B", base + 60_100, False, 1.0), (7, "C", base + 120_000, False, 1.0), (8, "C", None, True, 1.0)],
+            [(9, "A", base + 1, True, 1.0), (10, "A", base + 120_000, False, 1.0), (11, None, base + 121_000, False, 1.0)]]
+    for i, rows in enumerate(part):
+        write_file(tmp_path / "in", i, kline_lines(rows))
+    query = thinning_stream(spark, tmp_path, "10 seconds")
+    monitor.drain(query)
+    kept = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(r.event_id for r in kept) == [1, 2, 4, 5, 7, 10, 11]  # 9 is late, 8 has no time
+    state = [sum(op["numRowsTotal"] for op in p["stateOperators"]) for p in query.recentProgress]
+    assert state[-1] <= max(state) and state[-1] < 2 * 4
+
+
+def test_repeated_snapshots_on_a_stream(spark, tmp_path):
+    base, expected = 1_700_000_000_000, []
+    schema = "symbol string, timestamp bigint, snapshot_time bigint, close double"
+    for i in range(6):  # ten minutes each, beginning with the last two of the one before
+        rows = [(s, (base + m * 60_000) * 1_000_000, base + m * 60_000, float(i))
+                for m in range(max(0, 10 * i - 2), 10 * i + 10) for s in ("A", "B", None)]
+        expected += [(s, t, c) for s, _, t, c in rows if t >= base + 600_000 * i]
+        lines = [json.dumps(dict(zip(("symbol", "timestamp", "snapshot_time", "close"), r))) for r in rows + rows[:5]]
+        write_file(tmp_path / "in", i, lines)
+    stream = streams.text_stream(spark, str(tmp_path / "in"), max_files=1).select(
+        F.from_json("value", schema).alias("k")).select("k.*")
+    query = jobs.start_parquet(drop_repeated_within(stream, "5 minutes"), str(tmp_path / "out"), options(tmp_path))
+    monitor.drain(query)
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.columns == ["symbol", "timestamp", "snapshot_time", "close"]
+    assert sorted(((r.symbol, r.snapshot_time, r.close) for r in got.collect()), key=str) == sorted(expected, key=str)
+    state = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert len(state) >= 6 and max(state) <= 3 * 25 < len(expected)  # bounded by the delay, not by what has come
+
+
+def test_totals_outlive_a_restart(spark, tmp_path):
+    progress = monitor.ProgressTable(spark, str(tmp_path / "totals"))
+    spark.streams.addListener(progress)
+    try:
+        for number, files in enumerate([[[tick(10)], [tick(600)], [tick(605)]], [[tick(55), tick(56), tick(570)]]]):
+            for i, lines in enumerate(files):
+                write_file(tmp_path / "in", number * 10 + i, lines)
+            raw = monitor.observed(streams.text_stream(spark, str(tmp_path / "in"), max_files=1), lines=F.count("*"))
+            query, view = jobs.start_live_windows(raw, PRICE_ROWS, str(tmp_path / "view"), jobs.StreamOptions(
+                str(tmp_path / "c"), trigger=None, name="prices"))
+            monitor.drain(query)
+            progress.wait_for(query)
+    finally:
+        spark.streams.removeListener(progress)
+    total = monitor.ProgressTable(spark, str(tmp_path / "totals")).totals().first()
+    assert total["query"] == "prices" and total.input_rows == 6 and total.observed == {"lines": 6}
+    assert total.observed["lines"] - sum(r.ticks for r in view.read().collect()) == 2  # both lines of the late window
+    assert total.dropped_by_state >= 1
+
+
+def test_bounded_micro_batches(spark, tmp_path):
+    for i in range(6):
+        write_file(tmp_path / "in", i, [tick(i)] * 20)
+    size = os.path.getsize(tmp_path / "in" / os.listdir(tmp_path / "in")[0])
+    for limit, batches in ((2 * size + size // 2, range(2, 4)), (1, range(6, 7)), (100 * size, range(1, 2))):
+        stream = streams.text_stream(spark, str(tmp_path / "in"), max_bytes=limit)
+        query, _ = jobs.start_live_windows(stream, PRICE_ROWS, str(tmp_path / f"v{limit}"), options(tmp_path, f"c{limit}"))
+        monitor.drain(query)
+        taken = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        assert sum(taken) == 120 and len(taken) in batches
+    with pytest.raises(ValueError):
+        streams.text_stream(spark, str(tmp_path / "in"), max_files=1, max_bytes=1)
 
 
 def test_streams_and_tables_share_operators(spark):
