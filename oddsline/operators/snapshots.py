@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from typing import Any
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from oddsline.config import Settings
 from oddsline.functions.times import epoch_to_timestamp, floor_time, interval_seconds
+from oddsline.session import written
 
 #: Before every time.
 FAR_PAST = -(2 ** 62)
@@ -63,9 +65,14 @@ def newest_per_candle(klines: DataFrame, candle: str = "1 minute",
 #   1. each chunk reports, as a step function, the last kept time at its end for any
 #      last kept time at its start (usually one step: a closed candle or a pause of
 #      one interval makes the outcome independent of the start);
-#   2. chaining those few steps per symbol gives each chunk its start value;
+#   2. the functions of neighbouring chunks are composed to one, a bounded number at a time,
+#      level by level, up to one function for a symbol's whole history; on the way back
+#      each group hands its start value on to its members, down to the chunks;
 #   3. each chunk then picks its rows on its own.
-# No task ever holds more than one chunk of raw rows.
+# No task ever holds more than one chunk of raw rows, or more than FAN_OUT functions of a symbol.
+
+#: Neighbouring functions that one task composes.
+FAN_OUT = 128
 
 def _next_kept(times: np.ndarray, closed: np.ndarray, interval: int) -> np.ndarray:
     """For each row, the row kept after it (len(times) = none) if it is kept itself."""
@@ -134,8 +141,7 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
     ``previous`` (symbol, last_kept) continues from the last kept times of earlier data.
 
     Exact for any input.  ``chunk`` only balances task size against the number of
-    chunks: one chunk of the busiest symbol has to fit into a task, one short summary per
-    chunk of a symbol into another.  ``tie`` orders snapshots of the same millisecond (default: a row hash).
+    chunks: one chunk of the busiest symbol has to fit into a task.  ``tie`` orders snapshots of the same millisecond (default: a row hash).
     Snapshots without a capture time cannot be placed and are left out.
     """
     interval = int(round(seconds * 1000))
@@ -158,19 +164,6 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
             "exits": pa.array([exits], pa.list_(pa.int64())),
             "has_close": pa.array([bool(closed.any())])})
 
-    def chain(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        before = pdf["last_kept"].iloc[0]
-        last, starts = FAR_PAST if pd.isna(before) else int(before), []
-        for steps, exits, has_close in zip(pdf["step_times"], pdf["exits"], pdf["has_close"]):
-            starts.append(last)
-            at = int(np.searchsorted(np.asarray(steps), last + interval, side="left"))
-            if at < len(exits):
-                last = int(exits[at])
-            elif has_close:  # the first close is kept whatever came before
-                last = int(exits[-1])
-        return pd.DataFrame({"symbol": key[0], "_chunk": pdf["_chunk"], "_start": starts})
-
     def pick(rows: pa.Table) -> pa.Table:
         order, times, closed = _sorted_chunk(rows)
         kept = kept_after(times, closed, rows.column("_start")[0].as_py(), interval)
@@ -178,14 +171,89 @@ def thin_snapshots(klines: DataFrame, seconds: float = Settings.snapshot_seconds
 
     summaries = (keyed.select("symbol", "_chunk", "_t", "_tie", "_closed")
                  .groupBy("symbol", "_chunk")
-                 .applyInArrow(summarize, "symbol string, _chunk bigint, step_times array<bigint>, "
-                                          "exits array<bigint>, has_close boolean"))
+                 .applyInArrow(summarize, f"symbol string, _chunk bigint, {_FUNCTION}"))
+    starts = start_values(summaries, length, interval, previous).withColumnsRenamed(
+        {"symbol": "_symbol", "_chunk": "_of"})
+    started = keyed.join(starts, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_chunk") == F.col("_of")))
+    return started.drop("_symbol", "_of").groupBy("symbol", "_chunk").applyInArrow(pick, klines.schema)
+
+
+_FUNCTION = "step_times array<bigint>, exits array<bigint>, has_close boolean"
+Steps = tuple[list[int], list[int], bool]
+
+
+def exit_of(function: Steps, last: int, interval: int) -> int:
+    """The last kept time after a stretch of history, from the one before it."""
+    times, exits, has_close = function
+    at = bisect.bisect_left(times, last + interval)
+    if at < len(exits):
+        return exits[at]
+    return exits[-1] if has_close else last  # the first close is kept whatever came before
+
+
+def composed(first: Steps, second: Steps, interval: int) -> Steps:
+    """The function of two stretches, one after the other; equal neighbouring steps are one."""
+    times, exits, has_close = first
+    pairs = [(t, exit_of(second, e, interval)) for t, e in zip(times, exits)]
+    if not has_close:  # a start too late for all steps of the first meets those of the second
+        pairs += list(zip(second[0], second[1]))
+    kept = [p for p, following in zip(pairs, [*pairs[1:], (None, None)]) if p[1] != following[1]]
+    return [t for t, _ in kept], [e for _, e in kept], has_close or second[2]
+
+
+def start_values(summaries: DataFrame, length: int, interval: int, previous: DataFrame | None) -> DataFrame:
+    """(symbol, _chunk, _start): the last kept time before each chunk, by a tree of composed functions.
+
+    A level joins up to FAN_OUT neighbours in time; there are as many as it takes to span all
+    chunks. Each is written, as the way back reads it again.
+    """
+    levels = [written(summaries, "thinning")]
+    first, last = levels[0].agg(F.min("_chunk"), F.max("_chunk")).first()
+    span = length
+    while first is not None and first // span != last // span:
+        span *= FAN_OUT
+        levels.append(written(_joined(levels[-1], span, interval), "thinning"))
+    schema = "symbol string, _chunk bigint, _start bigint"
+    top = levels.pop()
     if previous is None:
-        summaries = summaries.withColumn("last_kept", F.lit(None).cast("bigint"))
+        starts = top.select("symbol", "_chunk", F.lit(FAR_PAST).alias("_start"))
     else:
         before = previous.select(F.col("symbol").alias("_symbol"), "last_kept")
-        summaries = summaries.join(before, F.col("symbol").eqNullSafe(F.col("_symbol")), "left").drop("_symbol")
-    starts = summaries.groupBy("symbol").applyInPandas(
-        chain, "symbol string, _chunk bigint, _start bigint").withColumnsRenamed({"symbol": "_symbol", "_chunk": "_of"})
-    started = keyed.join(starts, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_chunk") == F.col("_of")))
-    return started.drop("_symbol", "_of").groupBy("symbol", "_chunk").applyInArrow(pick, klines.schema)
+        starts = (top.join(before, F.col("symbol").eqNullSafe(F.col("_symbol")), "left")
+                  .select("symbol", "_chunk", F.coalesce("last_kept", F.lit(FAR_PAST)).alias("_start")))
+    for functions in reversed(levels):
+        group = F.col("_chunk") - F.pmod("_chunk", F.lit(span))
+        begun = starts.select(F.col("symbol").alias("_symbol"), F.col("_chunk").alias("_group"), "_start")
+        members = (functions.withColumn("_of", group)
+                   .join(begun, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("_of") == F.col("_group"))))
+
+        def handed_on(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf, values = pdf.sort_values("_chunk"), []
+            last = int(pdf["_start"].iloc[0])
+            for function in _functions(pdf):
+                values.append(last)
+                last = exit_of(function, last, interval)
+            return pd.DataFrame({"symbol": key[0], "_chunk": pdf["_chunk"], "_start": values})
+
+        starts = members.select("symbol", "_of", "_chunk", "_start", "step_times", "exits", "has_close").groupBy(
+            "symbol", "_of").applyInPandas(handed_on, schema)
+        span //= FAN_OUT
+    return starts
+
+
+def _functions(pdf: pd.DataFrame) -> list[Steps]:
+    return [(list(t), list(e), bool(c)) for t, e, c in zip(pdf["step_times"], pdf["exits"], pdf["has_close"])]
+
+
+def _joined(functions: DataFrame, span: int, interval: int) -> DataFrame:
+    """One function for all neighbours within ``span`` milliseconds."""
+    def join(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for function in _functions(pdf.sort_values("_chunk")):
+            whole = function if whole is None else composed(whole, function, interval)
+        return pd.DataFrame({"symbol": [key[0]], "_chunk": [key[1]], "step_times": [whole[0]], "exits": [whole[1]],
+                             "has_close": [whole[2]]})
+
+    group = F.col("_chunk") - F.pmod("_chunk", F.lit(span))
+    return (functions.withColumn("_group", group).groupBy("symbol", "_group")
+            .applyInPandas(join, f"symbol string, _chunk bigint, {_FUNCTION}"))

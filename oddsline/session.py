@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 #: For a session that runs batch jobs.  Adaptive execution merges partitions by their measured
@@ -58,3 +58,10 @@ def work_folder(spark: SparkSession, name: str) -> str:
     root = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
             or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read again: computed once, also if executors are lost."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,6 +3,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -139,6 +140,44 @@ def random_rows(seed, n, step, close_share):
     return rows
 
 
+def test_functions_compose():
+    rng = random.Random(4)
+    for _ in range(400):
+        interval, functions, time = rng.choice([5, 50, 400]), [], 1000
+        for _ in range(3):
+            n = rng.randrange(1, 12)
+            times = np.array(sorted(time + rng.randrange(100) for _ in range(n)))
+            closed = np.array([rng.random() < 0.1 for _ in range(n)])
+            ends, exits = snapshots._chunk_steps(times, closed, interval)
+            functions.append((times[ends].tolist(), exits, bool(closed.any())))
+            time += 100
+        a, b, c = functions
+        left = snapshots.composed(snapshots.composed(a, b, interval), c, interval)
+        right = snapshots.composed(a, snapshots.composed(b, c, interval), interval)
+        for last in range(1000 - 2 * interval, 1000, 7):
+            want = last
+            for function in functions:
+                want = snapshots.exit_of(function, want, interval)
+            assert snapshots.exit_of(left, last, interval) == snapshots.exit_of(right, last, interval) == want
+
+
+@pytest.mark.parametrize("seed,close_share", [(1, 0.0), (3, 0.05)])
+def test_no_task_holds_a_symbols_history(spark, monkeypatch, seed, close_share):
+    rows = random_rows(seed, 400, 400, close_share)
+    largest = []
+    monkeypatch.setattr(snapshots, "FAN_OUT", 4)
+    original = snapshots._joined
+
+    def watched(functions, span, interval):
+        largest.append(functions.groupBy("symbol", F.floor(F.col("_chunk") / span)).count().agg(F.max("count")).first()[0])
+        return original(functions, span, interval)
+
+    monkeypatch.setattr(snapshots, "_joined", watched)
+    thinned = snapshots.thin_snapshots(spark.createDataFrame(rows, KLINE), 1.0, "1 second", tie="event_id")
+    assert sorted(r.event_id for r in thinned.collect()) == kept_by_rule(rows, 1000)[0]
+    assert len(largest) >= 4 and 1 < max(largest) <= 4  # some levels, each of few functions
+
+
 @pytest.mark.parametrize("seed,close_share,chunk", [
     (1, 0.0, "10 seconds"), (2, 0.0, "1 minute"), (3, 0.05, "10 seconds"), (4, 0.5, "2 seconds"),
     (5, 0.01, "1 hour"), (6, 0.0, "1 second")])
