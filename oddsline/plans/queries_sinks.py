@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from oddsline import schemas
 from oddsline.functions import rowkeys
 from oddsline.operators import views
 from oddsline.plans import batch, oracle_feeds as o
@@ -16,7 +17,7 @@ from oddsline.plans.queries_windows import token_verdicts, verdicts
 from oddsline.plans.registry import query, rounded
 from oddsline.session import work_folder
 from oddsline.sinks import tables as sinks
-from oddsline.sources import feeds, metadata, tables
+from oddsline.sources import feeds, footers, metadata, tables
 
 
 _TABLES: dict[tuple[str, str], str] = {}
@@ -75,6 +76,41 @@ def expired_partitions(spark, folder):
     return sinks.expired_partitions(listed, dt.date(2024, 2, 10))
 
 
+# Answers from the footers of the stored files.
+def _stored_paths(spark, folder):
+    events = feeds.events(spark, folder)
+    paths = work_folder(spark, "footer-klines"), work_folder(spark, "footer-events")
+    klines = feeds.klines(events).withColumn("timestamp", F.col("snapshot_time"))
+    sinks.write_cleansed(sinks.cleanse_klines(klines.drop("date")), paths[0], sort=("symbol",))
+    sinks.write_cleansed(sinks.cleanse_market_events(feeds.stored_market_events(events)), paths[1], sort=("market",))
+    return paths
+
+
+@query("stored_bounds", f"""WITH {o.KLINES}
+SELECT date, count(*) AS rows, min(snapshot_time) AS min_snapshot_time, max(snapshot_time) AS max_snapshot_time,
+  min(close) AS min_close, max(close) AS max_close, min(trades) AS min_trades, max(trades) AS max_trades
+FROM klines WHERE date BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY date""")
+def stored_bounds(spark, folder):
+    path, _ = _stored_paths(spark, folder)
+    return footers.stored_bounds(spark, path, schemas.CLEANSED_KLINES, "snapshot_time", "close", "trades",
+                                 date="2024-01-05", until="2024-01-25")
+
+
+@query("stored_coverage", f"""WITH {o.KLINES}, {o.MARKETS}
+SELECT 'klines' AS table_name, min(date) AS first_date, max(date) AS last_date, count(DISTINCT date) AS dates,
+  count(*) AS rows FROM klines
+UNION ALL SELECT 'events', min(date), max(date), count(DISTINCT date), count(*) FROM markets""")
+def stored_coverage(spark, folder):
+    klines, events = _stored_paths(spark, folder)
+    return footers.stored_coverage(spark, klines=(klines, schemas.CLEANSED_KLINES),
+                                   events=(events, schemas.CLEANSED_EVENTS))
+
+
+@query("stored_rows", "SELECT count(*) AS rows FROM events")
+def stored_rows(spark, folder):
+    return footers.stored_rows(spark, _stored_paths(spark, folder)[0])
+
+
 RESULT_COLUMNS = ("window_start", "crypto", "symbol", "window_open", "window_high", "window_low", "window_close",
                   "avg_volume", "avg_probability", "max_probability", "bet_activity_count", "price_movement",
                   "actual_direction", "predicted_direction", "prediction_result")

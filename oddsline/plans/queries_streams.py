@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS
+from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS, Settings
 from oddsline.operators import windows
 from oddsline.plans import live, oracle_feeds as o
 from oddsline.plans.queries_sinks import RESULT_COLUMNS, RESULT_SQL
@@ -240,8 +240,9 @@ def stream_admission(spark, folder):
     sizes = [r[0] for r in spark.read.format("binaryFile").load(root).select("length").collect()]  # a row a file
     limit = max(max(sizes), sum(sizes) // 4)
     stream = streams.table_stream(spark, root, feeds.EVENTS_SCHEMA, max_bytes=limit)
+    # Bytes cut the files of a slice, whose rows span its whole time: none of them counts as late.
     running, view = jobs.start_live_windows(feeds.kline_messages(stream), PRICE_ROWS, work_folder(spark, "admitted"),
-                                            _options(spark, "admitted"))
+                                            _options(spark, "admitted"), Settings(watermark="60 days"))
     monitor.drain(running)
     taken = sum(p["numInputRows"] > 0 for p in running.recentProgress)
     bounded = -(-sum(sizes) // limit) <= taken <= len(sizes) and files >= 1

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from oddsline import schemas
 from oddsline.sinks import tables as sinks
-from oddsline.sources import feeds, messages, metadata, tables
+from oddsline.sources import feeds, footers, messages, metadata, tables
 
 
 def plan(df) -> str:
@@ -169,3 +169,27 @@ def test_escaped_types_are_found_without_full_parsing(spark):
     assert [r.trade_size for r in messages.trades_of(df).collect()] == [2.0] * 3
     text = plan(messages.trades_of(df))
     assert "bids" not in text and "asks" not in text
+
+
+def test_answers_from_footers_read_no_column(spark, tmp_path):
+    path, settings = str(tmp_path / "k"), dict(spark.conf.getAll)
+    klines = feeds.klines(feeds.events(spark, "/root/testdata/sf0.001")).drop("event_id")
+    klines.write.partitionBy("date").parquet(path)
+    bounds = footers.stored_bounds(spark, path, schemas.KLINES, "snapshot_time", "close", date="2024-01-05",
+                                   until="2024-01-08")
+    plan = lambda df: df._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    text = plan(bounds)
+    assert "PushedAggregation: [COUNT(*), MIN(snapshot_time), MAX(snapshot_time), MIN(close), MAX(close)]" in text
+    assert "PushedGroupBy: [date]" in text and "PartitionFilters: [isnotnull(date" in text
+    want = (klines.filter("date BETWEEN '2024-01-05' AND '2024-01-08'").groupBy("date")
+            .agg(F.count("*"), F.min("snapshot_time"), F.max("snapshot_time"), F.min("close"), F.max("close")))
+    assert sorted(map(tuple, bounds.collect())) == sorted(map(tuple, want.collect()))
+    rows = footers.stored_rows(spark, path)
+    assert "PushedAggregation: [COUNT(*)]" in plan(rows) and rows.first().rows == klines.count()
+    cover = footers.stored_coverage(spark, a=(path, schemas.KLINES)).first()
+    assert cover.table_name == "a" and cover.rows == klines.count()
+    assert "PushedGroupBy: [date]" in plan(footers.stored_coverage(spark, a=(path, schemas.KLINES)))
+    assert dict(spark.conf.getAll) == settings
+    with pytest.raises(ValueError, match="symbol"):
+        footers.stored_bounds(spark, path, schemas.KLINES, "symbol")
