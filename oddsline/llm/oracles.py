@@ -1,6 +1,8 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 _INSULTS = "'clown','disgusting','idiot','idiots','loser','losers','moron','morons','pathetic','scum','stupid','trash','worthless'"
+_UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{9FFF}\x{F900}-\x{FAFF}]"
+_EDGES = "'.,;:!?\"()*#$%&|<>\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00bf\u00a1' || chr(39)"
 _WS = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 QUALITY_SQL = rf"""
@@ -16,25 +18,45 @@ c AS (SELECT doc_id, max(twice::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS
 r AS (SELECT doc_id, sum(hit) AS n_repeat FROM c GROUP BY 1),
 e AS (SELECT doc_id, count(*) FILTER (word = prev) AS n_echoes,
              count(*) FILTER (regexp_matches(word, '^[^a-z]*[A-Z][^a-z]*$') AND word = upper(word)) AS n_shouted,
-             count(*) FILTER (word LIKE '%!!') AS n_marked, max(strlen(word)) AS longest,
+             count(*) FILTER (word LIKE '%!!') AS n_marked,
+             sum(length(regexp_replace(word, '{_UNSPACED}', '', 'g'))) FILTER (
+                 length(regexp_replace(word, '{_UNSPACED}', '', 'g')) > 1000) AS n_endless,
              count(*) FILTER (trim(lower(word), '.,;:!?"''()*#$%&|<>') IN ({_INSULTS})) AS n_insults
       FROM g GROUP BY 1),
 l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup FROM
         (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
       WHERE trim(line, {_WS}) <> '' GROUP BY 1),
+lab AS (SELECT doc_id, max(toxic) = 1 AS toxic FROM labels
+        WHERE doc_id IS NOT NULL AND toxic IS NOT NULL GROUP BY 1),
+fw AS (SELECT doc_id, lang, pos, trim(word, {_EDGES}) AS word FROM
+         (SELECT doc_id, lang, unnest(words) AS word, unnest(range(len(words))) AS pos FROM
+            (SELECT doc_id, lang, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS words FROM documents))),
+lw AS (SELECT DISTINCT doc_id, lang, toxic, word FROM fw JOIN lab USING (doc_id) WHERE word <> ''),
+tot AS (SELECT lang, count(*) FILTER (toxic) AS toxics, count(*) FILTER (NOT toxic) AS cleans
+        FROM documents JOIN lab USING (doc_id) GROUP BY 1),
+lex AS (SELECT k.lang, k.word FROM
+          (SELECT lang, word, count(*) FILTER (toxic) AS a, count(*) FILTER (NOT toxic) AS b FROM lw GROUP BY 1, 2) k
+        JOIN tot ON k.lang IS NOT DISTINCT FROM tot.lang
+        WHERE a >= 3 AND a >= 0.01::DOUBLE * toxics AND a * (cleans + 1) >= 20 * (b + 0.5::DOUBLE) * toxics),
+y AS (SELECT doc_id, pos, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) < 50 AS close FROM fw
+      WHERE word IN (SELECT word FROM lex WHERE fw.lang IS NULL OR lex.lang = fw.lang)),
+x AS (SELECT doc_id, count(*) AS n_toxic, count(*) FILTER (close) AS n_close FROM y GROUP BY 1),
 m AS (SELECT w.doc_id, len(words) AS n_words,
              length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
              length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
              coalesce(n_dup, 0) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
              coalesce(n_lines, 0) AS n_lines, coalesce(n_shouted, 0) AS n_shouted, coalesce(n_marked, 0) AS n_marked,
-             coalesce(n_insults, 0) AS n_insults, coalesce(longest, 0) AS longest, coalesce(n_echoes, 0) AS n_echoes
-      FROM w LEFT JOIN r USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN l USING (doc_id)),
+             coalesce(n_insults, 0) AS n_insults, coalesce(n_endless, 0) AS n_endless,
+             length(text) - length(regexp_replace(text, '{_UNSPACED}', '', 'g')) AS n_unspaced,
+             coalesce(n_echoes, 0) AS n_echoes, coalesce(n_toxic, 0) AS n_toxic, coalesce(n_close, 0) AS n_close
+      FROM w LEFT JOIN r USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN x USING (doc_id)),
 f AS (SELECT *, (n_words < 10)::BIGINT + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
         + 4 * (10 * n_symbols > n_words)::BIGINT + 8 * (100 * n_dup_lines > 50 * n_lines)::BIGINT
-        + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT
+        + 16 * (word_chars < 2 * n_words OR word_chars - n_unspaced > 15 * n_words)::BIGINT
         + 32 * (100 * n_shouted > 50 * n_words)::BIGINT + 64 * (100 * n_marked > 30 * n_words)::BIGINT
-        + 128 * (n_insults >= 2 AND 400 * n_insults >= n_words)::BIGINT + 256 * (longest > 1000)::BIGINT
-        + 512 * (100 * n_echoes > 25 * n_words)::BIGINT AS failed FROM m)
+        + 128 * (n_insults >= 2 AND 400 * n_insults >= n_words)::BIGINT + 256 * (10 * n_endless > word_chars)::BIGINT
+        + 512 * (100 * n_echoes > 25 * n_words)::BIGINT
+        + 1024 * (n_toxic >= 3 OR n_close >= 1)::BIGINT AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f
 """

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from oddsline.llm.common import join_nulls, row_batches, written
+from oddsline.llm.common import join_nulls, row_batches, unit, written
 
 #: Characters counted as symbols, and words that insult.
 SYMBOLS = "#*$%&|<>"
@@ -27,8 +27,12 @@ INSULTS = frozenset((
 SPACES = b" \t\n\x0b\x0c\r"
 MARKED = re.compile(rb"!!(?=[ \t\n\x0b\x0c\r]|\Z)")
 
+#: Characters of scripts that put no spaces between words.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+#: A word of more code points is endless.
+ENDLESS = 1000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-            "n_lines", "n_shouted", "n_marked", "n_insults", "longest_word", "n_echoes")
+            "n_lines", "n_shouted", "n_marked", "n_insults", "n_unspaced", "n_endless", "n_echoes")
 #: Measured with a lexicon, else 0: its words in the text, and places where two are close.
 LEARNED = ("n_toxic", "n_toxic_close")
 SCHEMA = ", ".join(f"{m} long" for m in MEASURES + LEARNED)
@@ -54,11 +58,11 @@ RULES = (
     Rule("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
     Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
-    Rule("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
+    Rule("word_length", "word_chars < 2 * n_words OR word_chars - n_unspaced > 15 * n_words"),
     Rule("shouting", "100 * n_shouted > 50 * n_words"),
     Rule("exclamation", "100 * n_marked > 30 * n_words"),
     Rule("insults", "n_insults >= 2 AND 400 * n_insults >= n_words"),
-    Rule("endless_word", "longest_word > 1000"),
+    Rule("endless_word", "10 * n_endless > word_chars"),
     Rule("echoes", "100 * n_echoes > 25 * n_words"),
     Rule("toxic_words", "n_toxic >= 3 OR n_toxic_close >= 1"),
 )
@@ -69,8 +73,10 @@ POLICIES = {
     3: tuple(r.name for r in RULES[:10]),
     4: tuple(r.name for r in RULES),
 }
-#: Policy 3 needs no labels; policy 4 adds the rule that reads a lexicon.
-CURRENT, WITH_LEXICON = 3, 4
+#: Policy 4 adds the rule that reads a lexicon; without one, it judges as policy 3.
+CURRENT = 4
+#: Labelled documents that teach a lexicon; of more, those with the smallest hashes of their ids.
+TAUGHT = 200_000
 
 
 def policy_mask(version: int = CURRENT) -> int:
@@ -85,7 +91,7 @@ def measure(text: str | None) -> tuple[int, ...]:
     n = len(words)
     symbols = len(raw) - len(raw.translate(None, SYMBOLS.encode()))
     if not n:
-        return (0, 0, symbols, *[0] * 8)
+        return (0, 0, symbols, *[0] * 9)
     inked = raw.translate(None, SPACES)
     chars = len(inked.decode("utf-8", "surrogatepass"))
     ids, distinct = numbered(words)
@@ -97,9 +103,25 @@ def measure(text: str | None) -> tuple[int, ...]:
     if any(word.encode() in lowered for word in INSULTS):
         insults = sum(word.strip(b".,;:!?\"'()*#$%&|<>").decode("utf-8", "replace") in INSULTS
                       for word in lowered.split())
+    unspaced = len(UNSPACED.findall(text)) if HIGH.search(raw) else 0
     return (n, chars, symbols, len(lines) - len(set(lines)),
             repeated_words(ids, distinct), len(lines),
-            shouted, marked, insults, max(map(len, set(words))), int((ids[1:] == ids[:-1]).sum()))
+            shouted, marked, insults, unspaced, endless(words), int((ids[1:] == ids[:-1]).sum()))
+
+
+#: First bytes of the characters from U+0800 to U+FFFF, among which are the unspaced scripts.
+HIGH = re.compile(rb"[\xe0-\xef]")
+
+
+def endless(words: list[bytes]) -> int:
+    """Code points in endless words, those of unspaced scripts left out."""
+    total = 0
+    for word in words:
+        if len(word) > ENDLESS:
+            text = word.decode("utf-8", "surrogatepass")
+            spaced = len(text) - len(UNSPACED.findall(text))
+            total += spaced * (spaced > ENDLESS)
+    return total
 
 
 def numbered(words: list[bytes]) -> tuple[np.ndarray, int]:
@@ -140,7 +162,8 @@ def repeated_words(ids: np.ndarray, distinct: int, window: int = 5) -> int:
 
 def folded(text: str | None) -> list[str]:
     """The words of a text as the lexicon has them: lower case, without marks at the ends."""
-    return [word.strip(_EDGES) for word in (text or "").lower().split()]
+    words = (text or "").lower().encode("utf-8", "surrogatepass").split()  # at ASCII white space only
+    return [word.decode("utf-8", "surrogatepass").strip(_EDGES) for word in words]
 
 
 def toxic_words(text: str | None, words: frozenset[str]) -> tuple[int, int]:
@@ -156,9 +179,10 @@ def toxic_words(text: str | None, words: frozenset[str]) -> tuple[int, int]:
 
 
 def learned_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
-    """The toxic words of each language, from all labelled rows of ``docs``.
+    """The toxic words of each language, from the labelled rows of ``docs``, at most ``TAUGHT`` documents.
 
-    Collected are only the chosen words; each stands in a hundredth of its language's toxic
+    That bound keeps the labels small enough to be sent to the texts, which stay in place
+    at any size. Collected are only the chosen words; each stands in a hundredth of its language's toxic
     documents, so their number doesn't grow with the corpus. Documents without language
     are taught as one, and rows whose ``toxic`` is null teach nothing.
     """
@@ -169,8 +193,12 @@ def learned_lexicon(docs: DataFrame, labels: DataFrame) -> Lexicon:
     row_batches(docs.sparkSession)
     judged_ = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("_id"))
                .agg((F.max("toxic") == 1).alias("_toxic")))
+    judged_ = written(judged_, "labels")
+    share = TAUGHT / max(1, judged_.count())
+    if share < 1:
+        judged_ = judged_.filter(unit(F.xxhash64("_id")) < share)
     rows = docs.select("doc_id", "text", F.col("lang").alias("_lang")).join(
-        judged_, F.col("doc_id") == F.col("_id")).select("_lang", "_toxic", distinct("text").alias("_words"))
+        F.broadcast(judged_), F.col("doc_id") == F.col("_id")).select("_lang", "_toxic", distinct("text").alias("_words"))
     # The empty word, which no text holds, counts the documents.
     counts = (rows.select("_lang", "_toxic", F.explode(F.concat(F.array(F.lit("")), "_words")).alias("_word"))
               .groupBy("_lang", "_word").agg(F.count(F.when(F.col("_toxic"), 1)).alias("_in"),

@@ -57,7 +57,8 @@ def op7_kd_tree_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Measurements, base verdict and verdict of the current policy for every document."""
-    rows = quality.judged(quality.ledger(table(spark, folder, "documents")))
+    docs = table(spark, folder, "documents")
+    rows = quality.judged(quality.ledger(docs, quality.learned_lexicon(docs, table(spark, folder, "labels"))))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", "base_failed", "kept", "failed")
 

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 from oddsline.llm import quality as Q
+from oddsline.llm.queries import QUERIES
 from tests.conftest import DATA
 from tests.llm import edge
 
@@ -27,10 +28,23 @@ def test_repeated_words():
 def test_measures():
     got = dict(zip(Q.MEASURES, Q.measure("Ab  cé #|\nAb  cé #|\n\x0b\nSTOP!! idiot, idiot")))
     assert got == {"n_words": 9, "word_chars": 29, "n_symbols": 4, "n_dup_lines": 1, "n_repeat_words": 0, "n_lines": 3,
-                   "n_shouted": 1, "n_marked": 1, "n_insults": 2, "longest_word": 6, "n_echoes": 0}
+                   "n_shouted": 1, "n_marked": 1, "n_insults": 2, "n_unspaced": 0,
+                   "n_endless": 0, "n_echoes": 0}
     assert set(Q.measure(None)) == set(Q.measure(" \n")) == {0}
 
 
+def test_unspaced_scripts_and_endless_words(spark):
+    plain = " ".join(f"word{i}" for i in range(400))
+    rows = [(1, " ".join(["漢字仮名交" * 80] * 2 + ["文" * 300 + str(i) for i in range(9)])), (2, plain + " " + "x" * 1200),
+            (3, plain + " " + "x" * 120), (4, " ".join(f"w{i}" for i in range(20)) + " " + "éz" * 501),
+            (5, " ".join(["ab" * 20 + str(i) for i in range(20)])), (6, " ".join(f"word{i}" for i in range(3000)) + " " + "x" * 1001)]
+    got = {r["doc_id"]: r for r in Q.judged(Q.ledger(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[1]["n_unspaced"] == 800 + 9 * 300 and got[1]["n_endless"] == 0 and got[1]["failed"] & 16 == 0
+    assert [got[d]["n_endless"] for d in (2, 3, 4, 6)] == [1200, 0, 1002, 1001]
+    assert [bool(got[d]["failed"] & 256) for d in range(1, 7)] == [False, True, False, True, False, False]
+    assert got[5]["failed"] & 16 and got[6]["kept"]
+
+
 def test_edge_rows(spark):
     docs = edge.documents(spark, clash=("n_words", "failed", "_measures"))
     rows = {(r["doc_id"], r["n_words"]): r for r in Q.judged(Q.ledger(docs)).collect()}
@@ -69,6 +83,26 @@ def test_toxic_words_of_every_language_are_learned(spark):
         assert sum(wrong) <= 0.01 * len(wrong) and len(wrong) > 50, lang
 
 
+def test_bounded_teaching(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.01/{name}.parquet") for name in ("documents", "labels"))
+    monkeypatch.setattr(Q, "TAUGHT", 150)
+    some = Q.learned_lexicon(docs, labels)
+    assert some == Q.learned_lexicon(docs.repartition(7), labels.repartition(3))
+    monkeypatch.undo()
+    every = Q.learned_lexicon(docs, labels)
+    assert sum(map(len, some.values())) < sum(map(len, every.values()))
+
+
+def test_query_rejects_toxic_documents_of_every_language(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/sf0.1/{name}.parquet") for name in ("documents", "labels"))
+    rows = (QUERIES["op8_quality_rules"](spark, f"{DATA}/sf0.1").select("doc_id", "kept", "base_failed")
+            .join(docs.select("doc_id", "lang"), "doc_id").join(labels, "doc_id").collect())
+    for lang in ("de", "en", "es", "fr"):
+        toxic = [r["kept"] for r in rows if r["lang"] == lang and r["toxic"] == 1]
+        good = [r["kept"] for r in rows if r["lang"] == lang and r["toxic"] == 0 and r["quality"] == 1]
+        assert sum(toxic) <= 0.12 * len(toxic) and sum(good) >= 0.97 * len(good), lang
+
+
 def test_length_does_not_dilute_toxic_words(spark):
     words = frozenset(("b\u00f6s", "fies"))
     assert Q.toxic_words("b\u00f6s " + "gut " * 9000 + "Fies! " + "gut " * 9000 + "\u00abB\u00d6S\u00bb", words) == (3, 0)
