@@ -13,7 +13,7 @@ SHARDS = 16
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass every quality rule, with the toxic words learned from the labels."""
     lexicon = quality.learned_lexicon(docs, table(spark, sf_dir, "labels"))
-    return quality.keep_good(docs, quality.WITH_LEXICON, lexicon)
+    return quality.keep_good(docs, lexicon=lexicon)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
