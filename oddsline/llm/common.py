@@ -30,12 +30,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 SENT_KEYS = 200_000
 
 
-def sent(keys: DataFrame) -> DataFrame:
+def sent(keys: DataFrame, most: int | None = None) -> DataFrame:
     """Keys of a join as a broadcast side if they are few, else for a sort-merge join.
 
-    Give written or otherwise cheap rows, as they are counted.
+    Give written or otherwise cheap rows, as they are counted unless their number is proved
+    to be ``most`` at most.
     """
-    few = keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS
+    few = (most is not None and most <= SENT_KEYS) or keys.limit(SENT_KEYS + 1).count() <= SENT_KEYS
     return F.broadcast(keys) if few else keys.hint("merge")
 
 

@@ -9,6 +9,7 @@ blocks in it, without those in scripts, menus and the like, are the main text.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -34,6 +35,13 @@ SIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising al
     menu menubar modal nav navbar navigation newsletter notice notification overlay paywall popup promo promotion
     related replies search share sharing sidebar signup social sponsor sponsored sponsors subscribe subscription
     toolbar widget""".split())
+#: Of these, those that also name what an article is about, so that the element's own content counts more.
+WEAK_WORDS = frozenset("""alert banner dialog form header menu notice notification overlay promotion search share
+    sharing signup social subscription toolbar widget""".split())
+#: Words of a name that say where or how an element stands, not what it is.
+PLACES = frozenset("""area bar block bottom box container content group inner item items left link links list main
+    outer page panel right row section site top wrap wrapper""".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CLOSES_P = BLOCKS - {"body", "html", "head"}
 HEAD, OTHER = "header", "other"
 
@@ -71,14 +79,18 @@ def events(page: str) -> Iterator[tuple[str, str, str]]:
             at = end.start() if end else len(page)
 
 
-def marked_as_side(attributes: str) -> bool:
+def marks_of(attributes: str) -> frozenset[str]:
+    """The words of class, id and role that may mark side matter; weak ones of names that say nothing else."""
+    out: set[str] = set()
     for name, value in _ATTRIBUTE.findall(attributes):
         if value and name.lower() in _MARKS:
             for token in value.strip("\"'").split():
                 parts = [part.lower() for part in _PARTS.findall(token)]
-                if parts and parts[0] not in _ABOUT and not SIDE_WORDS.isdisjoint(parts):
-                    return True
-    return False
+                if parts and parts[0] not in _ABOUT:
+                    said = SIDE_WORDS.intersection(parts)
+                    only = SIDE_WORDS.issuperset(p for p in parts if p not in PLACES)
+                    out.update(said if only else said - WEAK_WORDS)
+    return frozenset(out)
 
 
 class Reader:
@@ -86,17 +98,23 @@ class Reader:
     block number, text); ``key`` is the element name, ``side`` whether it lies in side
     matter, ``inside`` whether in an element named as content.
 
-    Elements are side matter by name or by mark (class, id, role). A mark is dropped from
-    the elements around the content with most words. On a page without content, less than a tenth
-    of whose words lie outside of marked elements, it is dropped from those that hold most."""
+    Elements are side matter by name or by mark (class, id, role). ``scores`` weighs a mark
+    against what the element holds (``Scores.mark``). It is dropped as well from the elements
+    around the main content: of the ones named so, that with the fewest marks on and around it,
+    then with most words. On a page without content, less than a tenth of whose words lie outside
+    of marked elements, it is dropped from those that hold most."""
 
-    def __init__(self, page: str):
+    def __init__(self, page: str, scores: Scores | None = None):
+        self.scores = scores or Scores({})
         self.open: list[tuple[str, int, bool, str, int]] = []
         self.items: list[tuple] = []
         self.block = 0
         # Marks and contents by number: the mark or content around, and the words directly in it.
         self.marks: list[int] = [0, 0]  # 0: no side matter, 1: by name, which no content drops
-        self.contents: list[int] = [0]  # the mark around each content
+        self.contents: list[int] = [0]  # the mark on or around each content
+        self.mark_names: list[frozenset[str]] = [frozenset(), frozenset()]
+        self.mark_inside: list[bool] = [False, False]  # whether a content is around the mark
+        self.headed: set[int] = set()  # marks around a heading
         self.mark_words, self.content_words = Counter(), Counter()
         for kind, value, attributes in events(page):
             if kind == "text":
@@ -126,17 +144,30 @@ class Reader:
         dropped = {0}
         found = [i for i in range(1, len(self.contents)) if self.contents[i] != 1 and self.content_words[i]]
         if found:
-            mark = self.contents[max(found, key=lambda i: (self.content_words[i], -i))]
-            while mark:
-                dropped.add(mark)
-                mark = self.marks[mark]
+            around = lambda i: len(self.chain(self.contents[i]))
+            dropped.update(self.chain(self.contents[min(found, key=lambda i: (around(i), -self.content_words[i], i))]))
         elif 10 * self.mark_words[0] < (whole := sum(n for mark, n in self.mark_words.items() if mark != 1)):
             held = Counter(self.mark_words)
             for mark in range(len(self.marks) - 1, 1, -1):  # inner marks come later
                 held[self.marks[mark]] += held[mark]
             dropped |= {mark for mark in range(2, len(self.marks)) if 2 * held[mark] > whole}
+        # From the outside in: a mark inside side matter stays side matter.
+        for mark in range(2, len(self.marks)):
+            if self.marks[mark] in dropped and not self.is_side(mark):
+                dropped.add(mark)
         return dropped
 
+    def chain(self, mark: int) -> list[int]:
+        """A mark and those around it."""
+        out = []
+        while mark:
+            out.append(mark)
+            mark = self.marks[mark]
+        return out
+
+    def is_side(self, mark: int) -> bool:
+        return self.scores.mark(self.mark_names[mark], self.mark_inside[mark], mark in self.headed) > 0
+
     def tag(self, name: str, side: int, inside: bool) -> None:
         if name in BLOCKS:
             self.block += 1
@@ -148,14 +179,18 @@ class Reader:
         context, side, inside = self.state
         content = name in CONTENT
         number = self.open[-1][4] if self.open else 0
-        if content:
-            self.contents.append(side)
-            number = len(self.contents) - 1
-        elif side != 1 and (name in SIDE or (name == HEAD and not inside)):
+        if name in HEADINGS:
+            self.headed.update(self.chain(side))
+        if side != 1 and not content and (name in SIDE or (name == HEAD and not inside)):
             side = 1
-        elif side != 1 and name not in ("html", "body") and name not in VOID and marked_as_side(attributes):
+        elif side != 1 and name not in ("html", "body") and name not in VOID and (names := marks_of(attributes)):
             self.marks.append(side)
+            self.mark_names.append(names)
+            self.mark_inside.append(inside)
             side = len(self.marks) - 1
+        if content:
+            self.contents.append(side)
+            number = len(self.contents) - 1
         self.tag(name, side, inside)
         if name == "br":
             self.words(" ")
@@ -190,7 +225,11 @@ def known(name: str) -> str:
 
 
 class Scores:
-    """Scores from counts {(kind, key): (inside, outside)}; few counts lean on priors."""
+    """Scores from counts {(kind, key): (inside, outside)}; few counts lean on priors.
+
+    A word that only marks side matter by its meaning counts as often as a large site teaches;
+    one that also names topics gives way to a few articles in which it marks their own words.
+    """
 
     LISTS = frozenset("a li ul ol menu td th label dd dt".split())
 
@@ -203,6 +242,19 @@ class Scores:
         prior = 0.7 if key in self.LISTS else 0.1
         return (outside + 10 * prior) / (inside + outside + 10)
 
+    def mark(self, names: frozenset[str], inside: bool, headed: bool) -> float:
+        """How much speaks for side matter: above 0 more than against it.
+
+        For it speaks how rarely the words marked so lie in contents, by the word that says most;
+        against it that a content is around the element, and a heading in it.
+        """
+        best = 0.0
+        for name in names:
+            prior, weight = (0.75, 200) if name in WEAK_WORDS else (0.97, 100_000)
+            inner, outer = self.counts.get(("mark", name), (0, 0))
+            best = max(best, (outer + weight * prior) / (inner + outer + weight))
+        return math.log(max(best, 1e-9) / max(1 - best, 1e-9)) - 1.0 * inside - 1.5 * headed
+
     def word(self, key: str) -> float:
         return max(0.02, 1 - self.outside("words", key))
 
@@ -210,9 +262,16 @@ class Scores:
         return -(0.02 + 4 * max(0.0, self.outside("tag", key) - 0.15))
 
 
+class Teaching(Scores):
+    """While pages teach: weak marks inside a content are part of it."""
+
+    def mark(self, names: frozenset[str], inside: bool, headed: bool) -> float:
+        return -1.0 if inside and names <= WEAK_WORDS else super().mark(names, inside, headed)
+
+
 def main_text(page: str | None, scores: Scores) -> str:
     """The text of the best stretch, a line per block."""
-    items = [item for item in Reader(page or "").items if not item[2]]  # side matter only taught
+    items = [item for item in Reader(page or "", scores).items if not item[2]]  # side matter only taught
     words: dict[str, float] = {}
     tags: dict[str, float] = {}
     best = total = 0.0
@@ -245,11 +304,14 @@ def learned(pages: DataFrame) -> Scores:
         total: Counter = Counter()
         for batch in batches:
             for page in batch.column(0).to_pylist():
-                reader = Reader(page or "")
+                reader = Reader(page or "", Teaching({}))
                 if reader.has_content:
                     for item in reader.items:
                         inside = item[3] and not item[2]
                         total[item[0], item[1], inside] += len(item[5].split()) if item[0] == "words" else 1
+                    for mark in range(2, len(reader.marks)):
+                        for name in reader.mark_names[mark]:
+                            total["mark", name, reader.mark_inside[mark]] += reader.mark_words[mark]
         rows = [(*k, n) for k, n in total.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),

@@ -17,13 +17,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from oddsline.llm.common import row_batches, written
+from oddsline.llm.common import row_batches, sent, written
 from oddsline.llm.components import components
 
 SHINGLE, SYMBOLS, CHUNK = 5, 30, 5
 SIMILAR = 85  # percent
-#: Far above what similarity 0.85 gives (4.5 on average); saves set comparisons only.
-FAR = 16
 #: Rows and bytes of shingle sets that one block of a cluster holds at most.
 BLOCK_ROWS, BLOCK_BYTES = 512, 8 << 20
 
@@ -93,7 +91,7 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return int(digest[0]), int(digest[1])
 
 
-SIGNED = "doc_id long, n long, s1 long, s2 long, " + ", ".join(f"c{i} long" for i in range(8))
+SIGNED = "doc_id long, h long, n long, s1 long, s2 long, " + ", ".join(f"c{i} long" for i in range(8))
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +106,7 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             packed.append(signature)
         keys, packed = np.array(keys, np.int64), np.array(packed, np.int64)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(keys[:, 0]),
+            [batch.column("doc_id").cast(pa.int64()), batch.column("h"), pa.array(n, pa.int64()), pa.array(keys[:, 0]),
              pa.array(keys[:, 1]), *[pa.array(packed[:, i]) for i in range(8)]], names=names)
 
 
@@ -171,8 +169,8 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def link_block(rows: list[tuple]) -> list[tuple[int, int]]:
     """Links between two blocks of a cluster (or inside one), as a spanning forest.
 
-    Rows are (block, id, n, set, signature). Pairs already tied together are skipped;
-    all others under the size and signature bounds are compared on their full sets.
+    Rows are (block, id, n, set, signature). Pairs already tied together are skipped; all
+    others whose sizes allow a link are compared on their full sets, likely ones first.
     """
     unique = {r[1]: r for r in rows}
     rows = sorted(unique.values(), key=lambda r: (r[2], r[1]))
@@ -192,8 +190,7 @@ def link_block(rows: list[tuple]) -> list[tuple[int, int]]:
         if not len(js):
             continue
         distance = (signs[js] != signs[i]).sum(1)
-        near = np.argsort(distance, kind="stable")
-        for j in js[near[:int((distance <= FAR).sum())]]:
+        for j in js[np.argsort(distance, kind="stable")]:
             if root[j] != root[i] and similar(sets[i], sets[j]):
                 links.append((rows[i][1], rows[j][1]))
                 root[root == root[j]] = root[i]
@@ -220,33 +217,51 @@ def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+def labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows (doc_id, h, n, s1, s2) of ``docs``, and for each set (s1, s2) its
+    group: ``node`` is the group's own number, ``component`` its smallest doc_id.
 
-    Documents are linked when 100 * intersection >= 85 * union of their shingle sets,
-    confirmed on the full sets; ``component_id`` is the smallest doc_id reachable. Equal
-    sets are one node of the graph, so copies cost nothing further. A document without
-    words is linked with nothing. A null doc_id can't name a group: its component is
-    null, and it is kept. Rows sharing a doc_id are the same document if their sets are
-    equal, else each is judged by its own set. Extra columns are ignored.
+    Nodes of the graph are sets, so rows that share a doc_id but not their set stay apart.
+    ``h`` is a hash of the text.
     """
     row_batches(docs.sparkSession)
-    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("raw"))
+    raw = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"),
+                      F.col("text").cast("binary").alias("raw"))
     signed = written(raw.mapInArrow(sign, SIGNED), "signed")
-    classes = written(
-        signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2")
-        .agg(F.min("doc_id").alias("id"), F.max("n").alias("n"), *[F.max(f"c{i}").alias(f"c{i}") for i in range(8)]),
-        "classes")
+    sets = (signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s1", "s2")
+            .agg(F.min("doc_id").alias("least"), F.max("n").alias("n"),
+                 *[F.max(f"c{i}").alias(f"c{i}") for i in range(8)]))
+    # Numbered as they are written, so that the numbers don't change any more.
+    classes = written(sets.withColumn("id", F.monotonically_increasing_id()), "classes")
     members = written(blocked(classes, clusters(classes)), "members")
     # Members grow with the corpus, so the plan is the one that holds at any size.
-    texts = (raw.join(members.hint("merge"), raw.doc_id == members.id)
+    texts = (raw.join(members.hint("merge"), raw.doc_id == members.least)
              .select("raw", "id", "cluster", "blocks", "block", "s1", "s2"))
     pairs = (texts.mapInArrow(block_rows, BLOCKED).repartition("cluster", "p", "q")
              .sortWithinPartitions("cluster", "p", "q"))
     found = components(pairs.mapInArrow(links, "a long, b long"), "a", "b")
-    labelled = (classes.join(found, "id", "left")
-                .select("s1", "s2", F.coalesce("component", "id").alias("component")))
-    out = signed.select("doc_id", "n", "s1", "s2").join(labelled, ["s1", "s2"], "left")
+    own = classes.select("id", "s1", "s2", "least").join(found, "id", "left").withColumn(
+        "node", F.coalesce("component", "id")).drop("component")
+    own = written(own, "nodes")
+    # Only groups of several sets need a smallest doc_id other than the set's own.
+    several = own.filter("id <> node").select("node").distinct()
+    least = own.join(several, "node", "left_semi").groupBy("node").agg(F.min("least").alias("component"))
+    return (signed.select("doc_id", "h", "n", "s1", "s2"),
+            own.join(least, "node", "left").select("s1", "s2", "node", F.coalesce("component", "least").alias("component")))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+
+    Documents are linked when 100 * intersection >= 85 * union of their shingle sets,
+    confirmed on the full sets; ``component_id`` is the smallest doc_id reachable. Equal
+    sets are one node of the graph, so copies cost nothing further. A document without
+    words is linked with nothing. A null doc_id can't name a group: its component is
+    null, and it is kept. Rows sharing a doc_id are the same document if their sets are
+    equal, else each is judged by its own set. Extra columns are ignored.
+    """
+    rows, classes = labelled(docs)
+    out = rows.join(classes, ["s1", "s2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
@@ -267,15 +282,43 @@ def clusters(classes: DataFrame) -> DataFrame:
 def blocked(classes: DataFrame, grouped: DataFrame) -> DataFrame:
     """Members of clusters with their block: a cluster is cut so that no task holds more
     than two blocks of bounded rows and bytes, and every two blocks meet in some task."""
-    members = classes.select("id", "n", "s1", "s2").join(grouped, "id")
+    members = classes.select("id", "least", "n", "s1", "s2").join(grouped, "id")
     sizes = members.groupBy("component").agg(F.ceil(F.greatest(
         F.count("*") / F.lit(BLOCK_ROWS), 8 * F.sum("n") / F.lit(BLOCK_BYTES))).cast("int").alias("blocks"))
     return (members.join(sizes, "component")
             .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-            .select("id", F.col("component").alias("cluster"), "blocks", "block", "s1", "s2"))
+            .select("id", "least", F.col("component").alias("cluster"), "blocks", "block", "s1", "s2"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document per group of near duplicates, columns unchanged."""
-    dropped = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    """``docs`` with one row per group of near duplicates, columns unchanged.
+
+    The row with the smallest doc_id stays, of one doc_id that with the smallest text hash,
+    and one of several rows that are equal in both. A row without words is a group of its
+    own, but equal ones are one; rows without doc_id all stay. Only rows with a copy of
+    both id and text, and those that meet a long list of dropped ones, are moved.
+    """
+    rows, classes = labelled(docs)
+    keyed = written(rows.filter("doc_id IS NOT NULL").groupBy("doc_id", "h", "s1", "s2", "n")
+                    .agg(F.count("*").alias("_copies"))
+                    .join(classes.select("s1", "s2", "node"), ["s1", "s2"], "left"), "keyed")
+    named = F.struct("doc_id", "h")
+    first = keyed.filter("n > 0").groupBy("node").agg(F.min(named).alias("_first"))
+    dropped = written(keyed.filter("n > 0").join(first, "node").filter(named != F.col("_first"))
+                      .select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash")).distinct(), "dropped")
+    copied = written(keyed.filter("_copies > 1").select(F.col("doc_id").alias("_id"), F.col("h").alias("_hash"))
+                     .distinct(), "copied")
+    text_hash = F.xxhash64(docs["text"])
+
+    def meets(keys: DataFrame):
+        return (docs["doc_id"].cast("long") == keys["_id"]) & (text_hash == keys["_hash"])
+
+    dropped_, copied_ = sent(dropped), sent(copied)
+    single = docs.join(dropped_, meets(dropped_), "left_anti").join(copied_, meets(copied_), "left_anti")
+    if copied.isEmpty():
+        return single
+    again = docs.join(copied_, meets(copied_), "left_semi").join(dropped_, meets(dropped_), "left_anti")
+    every = F.struct(*[f"`{c}`" for c in docs.columns])
+    one = (again.groupBy("doc_id", F.xxhash64("text")).agg(F.min_by(every, F.xxhash64(every)).alias("_row"))
+           .select("_row.*"))
+    return single.unionByName(one)

@@ -72,3 +72,43 @@ def test_marked_elements_stay_side_matter():
     assert H.main_text(main + "<div id=comments><p>" + "many words " * 40 + "</p></div>", PLAIN) == text
     assert H.main_text(f"<nav>{main}</nav>", PLAIN) == ""
     assert H.main_text("<h1>Site</h1><div id=search-results><p>" + "found " * 40 + "</p></div>", PLAIN).count("found") == 40
+
+
+ARTICLE = "<p>" + "the article has these words " * 6 + "</p>"
+ARTICLE_TEXT = ("the article has these words " * 6).strip()
+
+
+def test_comments_are_never_the_article():
+    reader = '<article class="comment"><p>' + "I liked it very much " * 60 + "</p></article>"
+    for page in (f"<main>{ARTICLE}{reader}{reader}</main>", f"<article>{ARTICLE}</article>{reader}",
+                 f'<main><h1>Title</h1>{ARTICLE}<section class="comments"><h2>Comments</h2><p>{"so true " * 200}</p></section></main>',
+                 f'<section class="comments"><article><p>{"long reply " * 300}</p></article></section><article>{ARTICLE}</article>',
+                 f'<article>{ARTICLE}</article><div id="user-comments-list"><article><h3>Me</h3><p>{"reply " * 300}</p></article></div>'):
+        got = H.main_text(page, PLAIN)
+        assert ARTICLE_TEXT in got and got.replace("Title\n", "") == ARTICLE_TEXT
+
+
+def test_sections_about_a_marks_topic_stay():
+    section = "<h2>Search engines</h2><p>" + "how engines find pages " * 5 + "</p>"
+    for mark in ('id="search"', 'class="widget-quote"', 'class="share"', 'id="menu-history"', 'class="social-change"'):
+        got = H.main_text(f"<article>{ARTICLE}<section {mark}>{section}</section>{ARTICLE}</article>", PLAIN)
+        assert got.count("how engines find pages") == 5 and got.count(ARTICLE_TEXT) == 2, mark
+    for box in ('<div id="search"><input> find it</div>', '<div class="share-bar">tell friends</div>',
+                '<div class="ad-box"><h3>Buy</h3><p>cheap things</p></div>', '<div class="top-menu">one two</div>'):
+        assert H.main_text(f"<article>{ARTICLE}{box}{ARTICLE}</article>", PLAIN) == ARTICLE_TEXT + "\n" + ARTICLE_TEXT
+
+
+def test_weights_of_marks_are_learned(spark):
+    site = '<article><h1>A title with a few words of its own</h1><div class="toolbar">{}</div></article><div class="comments">{}</div>'
+    rows = [(i, "u", site.format("words of the article " * 20, "words of readers " * 20)) for i in range(40)]
+    scores = H.learned(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    page = site.format("some words about tools " * 5, "nice " * 9)
+    assert H.main_text(page, PLAIN) == "A title with a few words of its own"
+    assert H.main_text(page, scores) == "A title with a few words of its own\n" + ("some words about tools " * 5).strip()
+    assert scores.mark(frozenset(["comments"]), True, True) > 0 > scores.mark(frozenset(["toolbar"]), True, False)
+
+
+def test_ties_take_the_first_stretch():
+    block = "<p>one two three</p>"
+    apart = "<ul>" + "<li><a href=x></a></li>" * 60 + "</ul>"
+    assert H.main_text(block + apart + block, PLAIN) == "one two three"

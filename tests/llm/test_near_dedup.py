@@ -76,6 +76,57 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] in (1, 2, 3, 7, 8)) == [1, 7]
 
 
+def brute_rows(rows):
+    """Component of each row, rows being apart unless their sets are equal or linked."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return [least[find(i)] for i in range(len(rows))], [find(i) for i in range(len(rows))]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    rnd = random.Random(9)
+    a, b = (" ".join(f"{name}{rnd.randrange(10 ** 6)}" for _ in range(60)) for name in "ab")
+    cases = [[(5, a + " tail"), (5, b + " tail"), (9, a), (12, b)],
+             [(5, a), (5, b), (3, a)], [(7, a), (7, a), (7, a)], [(5, a), (5, a.upper()), (5, b), (5, b), (8, b)],
+             [(4, None), (4, ""), (4, a), (4, ""), (2, a + " x")], [(1, a), (2, a), (2, a), (1, a), (1, b)]]
+    rows = [(100 * i + d, t) for i, case in enumerate(cases) for d, t in case]
+    # the texts of a case must not meet those of another one
+    rows = [(d, t and " ".join(f"{w}q{d // 100}" if w != "tail" else w for w in t.split())) for d, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    component, group = brute_rows(rows)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in N.near_duplicates(docs).collect())
+    assert got == sorted((d, len(shingles(t)), c, d == c) for (d, t), c in zip(rows, component))
+    kept = [(r["doc_id"], r["text"]) for r in N.keep_first(docs).collect()]
+    for g in set(group):
+        members = {rows[i] for i in range(len(rows)) if group[i] == g}
+        stays = [r for r in kept if r in members]
+        assert len(stays) == 1 and stays[0][0] == min(d for d, _ in members), members
+    assert len(kept) == len({(g if shingles(t) else (d, t)) for g, (d, t) in zip(group, rows)})
+
+
+def test_rows_with_copies_keep_one(spark):
+    docs = edge.documents(spark, clash=("_id", "_hash", "_copies", "node"))
+    rows = N.keep_first(docs).collect()
+    assert sum(r["doc_id"] is None for r in rows) == 1 and sum(r["doc_id"] == 2 for r in rows) == 0
+    twice = N.keep_first(docs.unionByName(docs))
+    assert twice.columns == docs.columns
+    key = lambda rs: sorted(str((r["doc_id"], r["text"])) for r in rs if r["doc_id"] is not None)
+    assert key(twice.collect()) == key(rows)
+    assert N.keep_first(edge.empty(spark)).count() == 0
+
+
 def test_signature_distance_is_guaranteed():
     """Signatures up to 11 symbols apart share an index entry."""
     rnd = np.random.default_rng(5)
