@@ -35,6 +35,11 @@ KEY_SEPARATOR = "#"
 BATCH_KEY_SEPARATOR = "_"
 PRICE_ROWS, BOOK_ROWS, TRADE_ROWS = "BIN", "PB", "PT"
 
+# Columns that a feed may carry beside its rows: the instant of capture, finer than a message's own
+# milliseconds, and a number that tells rows of the same instant apart.
+CAPTURED = "captured"
+NUMBER = "event_id"
+
 # Market event types.
 BOOK_EVENT = "book"
 TRADE_EVENT = "last_trade_price"

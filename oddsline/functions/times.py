@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
@@ -78,6 +79,35 @@ def order_key(ts: Column | str, *ties: Column | str, span_seconds: int | None =
     return F.shiftleft(offset, free).bitwiseOR(hashed)
 
 
+def exact_key(ts: Column | str, tie: Column | str, descending: bool = False) -> Column:
+    """A DECIMAL that sorts rows by the microsecond and then by the whole BIGINT ``tie``, falling
+    if ``descending``: the first of equal times has the smallest key, or else the largest.
+
+    Like a BIGINT it has a fixed-width aggregation buffer.
+    """
+    return _pair(F.unix_micros(as_column(ts)), as_column(tie), descending)
+
+
+def _pair(major: Column, minor: Column, descending: bool = False) -> Column:
+    """Two BIGINTs, the first within 62 bits, as one number of at most 38 digits."""
+    high = major.cast("decimal(20,0)") * F.lit(Decimal(2 ** 64))
+    low = F.coalesce(minor, F.lit(2 ** 63 - 1)).cast("decimal(20,0)")
+    return (high - low if descending else high + low).cast("decimal(38,0)")
+
+
+def ranked_key(flag: Column, epoch_ms: Column | str, tie: Column | str) -> Column:
+    """Sorts by a flag, then by epoch milliseconds, then by the whole BIGINT ``tie``."""
+    bound = F.lit(2 ** 60)
+    captured = F.greatest(F.least(as_column(epoch_ms), bound), -bound)
+    return _pair(F.when(flag, F.lit(2 ** 61)).otherwise(F.lit(0)) + captured, as_column(tie))
+
+
+def refined(coarse: Column | str, fine: Column | str) -> Column:
+    """``fine`` where it lies within the millisecond that ``coarse`` tells, else ``coarse``."""
+    coarse, fine = as_column(coarse), as_column(fine)
+    return F.when(F.unix_millis(coarse) == F.unix_millis(fine), fine).otherwise(coarse)
+
+
 def interval_seconds(text: str) -> int:
     """Length of an interval such as ``15 minutes``."""
     number, unit = text.split()

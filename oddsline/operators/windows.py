@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from oddsline.config import Settings
+from oddsline.config import CAPTURED, NUMBER, Settings
 from oddsline.functions import verdict
-from oddsline.functions.times import epoch_to_timestamp, floor_time, interval_seconds, order_key
+from oddsline.functions.rounding import half_away
+from oddsline.functions.times import (epoch_to_timestamp, exact_key, floor_time, interval_seconds, order_key,
+                                      refined)
 
 JOINED_COLUMNS = (
     "window_start", "window_end", "crypto", "symbol", "window_open", "window_high", "window_low",
@@ -51,6 +53,18 @@ def _watermarked(df: DataFrame, time: str, delay: str | None) -> DataFrame:
     return df.withWatermark(time, delay) if delay and df.isStreaming else df
 
 
+def _first_and_last(df: DataFrame, instant: Column, ties: tuple[str, ...]) -> tuple[Column, Column]:
+    """Keys whose smallest names the first row of a window, and whose largest names the last one.
+
+    Of rows of the same microsecond the one with the smallest number counts, as a table in
+    the order of its numbers gives it; without numbers a hash of ``ties`` decides.
+    """
+    if NUMBER in df.columns:
+        return exact_key(instant, NUMBER), exact_key(instant, NUMBER, descending=True)
+    key = exact_key(instant, F.xxhash64(*ties))
+    return key, key
+
+
 def ohlc_windows(klines: DataFrame, every: str = Settings.batch_window,
                  time: str = "binance_time", sequence: str | None = "snapshot_time",
                  ties: tuple[str, ...] = ("open", "close")) -> DataFrame:
@@ -58,15 +72,17 @@ def ohlc_windows(klines: DataFrame, every: str = Settings.batch_window,
 
     First and last are by the epoch milliseconds in ``sequence``, as all snapshots of a
     candle share its time, and by ``time`` where that is null, out of range or no column.
+    ``time`` also orders snapshots within a millisecond; for ties see ``_first_and_last``.
     """
     if sequence is None or sequence not in klines.columns:
-        order = order_key(time, *ties, span_seconds=interval_seconds(every))
+        instant = F.col(time)
     else:
-        order = order_key(F.coalesce(epoch_to_timestamp(sequence, "ms"), F.col(time)), *ties)
+        instant = F.coalesce(refined(epoch_to_timestamp(sequence, "ms"), time), F.col(time))
+    first, last = _first_and_last(klines, instant, ties)
     return _per_window(
         klines, time, every, ("crypto", "symbol"),
-        F.min_by("open", order).alias("window_open"), F.max("high").alias("window_high"),
-        F.min("low").alias("window_low"), F.max_by("close", order).alias("window_close"),
+        F.min_by("open", first).alias("window_open"), F.max("high").alias("window_high"),
+        F.min("low").alias("window_low"), F.max_by("close", last).alias("window_close"),
         F.avg("volume").alias("avg_volume"), F.count(F.lit(1)).alias("candle_count"))
 
 
@@ -82,7 +98,7 @@ def probability_windows(probabilities: DataFrame, every: str = Settings.batch_wi
     order = order_key(time, *ties, span_seconds=interval_seconds(every))
     return _per_window(
         probabilities, time, every, ("crypto",),
-        F.round(F.avg("price"), 12).alias("avg_probability"), F.max("price").alias("max_probability"),
+        half_away(F.avg("price"), 12).alias("avg_probability"), F.max("price").alias("max_probability"),
         F.min("price").alias("min_probability"), F.max_by("price", order).alias("last_probability"),
         F.count(F.lit(1)).alias("bet_activity_count"))
 
@@ -104,7 +120,7 @@ def token_probability_windows(probabilities: DataFrame, tokens: DataFrame,
         F.max_by("price", order).alias("last"))
     known = tokens.select(F.col("token_id").alias("asset_id"), "crypto")
     return per_token.join(known, "asset_id").groupBy("window_start", "window_end", "crypto").agg(
-        F.round(F.sum("total") / F.sum("n"), 12).alias("avg_probability"),
+        half_away(F.sum("total") / F.sum("n"), 12).alias("avg_probability"),
         F.max("highest").alias("max_probability"), F.min("lowest").alias("min_probability"),
         F.max_by("last", "newest").alias("last_probability"),
         F.sum("n").alias("bet_activity_count"))
@@ -151,8 +167,12 @@ def _live(df: DataFrame, key: str, every: str, watermark: str | None, *aggregate
 
 def live_price(ticks: DataFrame, every: str = Settings.live_window,
                watermark: str | None = Settings.watermark) -> DataFrame:
-    """Latest and aggregate price, volume and sentiment per window and symbol."""
-    order = order_key("event_time", "price", "buy_sentiment", span_seconds=interval_seconds(every))
+    """Latest and aggregate price, volume and sentiment per window and symbol.
+
+    Ticks of the same millisecond are ordered by the instant of their capture, if they carry it.
+    """
+    instant = refined("event_time", CAPTURED) if CAPTURED in ticks.columns else F.col("event_time")
+    _, order = _first_and_last(ticks, instant, ("price", "buy_sentiment"))
     return _live(
         ticks, "symbol", every, watermark,
         F.max_by("price", order).alias("current_price"),
@@ -166,8 +186,7 @@ def live_price(ticks: DataFrame, every: str = Settings.live_window,
 def live_book(books: DataFrame, every: str = Settings.live_window,
               watermark: str | None = Settings.watermark) -> DataFrame:
     """Latest and aggregate probability, spread and imbalance per window and market."""
-    order = order_key("event_time", "mid_price_prob", "spread", "book_imbalance",
-                      span_seconds=interval_seconds(every))
+    _, order = _first_and_last(books, F.col("event_time"), ("mid_price_prob", "spread", "book_imbalance"))
     return _live(
         books, "market_id", every, watermark,
         F.max_by("mid_price_prob", order).alias("current_prob"),

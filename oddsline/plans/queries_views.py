@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from oddsline.config import BATCH_CELLS, BOOK_ROWS, LIVE_CELLS, PRICE_ROWS, TRADE_ROWS
 from oddsline.functions import rowkeys
 from oddsline.functions.book import mid_probability, with_top_of_book
+from oddsline.functions.rounding import half_away
 from oddsline.operators import serving, views, windows
 from oddsline.plans import batch, oracle_feeds as o
 from oddsline.plans.queries_windows import (books, stored, ticks, token_verdicts, tokens,
@@ -149,7 +150,7 @@ def view_cells(spark, folder):
     cells = views.to_cells(stored_batch_view(spark, folder), views.batch_cells())
     parsed = cells.withColumn("parsed", rowkeys.parse_cell("value"))
     number = F.coalesce(F.col("parsed.number"), F.col("parsed.whole").cast("double"))
-    return parsed.select("rowkey", "family", "qualifier", F.round(number, 6).alias("number"),
+    return parsed.select("rowkey", "family", "qualifier", half_away(number, 6).alias("number"),
                          F.col("parsed.word").alias("word"))
 
 
@@ -171,7 +172,7 @@ def live_view_cells(spark, folder):
     cells = views.to_cells(view, views.live_cells(BOOK_ROWS))
     parsed = cells.withColumn("parsed", rowkeys.parse_cell("value"))
     number = F.coalesce(F.col("parsed.number"), F.col("parsed.whole").cast("double"))
-    return parsed.select("rowkey", "family", "qualifier", F.round(number, 6).alias("number"),
+    return parsed.select("rowkey", "family", "qualifier", half_away(number, 6).alias("number"),
                          F.col("parsed.word").alias("word"))
 
 
@@ -211,7 +212,7 @@ def legacy_batch_frame(spark, folder):
         "symbol", (F.unix_seconds("window_start") + 900).alias("window_end_ts"),
         F.col("window_open").alias("open"), F.col("window_close").alias("close"),
         F.col("window_high").alias("high"), F.col("window_low").alias("low"),
-        F.round("avg_volume", 6).alias("volume"), F.round("avg_probability", 6).alias("avg_prob_up"),
+        half_away("avg_volume", 6).alias("volume"), half_away("avg_probability", 6).alias("avg_prob_up"),
         F.col("bet_activity_count").alias("total_bet_vol"), "prediction_result")
     return views.legacy_batch_view(views.legacy_batch_frame(given))
 

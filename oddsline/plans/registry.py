@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from oddsline.functions.rounding import half_away
 from oddsline.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,4 +38,4 @@ def without_zone(df: DataFrame) -> DataFrame:
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round sums and means, whose last bits depend on the order of addition."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: half_away(c, digits).alias(c) for c in columns})

@@ -224,3 +224,21 @@ def test_parse_cell(spark):
     assert cells == [(92543.87654321, None, None), (None, 42, None), (None, None, "CORRECT_BULL"),
                      (None, None, "1e-05"), (1.0e-5, None, None), (None, None, "a.b"),
                      (None, None, None)]
+
+
+def test_doubles_are_rounded_as_doubles(spark):
+    from oddsline.functions.rounding import half_away
+    values = [0.5196875, 2.5, -2.5, -1e-9, 1e305, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r[0] for r in df.orderBy("i").select(half_away("v", 6)).collect()]
+    assert got == [0.519687, 2.5, -2.5, 0.0, 1e305, None] and str(got[3]) == "-0.0"
+    assert [r[0] for r in df.orderBy("i").limit(3).select(half_away("v", 0)).collect()] == [1.0, 3.0, -3.0]
+
+
+def test_exact_key_sorts_by_microsecond_then_by_the_whole_number(spark):
+    rows = [(10, 2 ** 62), (10, 2 ** 62 + 2 ** 40), (10, -5), (11, 0), (9, 7), (10, None)]
+    df = spark.createDataFrame(rows, "us bigint, n bigint").withColumn("t", F.timestamp_micros("us"))
+    rising = [(r.us, r.n) for r in df.orderBy(times.exact_key("t", "n")).collect()]
+    assert rising == [(9, 7), (10, -5), (10, 2 ** 62), (10, 2 ** 62 + 2 ** 40), (10, None), (11, 0)]
+    falling = df.orderBy(times.exact_key("t", "n", descending=True).desc()).collect()
+    assert [(r.us, r.n) for r in falling] == [(11, 0), (10, -5), (10, 2 ** 62), (10, 2 ** 62 + 2 ** 40), (10, None), (9, 7)]
