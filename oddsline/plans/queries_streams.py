@@ -72,7 +72,7 @@ SELECT rowkey, window_end, current_price,
   current_price + CASE WHEN ticks > 1 THEN 1 ELSE 0 END AS latest_price, ticks FROM live_rows""")
 def live_view_upsert(spark, folder):
     rows = feeds.kline_messages(feeds.events(spark, folder))
-    first = windows.live_price(messages.ticks_of(rows)).select(
+    first = windows.live_price(messages.ticks_of(rows, carry=messages.ordering(rows))).select(
         F.concat(F.lit("BIN#"), "symbol", F.lit("#"),
                  (F.lit(9999999999999) - F.unix_millis("window_end")).cast("string")).alias("rowkey"),
         F.unix_millis("window_end").alias("window_end"), "current_price",

@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from oddsline.config import BOOK_EVENT, SLUG_INFIX, TRADE_EVENT
-from oddsline.functions.times import quarter_floor
+from oddsline.config import BOOK_EVENT, CAPTURED, SLUG_INFIX, TRADE_EVENT
+from oddsline.functions.times import epoch_to_timestamp, quarter_floor
 from oddsline.schemas import DOUBLE, LONG, STRING, struct
 
 EVENTS_SCHEMA = struct(event_id=LONG, ts=T.TimestampNTZType(), user_id=LONG, event_type=STRING,
@@ -74,11 +74,15 @@ def _message(value: Column) -> Column:
 
 
 def kline_messages(source: DataFrame) -> DataFrame:
-    """(event_id, value): each candle as a JSON array with one record, ``timestamp`` in ms."""
-    record = klines(source).withColumn("timestamp", F.col("snapshot_time"))
+    """(event_id, captured, value): each candle as a JSON array with one record, ``timestamp`` in ms.
+
+    Beside the message stands the instant of its capture, in microseconds.
+    """
+    record = klines(source).withColumns({
+        CAPTURED: epoch_to_timestamp("timestamp", "ns"), "timestamp": F.col("snapshot_time")})
     fields = ("timestamp", "snapshot_time", "symbol", "close", "volume", "quote_asset_volume",
               "trades", "taker_buy_base", "taker_buy_quote")
-    return record.select("event_id", _message(F.to_json(F.array(F.struct(*fields)))).alias("value"))
+    return record.select("event_id", CAPTURED, _message(F.to_json(F.array(F.struct(*fields)))).alias("value"))
 
 
 def _cents(number: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from oddsline import schemas
-from oddsline.config import BOOK_EVENT, TRADE_EVENT
+from oddsline.config import BOOK_EVENT, CAPTURED, NUMBER, TRADE_EVENT
 from oddsline.functions.book import (buy_sentiment, imbalance, mid_probability, spread,
                                      with_top_of_book)
 from oddsline.functions.times import as_column, epoch_to_timestamp
@@ -84,6 +84,11 @@ def trades(events: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         F.col("size").try_cast("double").alias("trade_size"))
 
 
+def ordering(messages: DataFrame) -> tuple[str, ...]:
+    """The columns beside the messages, if any, that order rows of the same millisecond."""
+    return tuple(c for c in (CAPTURED, NUMBER) if c in messages.columns)
+
+
 def ticks_of(messages: DataFrame, value: str = "value", carry: tuple[str, ...] = ()) -> DataFrame:
     """Candle messages -> price ticks."""
     return price_ticks(decode_klines(messages, value, carry, _TICK_FIELDS), carry)

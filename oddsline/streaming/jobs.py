@@ -83,12 +83,14 @@ class Maintainer:
 
 
 def price_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:
-    return windows.live_price(messages.ticks_of(raw, value), settings.live_window, settings.watermark)
+    return windows.live_price(messages.ticks_of(raw, value, messages.ordering(raw)), settings.live_window,
+                              settings.watermark)
 
 
 def book_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value",
                  string_compare: bool = False) -> DataFrame:
-    return windows.live_book(messages.books_of(raw, value, string_compare), settings.live_window, settings.watermark)
+    return windows.live_book(messages.books_of(raw, value, string_compare, messages.ordering(raw)),
+                             settings.live_window, settings.watermark)
 
 
 def trade_windows(raw: DataFrame, settings: Settings = Settings(), value: str = "value") -> DataFrame:

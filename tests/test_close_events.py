@@ -15,7 +15,8 @@ SELECT event_id + i * 100000 AS event_id,
   '{{"k": ' || CAST((CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) + i * 17) % 100 AS VARCHAR) || '}}' AS props
 FROM range(8) copies(i), '{DATA}/sf0.001/events.parquet' ORDER BY i, event_id"""
 
-NAMES = ("batch_view", "cells_to_rows", "merged_timeline")
+NAMES = ("batch_view", "cells_to_rows", "merged_timeline", "live_price_1m", "live_ranges", "live_view",
+         "live_view_newer", "live_view_upsert", "live_book_1m", "live_probability_ranges", "live_view_cells")
 
 
 @pytest.fixture(scope="module")
