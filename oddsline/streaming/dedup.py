@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from oddsline.config import Settings
 from oddsline.functions.times import epoch_to_timestamp
-from oddsline.operators.snapshots import SNAPSHOT_KEYS
+from oddsline.operators.snapshots import snapshot_keys
 
 
-def drop_repeated_within(klines: DataFrame, delay: str, keys: tuple[str, ...] = SNAPSHOT_KEYS,
+def drop_repeated_within(klines: DataFrame, delay: str, keys: tuple[str, ...] | None = None,
                          settings: Settings = Settings()) -> DataFrame:
     """The first arrival of each snapshot of a stream, columns unchanged.
 
@@ -19,4 +19,5 @@ def drop_repeated_within(klines: DataFrame, delay: str, keys: tuple[str, ...] =
     time that a backfill reaches back. Rows behind the watermark are dropped as late.
     """
     carried = klines.withColumn("_time", epoch_to_timestamp("timestamp", settings.epoch_unit))
-    return carried.withWatermark("_time", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_time")
+    return carried.withWatermark("_time", delay).dropDuplicatesWithinWatermark(
+        list(snapshot_keys(klines) if keys is None else keys)).drop("_time")
