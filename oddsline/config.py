@@ -87,6 +87,7 @@ LIVE_CELLS = {
 
 # Cells of per-event live rows (older format): family "d".
 EVENT_FAMILY = "d"
+EVENT_KEY = "event_key"
 EVENT_CELLS = ("binance_price", "poly_last_trade", "poly_best_bid", "poly_best_ask", "implied_prob")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from oddsline import schemas
-from oddsline.config import (BATCH_CELLS, EVENT_CELLS, EVENT_FAMILY, LIVE_CELLS, PRICE_ROWS)
+from oddsline.config import (BATCH_CELLS, EVENT_CELLS, EVENT_FAMILY, EVENT_KEY, KEY_SEPARATOR, LIVE_CELLS,
+                             NUMBER, PRICE_ROWS)
 from oddsline.functions import rowkeys
 
 CELL_COLUMNS = ("rowkey", "family", "qualifier", "value")
@@ -36,8 +37,14 @@ def live_view(aggregated: DataFrame, row_type: str, truncate: int | None = None)
 
 
 def event_view(events: DataFrame) -> DataFrame:
-    """Flat live rows of the older one-row-per-event format."""
-    return events.select(rowkeys.event_rowkey("symbol", "timestamp").alias("rowkey"),
+    """Flat live rows of the older one-row-per-event format.
+
+    Events of one symbol and millisecond share a row key. Events with a number also get an
+    ``event_key``, the row key and the number, which no two of them share.
+    """
+    rowkey = rowkeys.event_rowkey("symbol", "timestamp")
+    numbered = [F.concat_ws(KEY_SEPARATOR, rowkey, F.col(NUMBER).cast("string")).alias(EVENT_KEY)]
+    return events.select(*(numbered if NUMBER in events.columns else []), rowkey.alias("rowkey"),
                          F.col("symbol").alias("identifier"),
                          F.col("timestamp").alias("window_end"), *EVENT_CELLS)
 
@@ -110,8 +117,8 @@ def legacy_batch_frame(df: DataFrame) -> DataFrame:
     return conform(df, schemas.LEGACY_BATCH)
 
 
-def legacy_live_frame(df: DataFrame) -> DataFrame:
-    return conform(df, schemas.LEGACY_LIVE)
+def legacy_live_frame(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return conform(df, T.StructType([*schemas.LEGACY_LIVE.fields, *[df.schema[c] for c in keep]]))
 
 
 def legacy_batch_view(frame: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def legacy_live_view(spark, folder):
         legacy_live_events(_events(spark, folder)), work_folder(spark, "legacy-live"),
         _options(spark, "legacy"))
     monitor.drain(running)
-    return view.read()
+    return view.read().drop("event_key")
 
 
 def _arrive(rows, root, *slices):

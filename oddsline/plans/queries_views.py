@@ -233,7 +233,7 @@ def legacy_live_events(events):
         (F.regexp_extract("asset_id", "([0-9]+)", 1).cast("bigint") % 5 + 1).cast("int"))
     price = F.lit(100.0) + F.regexp_extract("price", r"\.([0-9]+)", 1).cast("double") / F.lit(100.0)
     return books.select(
-        symbol.alias("symbol"), F.unix_millis("ts").alias("timestamp"), price.alias("binance_price"),
+        "event_id", symbol.alias("symbol"), F.unix_millis("ts").alias("timestamp"), price.alias("binance_price"),
         F.when(~tops, F.col("price").try_cast("double")).alias("poly_last_trade"),
         F.when(tops, F.col("best_bid")).alias("poly_best_bid"),
         F.when(tops, F.col("best_ask")).alias("poly_best_ask"),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS, Settings
+from oddsline.config import BOOK_ROWS, EVENT_KEY, NUMBER, PRICE_ROWS, TRADE_ROWS, Settings
 from oddsline.operators import views, windows
 from oddsline.sources import messages
 from oddsline.streaming.live_view import LiveView
@@ -109,9 +109,9 @@ def _start(writer: DataStreamWriter, options: StreamOptions) -> StreamingQuery:
     return writer.trigger(processingTime=options.trigger).start()
 
 
-def view_of(spark: SparkSession, rows: DataFrame, root: str) -> LiveView:
+def view_of(spark: SparkSession, rows: DataFrame, root: str, key: str = "rowkey") -> LiveView:
     """A live view with the columns of ``rows`` (batch or streaming)."""
-    return LiveView(spark, root, rows.schema)
+    return LiveView(spark, root, rows.schema, key)
 
 
 def _has_started(spark: SparkSession, checkpoint: str) -> bool:
@@ -120,7 +120,7 @@ def _has_started(spark: SparkSession, checkpoint: str) -> bool:
 
 
 def start_upsert(rows: DataFrame, root: str, options: StreamOptions,
-                 order: str | None = None) -> tuple[StreamingQuery, LiveView]:
+                 order: str | None = None, key: str = "rowkey") -> tuple[StreamingQuery, LiveView]:
     """Feed keyed rows into the live view at ``root``.
 
     Update mode: only windows changed by a micro-batch are written.  The batch is
@@ -129,7 +129,7 @@ def start_upsert(rows: DataFrame, root: str, options: StreamOptions,
     new checkpoint start over, so one over a root that has rows already is refused.
     """
     spark = rows.sparkSession
-    view = view_of(spark, rows, root)
+    view = view_of(spark, rows, root, key)
     if view.last_version() >= 0 and not _has_started(spark, options.checkpoint):
         raise ValueError(f"{root} holds micro-batches up to {view.last_version()}, but {options.checkpoint} "
                          "is a new checkpoint; its batches would never be read")
@@ -151,8 +151,16 @@ def start_live_windows(raw: DataFrame, row_type: str, root: str, options: Stream
 
 def start_event_rows(events: DataFrame, root: str,
                      options: StreamOptions) -> tuple[StreamingQuery, LiveView]:
-    """Older format: one live row per event, without aggregation."""
-    return start_upsert(views.event_view(views.legacy_live_frame(events)), root, options, order="window_end")
+    """Older format: one live row per event, without aggregation.
+
+    Numbered events are keyed by ``event_key``, so all that share a row key stay; without
+    numbers a row key keeps one event.
+    """
+    keep = (NUMBER,) if NUMBER in events.columns else ()
+    rows = views.event_view(views.legacy_live_frame(events, keep))
+    if keep:
+        return start_upsert(rows, root, options, order="window_end", key=EVENT_KEY)
+    return start_upsert(rows, root, options, order="window_end")
 
 
 def start_parquet(aggregated: DataFrame, path: str, options: StreamOptions) -> StreamingQuery:

@@ -17,7 +17,8 @@ FROM range(8) copies(i), '{DATA}/sf0.001/events.parquet' ORDER BY i, event_id"""
 
 NAMES = ("batch_view", "cells_to_rows", "merged_timeline", "live_price_1m", "live_ranges", "live_view",
          "live_view_newer", "live_view_upsert", "live_book_1m", "live_probability_ranges", "live_view_cells",
-         "dedup_klines", "drop_repeated")
+         "dedup_klines", "drop_repeated",
+         "legacy_live_view")
 
 
 @pytest.fixture(scope="module")

@@ -300,6 +300,23 @@ def test_event_rows(spark, tmp_path):
     assert rows[0].binance_price == 5.0 and rows[0].poly_last_trade is None
 
 
+def test_events_of_one_millisecond_all_stay(spark, tmp_path):
+    line = {"event_id": 1, "symbol": "btc", "timestamp": BASE, "binance_price": 5.0}
+    write_file(tmp_path / "in", 0, [json.dumps(line), json.dumps({**line, "event_id": 2, "binance_price": 6.0})])
+    write_file(tmp_path / "in", 1, [json.dumps({**line, "event_id": 3}), json.dumps(line)])
+    schema = "event_id bigint, symbol string, timestamp bigint, binance_price double"
+    events = streams.text_stream(spark, str(tmp_path / "in"), max_files=1).select(
+        F.from_json("value", schema).alias("e")).select("e.*")
+    query, view = jobs.start_event_rows(events, str(tmp_path / "v"), options(tmp_path))
+    monitor.drain(query)
+    rowkey = f"BTC#{9999999999999 - BASE}"
+    for _ in range(2):  # the second time from a compacted view
+        rows = view.read(prefix="BTC#").orderBy("event_key").collect()
+        assert [(r.event_key, r.rowkey, r.binance_price) for r in rows] == [
+            (f"{rowkey}#1", rowkey, 5.0), (f"{rowkey}#2", rowkey, 6.0), (f"{rowkey}#3", rowkey, 5.0)]
+        view.compact()
+
+
 def test_parquet_sink_appends_finished_windows(spark, tmp_path):
     write_file(tmp_path / "in", 0, [tick(5), tick(65), tick(300)])
     windows_ = jobs.price_windows(streams.text_stream(spark, str(tmp_path / "in")))
