@@ -35,9 +35,12 @@ def epoch_to_timestamp(value: Column | str, unit: str = "ms") -> Column:
 
 
 def mixed_timestamp(text: Column | str) -> Column:
-    """Text holding either epoch milliseconds or an ISO instant; anything else gives null."""
+    """Text holding either epoch milliseconds or an ISO instant; anything else gives null.
+
+    A failing cast to a number costs an exception, so texts with a colon are never tried as one.
+    """
     value = as_column(text)
-    return F.coalesce(epoch_to_timestamp(value.try_cast("bigint"), "ms"),
+    return F.coalesce(epoch_to_timestamp(F.when(~value.contains(":"), value.try_cast("bigint")), "ms"),
                       F.try_to_timestamp(value))
 
 

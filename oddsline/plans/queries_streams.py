@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from oddsline.config import BOOK_ROWS, PRICE_ROWS, TRADE_ROWS, Settings
@@ -142,12 +144,16 @@ def arrivals(spark, folder):
 def incremental_verdicts(spark, folder):
     root, out = work_folder(spark, "incremental"), work_folder(spark, "incremental-verdicts")
     tables = CleansedTables(spark, root, "ns")
-    for arrived in arrivals(spark, folder):
-        for kind, rows in zip(KINDS, arrived):
-            rows.write.mode("append").parquet(f"{root}/raw/{kind}")
-            stream = streams.table_stream(spark, f"{root}/raw/{kind}", rows.schema)
-            monitor.drain(tables.start(kind, stream, f"{root}/checkpoints/{kind}"))
-        tables.judge(out)
+
+    def take(kind, rows):
+        rows.write.mode("append").parquet(f"{root}/raw/{kind}")
+        stream = streams.table_stream(spark, f"{root}/raw/{kind}", rows.schema)
+        monitor.drain(tables.start(kind, stream, f"{root}/checkpoints/{kind}"))
+
+    with ThreadPoolExecutor(len(KINDS)) as side_by_side:
+        for arrived in arrivals(spark, folder):
+            list(side_by_side.map(take, KINDS, arrived))
+            tables.judge(out)
     return rounded(spark.read.parquet(f"{out}/analysis").select(*RESULT_COLUMNS), "avg_volume", "avg_probability")
 
 

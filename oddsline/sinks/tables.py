@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from oddsline import schemas
 from oddsline.config import Settings
-from oddsline.functions import rowkeys
+from oddsline.functions import book, rowkeys
 from oddsline.functions.times import epoch_to_timestamp, mixed_timestamp
 from oddsline.sinks.folders import Folders
 
@@ -24,18 +24,18 @@ _DAY, _STAGED, _SWAP = "date=", "_staged-", "_swap.json"
 
 
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...], mode: str = "overwrite",
-                      sort: tuple[str, ...] = (), file_format: str = "parquet") -> None:
+                      sort: tuple[str, ...] = (), file_format: str = "parquet", whole: bool = False) -> None:
     """Write ``df`` below ``path`` in folders by ``by``.
 
     Overwriting replaces only the partitions present in ``df``, so running a day again
-    leaves the others alone.
+    leaves the others alone, or all that ``path`` holds, if ``whole``.
     """
     balanced = df.hint("rebalance", *by) if by else df.hint("rebalance")
     if by or sort:
         balanced = balanced.sortWithinPartitions(*by, *sort)
     writer = balanced.write.format(file_format).mode(mode)
     if mode == "overwrite" and by:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
+        writer = writer.option("partitionOverwriteMode", "static" if whole else "dynamic")
     if by:
         writer = writer.partitionBy(*by)
     writer.save(path)
@@ -165,8 +165,8 @@ def cleanse_market_events(raw: DataFrame) -> DataFrame:
     return raw.select(
         "market", "asset_id", time.alias("event_time"),
         F.col("last_trade_price").try_cast("double").alias("last_trade_price"),
-        F.from_json("bids", schemas.LEVELS).alias("bids"),
-        F.from_json("asks", schemas.LEVELS).alias("asks"),
+        book.levels("bids").alias("bids"),
+        book.levels("asks").alias("asks"),
         "event_type", F.to_date(time).alias("date"))
 
 

@@ -1,10 +1,12 @@
 """Raw files in several arrivals: stored once, judged where touched."""
 
 import os
+import threading
 
 import pytest
 
 from oddsline.plans import batch
+from oddsline.plans.catalog import QUERIES
 from oddsline.plans.queries_streams import arrivals
 from oddsline.sinks import tables as sinks
 from oddsline.sources import feeds, streams
@@ -85,3 +87,24 @@ def test_unreadable_times_touch_no_day(spark, tmp_path):
     broken = klines.limit(3).withColumns({"timestamp": klines["symbol"]})
     tables.append("klines", broken, 0)
     assert tables.read("klines").count() == 3 and tables.judge(str(tmp_path / "out")) == []
+
+
+def test_a_micro_batch_again_leaves_nothing_of_the_first_try(spark, tmp_path):
+    tables = CleansedTables(spark, str(tmp_path), "ns")
+    (klines, _), _ = arrivals(spark, FOLDER)
+    part = klines.filter("timestamp < 1704240000000000000")  # 2024-01-03
+    for rows in (klines, part):
+        tables.append("klines", rows, 0)
+    assert tables.read("klines").count() == part.count() > 0
+    assert tables.touched([-1, -1], [0, -1]) == ["2024-01-01", "2024-01-02"]
+
+
+def test_both_kinds_are_cleansed_side_by_side(spark, monkeypatch):
+    both, append = threading.Barrier(len(KINDS)), CleansedTables.append
+
+    def together(self, kind, raw, number):
+        both.wait(60)
+        append(self, kind, raw, number)
+
+    monkeypatch.setattr(CleansedTables, "append", together)
+    assert QUERIES["incremental_verdicts"](spark, FOLDER).count() > 0

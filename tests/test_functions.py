@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from oddsline import schemas
 from oddsline.config import CRYPTO_KEYWORDS, RESULTS
 from oddsline.functions import book, rowkeys, symbols, times, verdict
 
@@ -169,6 +170,30 @@ def test_unreadable_levels(spark):
     assert _tops(spark, [("x", "1"), ("0.2", "y")], [("x", "1"), ("0", "7")]) == (0.2, 0.0, None, 7.0)
 
 
+def test_levels_are_those_of_the_json_reader(spark):
+    one = '{"price":"0.1","size":"5"}'
+    texts = [None, "", " ", "[]", "null", "{}", one, f"[{one}]", f"[{one},{one}]", f"\t[ {one} ,\n{one} ] ",
+             f"[{one},]", f"[{one}", f"[{one}]]", f"[{one}] x", f"[{one} {one}]", f"[{one},null]", f"[{one},{{}}]",
+             f"x[{one}]", f"\x0b[{one}]", f"\u00a0[{one}]",
+             '[{"size":"5","price":"0.1"}]', '[{"price":"0.1"}]', '[{"price":0.1,"size":5}]', '[{"price":null,"size":"5"}]',
+             '[{"price":"0.1","size":"5","more":"1"}]', '[{"price":"0.1","size":"5","price":"0.2"}]',
+             '[{"price":"price","size":"size"}]', '[{"price":"","size":""}]', '[{"price":"é😀","size":"x\x7f"}]',
+             '[{"price":"a\\"b","size":"\\u0041"}]', '[{"price":"a\nb","size":"\x00"}]', '[{"price": "0.1", "size": "5"}]',
+             "[" + ",".join([one] * 20000) + "]"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    both = rows.select("t", book.levels("t").alias("read"), F.from_json("t", schemas.LEVELS).alias("json"))
+    assert [r["t"] for r in both.collect() if r["read"] != r["json"]] == []
+    assert both.schema["read"].dataType == schemas.LEVELS
+
+
+def test_times_are_read_as_before_the_guard_against_failing_casts(spark):
+    texts = [None, "", "17", " 17 ", "+17", "-17", "1.5", "1e3", "2026-01-11", "2026", "2026-01-11 12:00:00", "T12:00:00Z ",
+             "17:00", "1704104317590:", ":", "2026-01-11T12:00:00.123456+02:00", "99999999999999999999", "\t1704104317590\n"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(times.epoch_to_timestamp(F.col("t").try_cast("bigint"), "ms"), F.try_to_timestamp("t"))
+    assert rows.filter(~times.mixed_timestamp("t").eqNullSafe(plain)).collect() == []
+
+
 def test_imbalance(spark):
     rows = [(3.0, 1.0), (0.0, 0.0), (None, 1.0)]
     assert column(spark, rows, "b double, a double", book.imbalance("b", "a")) == [0.5, None, None]
